@@ -421,7 +421,7 @@ def _schema_line(column: str, expected: str) -> str:
     + " UNION ALL SELECT 'region', 'string', '', 'missing', 0",
 )
 def schema_check(spark, sf_dir):
-    return validate.check_schema(a.table(spark, sf_dir, "events"), EXPECTED_EVENTS)
+    return validate.check_schema(a.table(spark, sf_dir, "events"), EXPECTED_EVENTS, with_counts=True)
 
 
 def _as_report(section: str, metric: str, key: str, value: str, source: str, detail: str = "''") -> str:

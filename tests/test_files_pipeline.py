@@ -1,0 +1,200 @@
+from __future__ import annotations
+
+import os
+from datetime import datetime
+
+import pytest
+
+from windgrid.operators.clean import clean_spe
+from windgrid.operators.quality import quality_report
+from windgrid.plans import run_from_landing, run_pipeline
+from windgrid.session import shared_folder
+from windgrid.sinks import write_csv, write_partitioned, write_report, write_table
+from windgrid.sources.files import csv_files, read_csv_by_name, read_mapping, read_partitioned, read_raw_csv
+from windgrid.sources.months import missing_months, month_range, month_span, months_present
+from windgrid.streaming import ingest_landing
+
+SPE_COLUMNS = ["nom_conjuntousina", "nom_usina", "ceg", "din_instante", "flg_dadoventoinvalido", "val_ventoverificado"]
+WIND_COLUMNS = [
+    "nom_usina", "din_instante", "nom_subsistema", "nom_estado", "val_geracao", "val_disponibilidade",
+    "val_geracaoreferencia", "val_geracaoreferenciafinal", "cod_razaorestricao",
+]
+
+
+def put(folder, name, *lines):
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    return path
+
+
+def test_raw_csv_is_text_and_rejects_another_header(spark, tmp_path):
+    folder = str(tmp_path)
+    put(folder, "a.csv", "code;value", "037102-5;1", ";bad")
+    put(folder, "b.csv", "code;value", "037103-3;")
+    df = read_raw_csv(spark, folder)
+    assert df.dtypes == [("code", "string"), ("value", "string")]
+    assert sorted(map(tuple, df.collect()), key=str) == [("037102-5", "1"), ("037103-3", None), (None, "bad")]
+    put(folder, "c.csv", "value;code", "1;037104-1")
+    with pytest.raises(Exception, match="header does not conform"):
+        read_raw_csv(spark, folder).collect()
+
+
+def test_csv_by_name(spark, tmp_path):
+    folder = str(tmp_path / "in put")
+    put(folder, "2026 01.csv", "a;din_instante;b", "1;2026-01-01 00:00:00;x", "1;2026-01-01 00:00:00;x")
+    put(folder, "2026_02.csv", "b;a;din_instante", "y;2;bad")
+    put(folder, "2026_03.csv", "a;din_instante;extra;ç", "3;;e;ã")
+    put(folder, "note.txt", "a", "9")
+    df = read_csv_by_name(spark, folder)
+    assert df.columns == ["a", "din_instante", "b", "extra", "ç"]
+    stamp = datetime(2026, 1, 1)
+    assert sorted(map(tuple, df.collect()), key=str) == [
+        ("1", stamp, "x", None, None),
+        ("1", stamp, "x", None, None),
+        ("2", None, "y", None, None),
+        ("3", None, None, "e", "ã"),
+    ]
+    assert dict(read_csv_by_name(spark, folder, date_columns=None).dtypes)["din_instante"] == "string"
+    assert [os.path.basename(f) for f in csv_files(spark, folder)] == ["2026 01.csv", "2026_02.csv", "2026_03.csv"]
+
+
+@pytest.mark.parametrize("exists", [True, False])
+def test_no_csv_files(spark, tmp_path, exists):
+    folder = str(tmp_path / "none")
+    if exists:
+        put(folder, "x.txt", "a")
+    with pytest.raises(ValueError, match="none"):
+        read_csv_by_name(spark, folder)
+
+
+def test_mapping_codes_stay_text(spark, tmp_path):
+    path = put(str(tmp_path), "m.csv", "projeto,spe,ceg", "P,S1,037102-5", "P,S2,037103-3")
+    assert [r.ceg for r in read_mapping(spark, path).collect()] == ["037102-5", "037103-3"]
+
+
+def test_month_range(spark):
+    def listed(start, end):
+        return [(r.year, r.month) for r in month_range(spark, start, end).collect()]
+
+    assert listed("2025-11", "2026-02") == [(2025, "11"), (2025, "12"), (2026, "01"), (2026, "02")]
+    assert listed("2025-11-02", "2026-01-31") == [(2025, "12"), (2026, "01")]
+    assert listed("2026-01", "2026-01") == [(2026, "01")]
+    assert listed("2026-02", "2026-01") == []
+
+
+def test_missing_months(spark):
+    df = spark.createDataFrame([(datetime(2025, 12, 5),), (datetime(2026, 2, 28, 23),), (None,)], "din_instante timestamp_ntz")
+    missing = missing_months(month_range(spark, "2025-11", "2026-03"), months_present(df))
+    assert sorted((r.year, r.month) for r in missing.collect()) == [(2025, "11"), (2026, "01"), (2026, "03")]
+    assert [(r.year, r.month) for r in month_span(df).collect()] == [(2025, "12"), (2026, "01"), (2026, "02")]
+
+
+def moments(spark, *stamps):
+    return spark.createDataFrame([(i, t) for i, t in enumerate(stamps)], "id int, data_hora timestamp_ntz")
+
+
+def test_partitioned_write_replaces_only_its_months(spark, tmp_path):
+    path = str(tmp_path / "p")
+    jan, feb = datetime(2026, 1, 5), datetime(2026, 2, 5)
+    write_partitioned(moments(spark, jan, jan, feb, None), path)
+    write_partitioned(moments(spark, jan, jan, feb, None), path)
+    stored = read_partitioned(spark, path, "data_hora")
+    assert stored.count() == 4
+    assert dict(stored.dtypes)["year"] == "int" and stored.filter("year IS NULL").count() == 1
+    assert {"year=2026", "year=__HIVE_DEFAULT_PARTITION__"} <= set(os.listdir(path))
+    write_partitioned(moments(spark, feb, feb, feb), path)
+    stored = read_partitioned(spark, path, "data_hora")
+    assert stored.filter("month = 1").count() == 2 and stored.filter("month = 2").count() == 3
+
+
+def test_tables_and_reports_are_replaced(spark, tmp_path):
+    rows = moments(spark, datetime(2026, 1, 5))
+    write_table(rows, "moments_test")
+    assert write_table(rows, "moments_test").count() == 1
+    report = quality_report(
+        spark.createDataFrame([("A", None, "0")], "nom_usina string, din_instante string, flg_dadoventoinvalido string"),
+        spark.createDataFrame([("A", None)], "nom_usina string, din_instante string"),
+    )
+    path = str(tmp_path / "report")
+    write_report(report, path)
+    write_report(report, path)
+    assert spark.read.json(path).count() == report.count()
+
+
+def test_csv_roundtrip(spark, tmp_path):
+    rows = spark.createDataFrame([("A", "2026-01-01 00:00:00", "0", "1,5", None, "2.25")] * 2, "nom_usina string, din_instante string, flg_dadoventoinvalido string, val_ventoverificado string, val_geracaoestimada string, val_geracaoverificada string")
+    write_csv(rows, str(tmp_path / "c"), sep=";")
+    stamp = datetime(2026, 1, 1)
+    assert [tuple(r) for r in clean_spe(read_raw_csv(spark, str(tmp_path / "c"))).collect()] == [("A", stamp, 0.0, None, None, 2.25, stamp)]
+
+
+def test_ingest_reads_each_file_once(spark, tmp_path):
+    landing, bronze, checkpoint = (str(tmp_path / n) for n in ("in", "bronze", "checkpoint"))
+
+    def run(max_files=1):
+        return ingest_landing(spark, landing, bronze, checkpoint, ["a", "b"], max_files=max_files)
+
+    put(landing, "2026_01.csv", "a;b", "1;x", "2;")
+    put(landing, "2026_02.csv", "a;b", "3;bad")
+    put(landing, "readme.txt", "no data")
+    assert run().count() == 3
+    assert run().count() == 3
+    late = put(landing, "2025_12.csv", "a;b", "4;late")
+    os.utime(late, (946684800, 946684800))  # delivered now, dated years ago
+    out = run()
+    assert sorted((r.a, r.b, r.source_file) for r in out.collect() if r.b) == [
+        ("1", "x", "2026_01.csv"),
+        ("3", "bad", "2026_02.csv"),
+        ("4", "late", "2025_12.csv"),
+    ]
+    assert out.count() == 4
+
+
+def landing_files(folder):
+    spe, wind = f"{folder}/spe", f"{folder}/wind"
+    put(spe, "2026_01.csv", ";".join(SPE_COLUMNS),
+        "Conj. A;U1;EOL.037102-5.1;2026-01-01 00:00:00;0;5",
+        "Conj. A;U1;EOL.037102-5.1;2026-01-01 00:00:00;0;5",
+        "Conj. A;U1;EOL.037102-5.1;2026-01-01 01:00:00;1;5",
+        "Conj.  A;U2;EOL.037103-3.1;2026-01-01 00:00:00;0;6",
+        "Conj. B;U3;EOL.999999-9.1;2026-01-01 00:00:00;0;6")
+    put(wind, "2026_01.csv", ";".join(WIND_COLUMNS),
+        "CONJ. A;2026-01-01 00:00:00;NE;RN;1;2;3;4;REL",
+        "CONJ. A;2025-12-31 00:00:00;NE;RN;9;2;3;4;",
+        "CONJ. B;2026-01-01 00:00:00;NE;RN;7;2;3;4;")
+    mapping = put(folder, "mapping.csv", "projeto,spe,ceg", "P1,S1,037102-5", "P2,S2,037103-3")
+    return spe, wind, mapping
+
+
+def test_pipeline_from_landing(spark, tmp_path):
+    spe, wind, mapping = landing_files(str(tmp_path / "in"))
+    args = (spark, spe, wind, mapping, str(tmp_path / "out"), SPE_COLUMNS, WIND_COLUMNS)
+    layers = run_from_landing(*args)
+    found = sorted((r.nom_usina, r.projeto, r.val_geracao, r.year, r.month) for r in layers["joined"].collect() if r.val_geracao)
+    assert found == [("U1", "P1", 1.0, 2026, 1)]
+    assert layers["joined"].count() == 2 and layers["spe_clean"].count() == 3
+    assert {r.nom_usina for r in layers["wind_owned"].collect()} == {"CONJ. A"}
+    assert layers["quality"].filter("section = 'spe_stats' AND metric = 'initial_rows'").first().value == 5
+    put(spe, "2026_02.csv", ";".join(SPE_COLUMNS), "Conj. A;U1;EOL.037102-5.1;2026-02-01 00:00:00;0;5")
+    for _ in range(2):
+        joined = run_from_landing(*args)["joined"]
+        assert sorted(r.month for r in joined.collect()) == [1, 1, 2]
+
+
+def test_pipeline_options(spark, tmp_path):
+    spe, wind, mapping = landing_files(str(tmp_path / "in"))
+    raw = (read_raw_csv(spark, spe), read_raw_csv(spark, wind), read_mapping(spark, mapping))
+    wide = run_pipeline(*raw, str(tmp_path / "wide"), collapse_ws=True)["joined"]
+    assert sorted((r.nom_usina, r.val_geracao) for r in wide.collect()) == [("U1", 1.0), ("U2", 1.0)]
+    first = run_pipeline(*raw, str(tmp_path / "first"), collapse_ws=True, level_join="first_per_name")["joined"]
+    assert sorted((r.nom_usina, r.val_geracao) for r in first.collect()) == [("U1", 9.0), ("U2", 9.0)]
+    with pytest.raises(ValueError):
+        run_pipeline(*raw, str(tmp_path / "x"), level_join="other")
+
+
+def test_shared_folder_is_below_the_checkpoint_directory(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert one.startswith(base) and one != two

@@ -29,5 +29,5 @@ def normalize(name: Column | str, collapse_ws: bool = False) -> Column:
 
 
 def asset_code(code: Column | str) -> Column:
-    """The asset's core code inside a longer code text; null where there is none."""
-    return F.nullif(F.regexp_extract(_col(code), ASSET_CODE_PATTERN, 1), F.lit(""))
+    """The asset's core code inside a longer code text; empty where there is none, null for null."""
+    return F.regexp_extract(_col(code), ASSET_CODE_PATTERN, 1)

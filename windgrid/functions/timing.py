@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PERIOD_FORMATS = {"daily": "yyyy-MM-dd", "monthly": "yyyy-MM"}
+PERIODS = ("daily", "monthly")
 
 
 def hour_floor(ts: Column) -> Column:
-    """Start of the hour, kept zone-less (``date_trunc`` alone returns a zoned timestamp)."""
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    """Start of the hour. Built from date and hour, which no session time zone can shift."""
+    day = ts.cast("date").cast("timestamp_ntz")
+    return day + F.make_dt_interval(hours=F.hour(ts))
 
 
 def hour_number(ts: Column) -> Column:
@@ -20,15 +21,17 @@ def hour_number(ts: Column) -> Column:
 
 def hour_start(number: Column) -> Column:
     """The timestamp of an hour number; inverse of ``hour_number``."""
-    day = F.date_from_unix_date(F.floor(number / F.lit(24)).cast("int")).cast("timestamp_ntz")
-    return day + F.make_dt_interval(hours=F.pmod(number, F.lit(24)).cast("int"))
+    hour = F.pmod(number, F.lit(24))
+    day = F.date_from_unix_date(((number - hour) / 24).cast("int")).cast("timestamp_ntz")
+    return day + F.make_dt_interval(hours=hour.cast("int"))
 
 
 def period(ts: Column, frequency: str) -> Column:
-    """Text label of the day or month."""
-    if frequency not in PERIOD_FORMATS:
+    """Text label of the day (2026-01-31) or month (2026-01)."""
+    if frequency not in PERIODS:
         raise ValueError("frequency must be 'daily' or 'monthly'")
-    return F.date_format(ts, PERIOD_FORMATS[frequency])
+    day = ts.cast("date").cast("string")
+    return day if frequency == "daily" else F.substring(day, 1, 7)
 
 
 def month_number(year: Column, month: Column) -> Column:

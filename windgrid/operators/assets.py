@@ -23,7 +23,7 @@ def attach_project(
     ``spark.sql.autoBroadcastJoinThreshold`` is shuffled instead.
     """
     coded = spe.withColumn("_code", asset_code(code))
-    listed = mapping.select(F.col(mapping_code).alias("_code"), F.col(project).alias(project))
+    listed = mapping.filter(F.col(mapping_code) != "").select(F.col(mapping_code).alias("_code"), F.col(project).alias(project))
     if method == "inner":
         joined = coded.join(listed, "_code", "inner")
     elif method == "member":

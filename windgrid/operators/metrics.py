@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windgrid.functions import decimal_sum, month_number, period
-from windgrid.functions.timing import PERIOD_FORMATS
+from windgrid.functions.timing import PERIODS
 from windgrid.schemas import TS
 
 # Fixed value: label of rows without a restriction reason.
@@ -39,7 +39,7 @@ def generation(
     A period whose values are all null totals 0.0; a range without rows gives no periods. The complex's
     value is on each of its plants' rows and counts once per plant. ``sum_scale`` adds up in decimals.
     """
-    if frequency not in PERIOD_FORMATS:
+    if frequency not in PERIODS:
         raise ValueError("frequency must be 'daily' or 'monthly'")
     rows = in_range(joined.filter(F.col("projeto") == project), start, end, ts)
     total = F.coalesce(decimal_sum(F.col("val_geracao"), sum_scale), F.lit(0.0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,8 @@ from windgrid.schemas import TS
 
 def write_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Creates or replaces a catalog table, stored at ``path`` if given, and returns it."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name, path=path)
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
@@ -27,15 +28,20 @@ def partition_columns(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumns({"year": F.year(ts), "month": F.month(ts)})
 
 
-def write_partitioned(df: DataFrame, path: str, ts: str = "data_hora") -> None:
+def write_partitioned(
+    df: DataFrame, path: str, ts: str = "data_hora", sort_by: Sequence[str] = ("projeto", TS)
+) -> None:
     """Writes by year and month of ``ts``, replacing the months at hand and leaving the others alone.
 
     The rebalance gathers each month into files of the advisory size and splits a large month over
-    several tasks, so there are neither many small files nor one task per month.
+    several tasks, so there are neither many small files nor one task per month. Rows are sorted inside
+    each file, so that readers of one project or a short time range skip row groups.
     """
     dated = partition_columns(df, ts)
+    order = ["year", "month", *[c for c in sort_by if c in df.columns]]
     (
         dated.hint("rebalance", F.col("year"), F.col("month"))
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
