@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from driver_queries import adapter as a
 from windgrid.functions import is_bad_timestamp, is_uncastable, to_double, to_timestamp
 from windgrid.operators import assets, clean, coverage, levels, metrics, quality, star, validate
-from windgrid.plans import build_star, run_from_landing, run_pipeline
+from windgrid.plans import build_star, run_from_landing, run_pipeline, run_validation
 from windgrid.schemas import COMPLEX_NUMERIC, COMPLEX_PAYLOAD, PLANT_NUMERIC
 from windgrid.session import shared_folder
 from windgrid.sinks import (
@@ -293,7 +293,7 @@ def _report_sql(from_raw: bool) -> str:
 def quality_report_long(spark, sf_dir):
     path = shared_folder(spark, "quality")
     write_report(quality.quality_report(a.raw_spe(spark, sf_dir), a.raw_wind(spark, sf_dir)), path)
-    return spark.read.schema("section string, metric string, key string, value double").json(path)
+    return files.read_report(spark, path).drop("detail")
 
 
 @register("quality_counts", _report_sql(from_raw=False))
@@ -461,7 +461,9 @@ SERIES_SQL = "projeto || ' | ' || nom_usina"
     ),
 )
 def validation_report(spark, sf_dir):
-    return validate.validation_report(stored_joined(spark, sf_dir))
+    path = shared_folder(spark, "joined")
+    write_partitioned(joined(spark, sf_dir), path, "din_instante")
+    return run_validation(spark, path, shared_folder(spark, "validation"))
 
 
 # --- questions ----------------------------------------------------------------------------------
@@ -699,6 +701,13 @@ def pipeline_run(spark, sf_dir):
     return bigints(layers["joined"], "year", "month")
 
 
+@register("run_without_report", PIPELINE_SQL)
+def pipeline_run_without_report(spark, sf_dir):
+    root = shared_folder(spark, "run")
+    raw = a.raw_spe(spark, sf_dir), a.raw_wind(spark, sf_dir)
+    return bigints(run_pipeline(*raw, a.mapping(spark, sf_dir), root, report_rules=None)["joined"], "year", "month")
+
+
 @register("run_from_landing", PIPELINE_SQL)
 def landing_run(spark, sf_dir):
     root = shared_folder(spark, "landing-run")

@@ -7,14 +7,17 @@ import pytest
 
 from windgrid.operators.clean import clean_spe
 from windgrid.operators.quality import quality_report
-from windgrid.plans import run_from_landing, run_pipeline
+from windgrid.plans import run_from_landing, run_pipeline, run_validation
 from windgrid.session import shared_folder
 from windgrid.sinks import write_csv, write_partitioned, write_report, write_table
 from windgrid.sources.files import csv_files, read_csv_by_name, read_mapping, read_partitioned, read_raw_csv
 from windgrid.sources.months import missing_months, month_range, month_span, months_present
 from windgrid.streaming import ingest_landing
 
-SPE_COLUMNS = ["nom_conjuntousina", "nom_usina", "ceg", "din_instante", "flg_dadoventoinvalido", "val_ventoverificado"]
+SPE_COLUMNS = [
+    "id_subsistema", "id_estado", "nom_modalidadeoperacao", "id_ons", "val_geracaoestimada", "val_geracaoverificada",
+    "nom_conjuntousina", "nom_usina", "ceg", "din_instante", "flg_dadoventoinvalido", "val_ventoverificado",
+]
 WIND_COLUMNS = [
     "nom_usina", "din_instante", "nom_subsistema", "nom_estado", "val_geracao", "val_disponibilidade",
     "val_geracaoreferencia", "val_geracaoreferenciafinal", "cod_razaorestricao",
@@ -155,11 +158,11 @@ def test_ingest_reads_each_file_once(spark, tmp_path):
 def landing_files(folder):
     spe, wind = f"{folder}/spe", f"{folder}/wind"
     put(spe, "2026_01.csv", ";".join(SPE_COLUMNS),
-        "Conj. A;U1;EOL.037102-5.1;2026-01-01 00:00:00;0;5",
-        "Conj. A;U1;EOL.037102-5.1;2026-01-01 00:00:00;0;5",
-        "Conj. A;U1;EOL.037102-5.1;2026-01-01 01:00:00;1;5",
-        "Conj.  A;U2;EOL.037103-3.1;2026-01-01 00:00:00;0;6",
-        "Conj. B;U3;EOL.999999-9.1;2026-01-01 00:00:00;0;6")
+        "NE;RN;Tipo I;X1;1;1;Conj. A;U1;EOL.037102-5.1;2026-01-01 00:00:00;0;5",
+        "NE;RN;Tipo I;X1;1;1;Conj. A;U1;EOL.037102-5.1;2026-01-01 00:00:00;0;5",
+        "NE;RN;Tipo I;X1;1;1;Conj. A;U1;EOL.037102-5.1;2026-01-01 01:00:00;1;5",
+        "NE;RN;Tipo I;X1;1;1;Conj.  A;U2;EOL.037103-3.1;2026-01-01 00:00:00;0;6",
+        "NE;RN;Tipo I;X1;1;1;Conj. B;U3;EOL.999999-9.1;2026-01-01 00:00:00;0;6")
     put(wind, "2026_01.csv", ";".join(WIND_COLUMNS),
         "CONJ. A;2026-01-01 00:00:00;NE;RN;1;2;3;4;REL",
         "CONJ. A;2025-12-31 00:00:00;NE;RN;9;2;3;4;",
@@ -177,7 +180,7 @@ def test_pipeline_from_landing(spark, tmp_path):
     assert layers["joined"].count() == 2 and layers["spe_clean"].count() == 3
     assert {r.nom_usina for r in layers["wind_owned"].collect()} == {"CONJ. A"}
     assert layers["quality"].filter("section = 'spe_stats' AND metric = 'initial_rows'").first().value == 5
-    put(spe, "2026_02.csv", ";".join(SPE_COLUMNS), "Conj. A;U1;EOL.037102-5.1;2026-02-01 00:00:00;0;5")
+    put(spe, "2026_02.csv", ";".join(SPE_COLUMNS), "NE;RN;Tipo I;X1;1;1;Conj. A;U1;EOL.037102-5.1;2026-02-01 00:00:00;0;5")
     for _ in range(2):
         joined = run_from_landing(*args)["joined"]
         assert sorted(r.month for r in joined.collect()) == [1, 1, 2]
@@ -190,10 +193,33 @@ def test_pipeline_options(spark, tmp_path):
     assert sorted((r.nom_usina, r.val_geracao) for r in wide.collect()) == [("U1", 1.0), ("U2", 1.0)]
     first = run_pipeline(*raw, str(tmp_path / "first"), collapse_ws=True, level_join="first_per_name")["joined"]
     assert sorted((r.nom_usina, r.val_geracao) for r in first.collect()) == [("U1", 9.0), ("U2", 9.0)]
+    lean = run_pipeline(*raw, str(tmp_path / "lean"), collapse_ws=True, report_rules=None)
+    assert sorted(map(str, lean["joined"].collect())) == sorted(map(str, wide.collect()))
+    assert "quality" not in lean
     with pytest.raises(ValueError):
         run_pipeline(*raw, str(tmp_path / "x"), level_join="other")
 
 
+def test_duplicate_mapping_codes_multiply_rows_with_and_without_report(spark, tmp_path):
+    spe, wind, mapping = landing_files(str(tmp_path / "in"))
+    put(str(tmp_path / "in"), "mapping.csv", "projeto,spe,ceg", "P1,S1,037102-5", "P1,S1,037102-5", "P2,S2,037103-3")
+    raw = (read_raw_csv(spark, spe), read_raw_csv(spark, wind), read_mapping(spark, mapping))
+    for rules in ("raw", "cleaned", None):
+        out = run_pipeline(*raw, str(tmp_path / f"out-{rules}"), report_rules=rules)["joined"]
+        assert sorted(r.nom_usina for r in out.collect()) == ["U1", "U1", "U2"]
+
+
+def test_validation_run(spark, tmp_path):
+    spe, wind, mapping = landing_files(str(tmp_path / "in"))
+    raw = (read_raw_csv(spark, spe), read_raw_csv(spark, wind), read_mapping(spark, mapping))
+    run_pipeline(*raw, str(tmp_path / "out"))
+    report = run_validation(spark, str(tmp_path / "out" / "joined"), str(tmp_path / "report"), expected_month=202602)
+    found = {(r.section, r.metric, r.key): r.value for r in report.collect()}
+    assert found[("freshness_validation", "freshness_valid", "")] == 0.0
+    assert found[("schema_validation", "schema_valid", "")] == 1.0
+    assert found[("timestamp_continuity", "gap_count", "P1 | U1")] == 0.0
+
+
 def test_shared_folder_is_below_the_checkpoint_directory(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")

@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from windgrid.functions import asset_code, normalize
 
 
+def keep_mapped(spe: DataFrame, mapping: DataFrame, code: str = "ceg", mapping_code: str = "ceg") -> DataFrame:
+    """Rows whose core code the mapping lists, each once however often the code is listed."""
+    codes = _listed(mapping, mapping_code).select("_code")
+    return spe.withColumn("_code", asset_code(code)).join(codes, "_code", "left_semi").select(*spe.columns)
+
+
 def attach_project(
     spe: DataFrame,
     mapping: DataFrame,
@@ -22,15 +28,16 @@ def attach_project(
     the same rows. The mapping is a small file, which Spark broadcasts on its file size; a mapping above
     ``spark.sql.autoBroadcastJoinThreshold`` is shuffled instead.
     """
-    coded = spe.withColumn("_code", asset_code(code))
-    listed = mapping.filter(F.col(mapping_code) != "").select(F.col(mapping_code).alias("_code"), F.col(project).alias(project))
-    if method == "inner":
-        joined = coded.join(listed, "_code", "inner")
-    elif method == "member":
-        joined = coded.join(listed.select("_code"), "_code", "left_semi").join(listed, "_code", "left")
-    else:
+    if method not in ("inner", "member"):
         raise ValueError(f"method must be 'inner' or 'member', not {method!r}")
-    return joined.select(*spe.columns, project)
+    listed = _listed(mapping, mapping_code).withColumnRenamed(project, "_project")
+    rows = spe if method == "inner" else keep_mapped(spe, mapping, code, mapping_code)
+    joined = rows.withColumn("_code", asset_code(code)).join(listed, "_code", "inner" if method == "inner" else "left")
+    return joined.select(*spe.columns, F.col("_project").alias(project))
+
+
+def _listed(mapping: DataFrame, mapping_code: str) -> DataFrame:
+    return mapping.filter(F.col(mapping_code) != "").withColumnRenamed(mapping_code, "_code")
 
 
 def distinct_names(spe: DataFrame, name: str = "nom_conjuntousina", collapse_ws: bool = False) -> DataFrame:

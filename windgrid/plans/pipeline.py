@@ -1,4 +1,4 @@
-"""Raw rows to partitioned joined table, quality report and star schema."""
+"""Raw rows to partitioned joined table, reports and star schema."""
 
 from __future__ import annotations
 
@@ -6,13 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from windgrid.operators.assets import attach_project, distinct_names, restrict_to_names
+from windgrid.operators.assets import attach_project, distinct_names, keep_mapped, restrict_to_names
 from windgrid.operators.clean import clean_spe, clean_wind, count_copies
 from windgrid.operators.levels import first_per_name, join_first, join_levels
 from windgrid.operators.quality import quality_report
 from windgrid.operators.star import dim_conjunto, dim_spe, dim_tempo, fact_generation
+from windgrid.operators.validate import validation_report
 from windgrid.sinks import write_layer, write_partitioned, write_report, write_star
-from windgrid.sources.files import read_mapping, read_partitioned
+from windgrid.sources.files import read_mapping, read_partitioned, read_report
 from windgrid.streaming import ingest_landing
 
 
@@ -24,28 +25,30 @@ def run_pipeline(
     collapse_ws: bool = False,
     level_join: str = "name_and_time",
     mode: str = "coerce",
-    report_rules: str = "raw",
+    report_rules: str | None = "raw",
 ) -> dict[str, DataFrame]:
     """Clean, report, filter, join and export below ``root``; returns the stored tables by name.
 
-    Each level is shuffled once for duplicate removal and stored with its copy counts; the clean rows and
-    the report both read that. The complex names are stored too, so that the filter on them is planned
-    with their true size. ``level_join="first_per_name"`` attaches one complex row per name instead of
-    the row of the same time.
+    With a report, each level is shuffled once for duplicate removal and stored with its copy counts; the
+    clean rows and the report both read that. ``report_rules=None`` leaves the report out, and then only
+    the owned assets' rows are shuffled at all. The complex names are stored in either case, so that the
+    filter on them is planned with their true size. ``level_join="first_per_name"`` attaches one complex
+    row per name instead of the row of the same time.
     """
     if level_join not in ("name_and_time", "first_per_name"):
         raise ValueError(f"level_join must be 'name_and_time' or 'first_per_name', not {level_join!r}")
     spark = raw_spe.sparkSession
-    counted_spe = write_layer(count_copies(raw_spe), f"{root}/distinct/spe")
-    counted_wind = write_layer(count_copies(raw_wind), f"{root}/distinct/wind")
-    spe, wind = clean_spe(counted_spe, mode=mode), clean_wind(counted_wind, mode=mode)
-
-    report_path = f"{root}/reports/quality"
-    write_report(quality_report(counted_spe, counted_wind, rules=report_rules), report_path)
+    if report_rules:
+        raw_spe = write_layer(count_copies(raw_spe), f"{root}/distinct/spe")
+        raw_wind = write_layer(count_copies(raw_wind), f"{root}/distinct/wind")
+        write_report(quality_report(raw_spe, raw_wind, rules=report_rules), f"{root}/reports/quality")
+        owned_spe = attach_project(clean_spe(raw_spe, mode=mode), mapping)
+    else:
+        mapped = clean_spe(keep_mapped(raw_spe, mapping), mode=mode)
+        owned_spe = write_layer(attach_project(mapped, mapping), f"{root}/owned/spe")
 
-    owned_spe = attach_project(spe, mapping)
     names = write_layer(distinct_names(owned_spe, collapse_ws=collapse_ws), f"{root}/owned/names")
-    owned_wind = restrict_to_names(wind, names, collapse_ws=collapse_ws)
+    owned_wind = clean_wind(restrict_to_names(raw_wind, names, collapse_ws=collapse_ws), mode=mode)
 
     if level_join == "name_and_time":
         joined = join_levels(owned_spe, owned_wind, collapse_ws=collapse_ws)
@@ -53,14 +56,16 @@ def run_pipeline(
         firsts = write_layer(first_per_name(owned_wind, collapse_ws=collapse_ws), f"{root}/owned/firsts")
         joined = join_first(owned_spe, firsts, collapse_ws=collapse_ws)
     write_partitioned(joined, f"{root}/joined")
-    return {
-        "spe_clean": spe,
-        "wind_clean": wind,
+    layers = {
         "spe_owned": owned_spe,
         "wind_owned": owned_wind,
         "joined": read_partitioned(spark, f"{root}/joined"),
-        "quality": spark.read.schema("section string, metric string, key string, value double").json(report_path),
     }
+    if report_rules:
+        layers["spe_clean"] = clean_spe(raw_spe, mode=mode)
+        layers["wind_clean"] = clean_wind(raw_wind, mode=mode)
+        layers["quality"] = read_report(spark, f"{root}/reports/quality")
+    return layers
 
 
 def run_from_landing(
@@ -71,7 +76,7 @@ def run_from_landing(
     root: str,
     spe_columns: Sequence[str],
     wind_columns: Sequence[str],
-    **options: str | bool,
+    **options: str | bool | None,
 ) -> dict[str, DataFrame]:
     """``run_pipeline`` over two landing folders, of which only new files are read into bronze."""
     bronze = [
@@ -89,3 +94,12 @@ def build_star(joined: DataFrame, root: str, lookup: str = "full") -> dict[str,
     )
     fact = fact_generation(joined, dims["dim_spe"], dims["dim_conjunto"], dims["dim_tempo"], lookup)
     return {**dims, **write_star({"fact_generation": fact}, root)}
+
+
+def run_validation(
+    spark: SparkSession, joined_path: str, report_path: str, threshold: float = 95, expected_month: int | None = None
+) -> DataFrame:
+    """All checks over the stored joined table, written as one report."""
+    joined = read_partitioned(spark, joined_path)
+    write_report(validation_report(joined, threshold=threshold, expected_month=expected_month), report_path)
+    return read_report(spark, report_path)

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Recording the Python line of every expression takes longer than planning a small query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     # Splits oversized join partitions, so one hot name does not become one slow task.
     "spark.sql.adaptive.skewJoin.enabled": "true",

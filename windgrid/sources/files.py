@@ -69,6 +69,11 @@ def read_partitioned(spark: SparkSession, path: str, ts: str = TS) -> DataFrame:
     return df.withColumn(ts, to_timestamp(F.col(ts), "strict"))
 
 
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """Report rows; ``detail`` is null in a quality report."""
+    return spark.read.schema("section string, metric string, key string, value double, detail string").json(path)
+
+
 def _text_csv(spark: SparkSession, path: str | list[str], sep: str) -> DataFrame:
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8")
     return reader.option("enforceSchema", False).csv(path)
