@@ -134,3 +134,8 @@ def test_null_percentages(spe):
     shares = {r.column_name: r.null_pct for r in null_percentages(spe).collect()}
     assert shares["din_instante"] == 12.5 and shares["val_geracaoestimada"] == 25.0 and shares["nom_usina"] == 0.0
     assert [r.column_name for r in null_percentages(spe, ["nom_usina"]).collect()] == ["nom_usina"]
+
+
+def test_null_percentages_of_odd_column_names(spark):
+    df = spark.createDataFrame([(None, "x")], "`it's` string, `a\\b` string")
+    assert [tuple(r) for r in null_percentages(df).collect()] == [("it's", 100.0), ("a\\b", 0.0)]

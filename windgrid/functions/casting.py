@@ -7,11 +7,19 @@ from pyspark.sql import functions as F
 
 # Spellings the JVM parses as numbers but data files do not mean as such: 12d, 1.5f, 0x1p3.
 _JVM_ONLY_NUMBER = r"[xX]|[dD]\s*$|(?<![iI][nN])[fF]\s*$"
+_JVM_ONLY_LETTERS = "dDfFxX"
 
 
 def _parsed(value: Column) -> Column:
-    """``value`` as double, null where it is not one. The guard applies to text; numbers pass it."""
-    return F.when(~value.cast("string").rlike(_JVM_ONLY_NUMBER), value.try_cast("double"))
+    """``value`` as double, null where it is not one. The guard applies to text; numbers pass it.
+
+    Plain numbers hold none of the letters, which is a quick check; only others meet the pattern.
+    """
+    text = value.cast("string")
+    suspect = F.lit(False)
+    for letter in _JVM_ONLY_LETTERS:
+        suspect = suspect | text.contains(letter)
+    return F.when(~(suspect & text.rlike(_JVM_ONLY_NUMBER)), value.try_cast("double"))
 
 
 def to_double(value: Column, numeric: bool = False) -> Column:

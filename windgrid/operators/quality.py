@@ -9,17 +9,15 @@ from pyspark.sql import functions as F
 
 from windgrid.functions import is_bad_timestamp, is_uncastable, percent
 from windgrid.operators.clean import COPIES, count_copies, is_valid_flag, typed_columns
+from windgrid.operators.longform import long_rows
 from windgrid.schemas import COMPLEX_NUMERIC, FLAG, PLANT_NUMERIC, TS
 
 
 def null_percentages(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Share of nulls per column as rows (``column_name``, ``null_pct``); one pass, zero for an empty table."""
     names = list(columns or df.columns)
-    shares = [_null_share(F.col(c).isNull(), F.count("*")).alias(f"_{i}") for i, c in enumerate(names)]
-    pairs = [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("null_pct")) for i, c in enumerate(names)
-    ]
-    return df.agg(*shares).select(F.inline(F.array(*pairs)))
+    shares = [(c, _null_share(F.col(c).isNull(), F.count("*"))) for c in names]
+    return long_rows(df, ["column_name"], shares, "null_pct")
 
 
 def level_quality(
@@ -75,17 +73,7 @@ def level_quality(
         (f"{prefix}_nulls", "null_pct", name, _null_share(kept & column.isNull(), F.count_if(kept)))
         for name, column in typed.items()
     ]
-    wide = counted.agg(*[value.alias(f"_{i}") for i, (*_, value) in enumerate(lines)])
-    structs = [
-        F.struct(
-            F.lit(s).alias("section"),
-            F.lit(m).alias("metric"),
-            F.lit(k).alias("key"),
-            F.col(f"_{i}").cast("double").alias("value"),
-        )
-        for i, (s, m, k, _) in enumerate(lines)
-    ]
-    return wide.select(F.inline(F.array(*structs)))
+    return long_rows(counted, ["section", "metric", "key"], lines)
 
 
 def quality_report(

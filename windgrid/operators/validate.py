@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from windgrid.functions import month_number
 from windgrid.operators.coverage import SERIES_KEYS, hour_coverage, with_alert
+from windgrid.operators.longform import long_rows
 from windgrid.schemas import JOINED_SCHEMA, TS
 
 WIND_SPEED_RANGE = (0, 40)
@@ -89,13 +90,9 @@ def business_rules(df: DataFrame, unique: Sequence[str] = (*SERIES_KEYS, TS)) ->
     per_key = df.groupBy(*unique).agg(
         F.count("*").alias("_rows"), *[F.count_if(broken).alias(name) for name, broken in rules.items()]
     )
-    order = [*list(rules)[:6], "duplicate_timestamps", "null_projects"]
-    totals = per_key.agg(
-        F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("duplicate_timestamps"),
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in rules],
-    )
-    pairs = [F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations")) for name in order]
-    return totals.select(F.inline(F.array(*pairs)))
+    lines = [(name, F.coalesce(F.sum(name), F.lit(0))) for name in rules]
+    lines.insert(6, ("duplicate_timestamps", F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0))))
+    return long_rows(per_key, ["rule"], lines, "violations", "bigint")
 
 
 def validation_report(
