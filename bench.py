@@ -36,7 +36,8 @@ HEADLINE = [
     "dim_tempo",
     "fact_generation",
     "partitioned_roundtrip",
-    "run_pipeline",
+    "full_run",
+    "full_run_without_report",
 ]
 RUNS = 3
 

@@ -694,22 +694,22 @@ FROM spe_owned s LEFT JOIN wind_owned w
 )
 
 
-@register("run_pipeline", PIPELINE_SQL)
-def pipeline_run(spark, sf_dir):
+@register("full_run", PIPELINE_SQL)
+def full_run(spark, sf_dir):
     root = shared_folder(spark, "run")
     layers = run_pipeline(a.raw_spe(spark, sf_dir), a.raw_wind(spark, sf_dir), a.mapping(spark, sf_dir), root)
     return bigints(layers["joined"], "year", "month")
 
 
-@register("run_without_report", PIPELINE_SQL)
-def pipeline_run_without_report(spark, sf_dir):
+@register("full_run_without_report", PIPELINE_SQL)
+def full_run_without_report(spark, sf_dir):
     root = shared_folder(spark, "run")
     raw = a.raw_spe(spark, sf_dir), a.raw_wind(spark, sf_dir)
     return bigints(run_pipeline(*raw, a.mapping(spark, sf_dir), root, report_rules=None)["joined"], "year", "month")
 
 
-@register("run_from_landing", PIPELINE_SQL)
-def landing_run(spark, sf_dir):
+@register("full_run_from_landing", PIPELINE_SQL)
+def full_run_from_landing(spark, sf_dir):
     root = shared_folder(spark, "landing-run")
     write_csv(a.raw_spe(spark, sf_dir), f"{root}/in/spe", sep=";")
     write_csv(a.raw_wind(spark, sf_dir), f"{root}/in/wind", sep=";")

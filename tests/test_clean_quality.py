@@ -62,7 +62,7 @@ def test_clean_from_copy_counts_equals_clean_from_raw(spe, wind):
 
 
 def test_copy_counts(spe):
-    counted = {(r.nom_usina, r.din_instante, r.flg_dadoventoinvalido): r.copies for r in count_copies(spe).collect()}
+    counted = {(r.nom_usina, r.din_instante, r.flg_dadoventoinvalido): r["_copies"] for r in count_copies(spe).collect()}
     assert counted[("A", "2026-01-01 00:00:00", "0")] == 2
     assert sum(counted.values()) == len(SPE_ROWS) and len(counted) == 6
 

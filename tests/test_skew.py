@@ -90,7 +90,7 @@ def test_null_names_and_salted_pairs_spread_over_tasks(spark, tmp_path):
 def test_copies_are_counted_before_the_shuffle(spark):
     raw = spark.range(300000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 1000).cast("string")).alias("v"))
     counted = clean.count_copies(raw)
-    assert counted.agg(F.sum("copies"), F.count("*"), F.max("copies")).first()[:] == (300000, 1001, 100000)
+    assert counted.agg(F.sum("_copies"), F.count("*"), F.max("_copies")).first()[:] == (300000, 1001, 100000)
     assert "partial_count" in final_plan(counted)
 
 

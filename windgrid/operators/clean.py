@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from windgrid.functions import to_double, to_timestamp
 from windgrid.schemas import COMPLEX_NUMERIC, FLAG, PLANT_NUMERIC, TS
 
-COPIES = "copies"
+COPIES = "_copies"
 
 
 def count_copies(raw: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     # Splits oversized join partitions, so one hot name does not become one slow task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A join whose smaller side has no partition above this size is hashed instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Lets REBALANCE split a hot month over several files instead of one writer task.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
