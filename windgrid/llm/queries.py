@@ -5,13 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from windgrid.llm import packing
-from windgrid.llm.common import table
+from windgrid.llm import packing, toxicity
+from windgrid.llm.common import crc_residue, table
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op1_packing": op1_packing}
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    held_out = crc_residue("doc_id", 4) == 2
+    model = toxicity.ToxicityModel.fit(documents, labels, held_out)
+    scored = model.score(documents.select("doc_id", "text"), 0.3)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+QUERIES = {"op6_toxicity": op6_toxicity, "op1_packing": op1_packing}
 ORACLES: dict[str, str] = {}
