@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windgrid.llm import packing, search, toxicity
+from windgrid.llm import chat, packing, search, toxicity
 from windgrid.llm.common import crc_residue, table
 
 
@@ -42,5 +42,42 @@ WITH sound AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-QUERIES = {"op4_top_k": op4_top_k, "op6_toxicity": op6_toxicity, "op1_packing": op1_packing}
-ORACLES: dict[str, str] = {"op4_top_k": OP4_SQL}
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    added = spark.sql("SELECT -1L AS conv_id, turn, role, text FROM VALUES (0L, 'user', '{0}'), (1L, 'assistant', '{0}') AS t(turn, role, text)".format(control))
+    done = chat.format_paths(chat.linear_messages(given.unionByName(added)))
+    turns = F.transform(chat.read_turns(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    done = done.withColumns({"turns": turns, "loss": chat.loss_text(F.col("formatted"), F.col("loss_spans"))})
+    return done.select(
+        F.col("tree").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join("turns", ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+OP7_SQL = r"""
+WITH given AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), clean AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM given
+), counted AS (
+  SELECT *, length(replace(role, '\', '\\')) + len(regexp_extract_all(role, '</?s>|<<SYS>>|<</SYS>>|<\|[a-z_]+\|>|\[/?INST\]'))
+    + length(replace(text, '\', '\\')) + len(regexp_extract_all(text, '</?s>|<<SYS>>|<</SYS>>|<\|[a-z_]+\|>|\[/?INST\]')) + 13 AS chars
+  FROM clean
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM counted GROUP BY conv_id
+"""
+
+QUERIES = {"op7_chat": op7_chat, "op4_top_k": op4_top_k, "op6_toxicity": op6_toxicity, "op1_packing": op1_packing}
+ORACLES: dict[str, str] = {"op7_chat": OP7_SQL, "op4_top_k": OP4_SQL}
