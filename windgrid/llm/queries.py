@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windgrid.llm import chat, packing, search, toxicity
+from windgrid.llm import chat, packing, search, secrets, toxicity
 from windgrid.llm.common import crc_residue, table
 
 
@@ -79,5 +79,18 @@ SELECT conv_id, count(*) AS n_turns,
 FROM counted GROUP BY conv_id
 """
 
-QUERIES = {"op7_chat": op7_chat, "op4_top_k": op4_top_k, "op6_toxicity": op6_toxicity, "op1_packing": op1_packing}
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.per_document(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        of_kind(0).alias("n_assign"),
+        of_kind(1).alias("n_access"),
+        of_kind(2).alias("n_hex"),
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES = {"op10_secrets": op10_secrets, "op7_chat": op7_chat, "op4_top_k": op4_top_k, "op6_toxicity": op6_toxicity, "op1_packing": op1_packing}
 ORACLES: dict[str, str] = {"op7_chat": OP7_SQL, "op4_top_k": OP4_SQL}
