@@ -161,8 +161,8 @@ def labelled(described: DataFrame, labels: DataFrame, id_column: str = "doc_id")
 def learn(rows: DataFrame, most_rules: int = 8, most_literals: int = 4, grid: int = 64, least_bad: int = 5, precision: float = 0.95) -> list[Rule]:
     """Sequential covering over all labelled rows (bad, prune, _f); only counts by threshold reach the driver.
 
-    A rule must cover ``least_bad`` bad rows and be right for a share of ``precision`` on the rows for pruning. Without
-    rows of both classes the list is empty.
+    A rule must cover ``least_bad`` bad rows and be right for a share of ``precision`` on the rows for pruning; if it is
+    not, no later rule begins as it did. Without rows of both classes the list is empty.
     """
     names = list(features())
     shares = [k / grid for k in range(1, grid)]
@@ -177,13 +177,14 @@ def learn(rows: DataFrame, most_rules: int = 8, most_literals: int = 4, grid: in
     rows = rows.withColumn("_b", bins)
 
     rules: list[Rule] = []
+    refused: set[tuple[str, bool]] = set()
     open_rows = F.lit(True)
-    while len(rules) < most_rules:
+    while len(rules) < most_rules and len(refused) <= len(names):
         rule: Rule = ()
         while len(rule) < most_literals:
             scope = rows.filter(open_rows & ~F.col("prune") & holds(rule))
             counts = scope.select("bad", F.posexplode("_b")).groupBy("pos", "col").agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")).collect()
-            literal = best_literal(counts, names, thresholds, least_bad)
+            literal = best_literal(counts, names, thresholds, least_bad, set() if rule else refused)
             if literal is None:
                 break
             rule = (*rule, literal)
@@ -192,9 +193,10 @@ def learn(rows: DataFrame, most_rules: int = 8, most_literals: int = 4, grid: in
                 break
         if not rule:
             break
-        rule = pruned(rows.filter(open_rows & F.col("prune")), rule, precision, least_bad)
+        grown, rule = rule, pruned(rows.filter(open_rows & F.col("prune")), rule, precision, least_bad)
         if rule is None:
-            break
+            refused.add((grown[0].feature, grown[0].above))
+            continue
         rules.append(rule)
         open_rows = open_rows & ~holds(rule)
     return rules
@@ -206,8 +208,8 @@ def _bin(value: Column, thresholds: list[float]) -> Column:
     return F.size(F.filter(cuts, lambda t: t < value))
 
 
-def best_literal(counts, names: list[str], thresholds: dict[str, list[float]], least_bad: int) -> Literal | None:
-    """The threshold with the largest information gain for bad rows."""
+def best_literal(counts, names: list[str], thresholds: dict[str, list[float]], least_bad: int, refused: set[tuple[str, bool]]) -> Literal | None:
+    """The threshold with the largest information gain for bad rows, not on a refused (feature, direction)."""
     by: dict[str, dict[int, tuple[int, int]]] = {n: {} for n in names}
     for r in counts:
         by[names[r["pos"]]][r["col"]] = (r["p"], r["n"])
@@ -224,7 +226,7 @@ def best_literal(counts, names: list[str], thresholds: dict[str, list[float]], l
             for above, pp, nn in ((False, p_low, n_low), (True, p_all - p_low, n_all - n_low)):
                 if pp >= least_bad and pp + nn < p_all + n_all:
                     gain = pp * (math.log2(pp / (pp + nn)) - before)
-                    if gain > 1e-9:
+                    if gain > 1e-9 and (name, above) not in refused:
                         found.append((gain, Literal(name, above, t)))
     return max(found, key=lambda x: x[0])[1] if found else None
 
