@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windgrid.llm import chat, packing, quality, search, secrets, toxicity
+from windgrid.llm import chat, dedup, packing, quality, search, secrets, toxicity
 from windgrid.llm.common import crc_residue, table
 
 
@@ -98,5 +98,9 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "_s.h.n_words", "_s.word_chars", "_s.n_symbols", "_s.l.n_dup_lines", "_s.h.n_repeat_words", "base_failed", "kept", "rule")
 
 
-QUERIES = {"op3_quality": op3_quality, "op10_secrets": op10_secrets, "op7_chat": op7_chat, "op4_top_k": op4_top_k, "op6_toxicity": op6_toxicity, "op1_packing": op1_packing}
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.link(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+QUERIES = {"op9_near_duplicates": op9_near_duplicates, "op3_quality": op3_quality, "op10_secrets": op10_secrets, "op7_chat": op7_chat, "op4_top_k": op4_top_k, "op6_toxicity": op6_toxicity, "op1_packing": op1_packing}
 ORACLES: dict[str, str] = {"op7_chat": OP7_SQL, "op4_top_k": OP4_SQL}
