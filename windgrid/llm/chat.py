@@ -66,7 +66,8 @@ def paths(messages: DataFrame, most_levels: int = 40) -> DataFrame:
     for jump in reversed(jumps):
         step = jump.select(F.col("tree").alias("_t"), F.col("id").alias("_id"), "up")
         more = found.join(step, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("id") == F.col("_id"))).select("tree", "leaf", F.col("up").alias("id"))
-        found = found.unionByName(more)
+        # Stored, as the plan would double with every level.
+        found = stored(found.unionByName(more), "paths")
     return found
 
 
