@@ -203,7 +203,7 @@ def link_groups(rows: DataFrame, keys: list[str], size: int, percent: int, neede
 
 
 def link(documents: DataFrame, size: int = 5, percent: int = 80, miss: float = 1e-5, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document.
+    """doc_id, n_shingles, component_id, text_hash (xxhash64), kept: one row per document.
 
     Documents are linked if 100 * common >= percent * all of their distinct shingles of ``size`` words; component_id is the
     smallest doc_id reachable. A text without words, or null, has an empty set and stays alone. Rows of equal doc_id are
@@ -254,6 +254,7 @@ def link(documents: DataFrame, size: int = 5, percent: int = 80, miss: float = 1
 
     node_of = nodes.select("set_key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     node_of = node_of.select("set_key", F.coalesce("component", "rep").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "set_key").join(node_of, "set_key", "left")
+    out = signed.select("doc_id", "n_shingles", "set_key", "h").join(node_of, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("h").alias("text_hash"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -265,8 +265,6 @@ def judge(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[Rule
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()), rules
 
 
-def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of documents that pass the base rules and the learned list, with their columns."""
-    _, rules = judge(documents.select("doc_id", "text"), labels)
-    verdicts = described(documents).filter(~base_failed() & verdict(rules).isNull())
-    return verdicts.select(*documents.columns)
+def passes(rules: list[Rule]) -> Column:
+    """Whether a described row meets neither the base rules nor a learned one."""
+    return ~base_failed() & verdict(rules).isNull()

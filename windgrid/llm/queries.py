@@ -18,8 +18,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
     held_out = crc_residue("doc_id", 4) == 2
     model = toxicity.ToxicityModel.fit(documents, labels, held_out)
-    scored = model.score(documents.select("doc_id", "text"), 0.3)
-    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    return documents.select("doc_id", held_out.alias("held_out"), model.column(F.col("text"), 0.3).alias("t")).select("doc_id", "held_out", "t.*")
 
 
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Letters of other scripts, digits and signs that are written for Latin letters.
@@ -217,22 +217,18 @@ class ToxicityModel:
         x = features(rows["weight"], rows["words"])
         return cls(lexicon, logistic(x, y, share / share.mean()), harmless)
 
-    def score(self, documents: DataFrame, threshold: float = 0.3) -> DataFrame:
-        """The given columns, with score (0 to 1) and predicted (1 if the score reaches the threshold) in place of
-        any of these names. A null text counts as empty; an empty one gets the score of a text without a match."""
-        beta, lexicon, harmless = self.beta, self.lexicon, self.harmless
-        kept = [c for c in documents.columns if c not in ("score", "predicted")]
-        given = documents.select(*kept).schema
-        schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in given)
-        text_at = kept.index("text")
+    def column(self, text: Column, threshold: float = 0.3) -> Column:
+        """A struct of score (0 to 1) and predicted (1 if the score reaches the threshold). A null text counts as empty,
+        which has the score of a text without a match."""
+        beta, lexicon, harmless = np.array(self.beta), self.lexicon, self.harmless
 
-        def run(batches) -> Iterator[pa.RecordBatch]:
+        @F.arrow_udf("score double, predicted int")
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             match = matcher(lexicon, harmless)
             for batch in batches:
-                got = [match(text.as_py()) for text in batch.column(text_at)]
+                got = [match(text.as_py()) for text in batch]
                 x = features([g[0] for g in got], [g[1] for g in got])
-                score = 1 / (1 + np.exp(-np.clip(x @ np.array(beta), -30, 30)))
-                columns = [*batch.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, [*kept, "score", "predicted"])
+                score = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+                yield pa.StructArray.from_arrays([pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))], ["score", "predicted"])
 
-        return documents.select(*kept).mapInArrow(run, f"{schema}, score double, predicted int")
+        return run(text)
