@@ -82,9 +82,11 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_colu
     basis = np.diag((capacity // sizes).astype(float))
     cost = np.ones(m)
     inverse = np.linalg.inv(basis)
-    uses = inverse @ demand
+    # einsum stays in this thread; threads of a linear-algebra library would wait for busy cores.
+    times = lambda a, b: np.einsum("ij,j->i", a, b)
+    uses = times(inverse, demand)
     for turn in range(max_columns):
-        prices = cost @ inverse
+        prices = times(inverse.T, cost)
         lowest = int(prices.argmin())
         if prices[lowest] < -1e-9:
             column, column_cost = np.zeros(m), 0.0
@@ -92,9 +94,11 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_colu
         else:
             value, column = best_pattern(prices, sizes, capacity)
             column_cost = 1.0
-            if value <= 1 + 1e-7:
+            # By Farley's bound no solution is below total / value: what is left to gain is half a sequence, or nothing.
+            total = float(cost @ uses)
+            if value <= 1 + 1e-7 or total - total / value < max(0.5, 2e-4 * total):
                 break
-        direction = inverse @ column
+        direction = times(inverse, column)
         ahead = np.flatnonzero(direction > 1e-9)
         if not len(ahead):
             break
@@ -105,7 +109,7 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_colu
         inverse[leave] = pivot
         if turn % 200 == 199:
             inverse = np.linalg.inv(basis)
-        uses = np.maximum(inverse @ demand, 0)
+        uses = np.maximum(times(inverse, demand), 0)
     left = demand.astype(int).copy()
     patterns = []
     for k in np.argsort(-uses):

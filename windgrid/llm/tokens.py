@@ -12,9 +12,12 @@ import sys
 import types
 from array import array
 
-TEXTS_AT_ONCE, CHARS_AT_ONCE, WORDS_KEPT = 512, 1 << 20, 800_000
-GAP = re.compile(r"[ \t\n\r]+")
+TEXTS_AT_ONCE, CHARS_AT_ONCE, WORDS_KEPT = 512, 1 << 20, 450_000
+# White space to Python, but not to the tokenizers.
+SEPARATORS = re.compile("[\x1c-\x1f]")
 TAIL = ".,;:!?"
+# Lower-case Latin letters that normalizing leaves as they are.
+PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 
 def worker_state(name: str) -> dict:
@@ -71,15 +74,18 @@ def encoded(library, parts: list[str]) -> list[bytes]:
 
 def learn_words(library, plain, known: dict[str, bytes], words: list[str]) -> None:
     """Adds words: a word is its base and its closing punctuation, which are pieces of their own after a letter."""
-    bases = {}
+    bases, tails = {}, set()
     for word in words:
         base = word.rstrip(TAIL)
-        if not base or not base[-1].isalpha():
-            base = word
+        if base != word:
+            if base and base[-1].isalpha():
+                tails.add(word[len(base) :])
+            else:
+                base = word
         # A control string counts only as it is written.
-        bases[word] = base if "<|" in base or max(base, default="") >= "\u0100" else base.lower()
-    new = {*bases.values(), *(w[len(b) :] for w, b in bases.items())}.difference(known)
-    simple = [w for w in new if w.isalpha() and w.islower() and max(w) < "\u0100"] if plain else []
+        bases[word] = base.lower() if "<|" not in base and (base.isascii() or max(base) < "\u0100") else base
+    new = tails.union(bases.values(), [""]).difference(known)
+    simple = [w for w in new if PLAIN.fullmatch(w)] if plain else []
     for reader, parts in ((plain, simple), (library, list(new.difference(simple)))):
         for at in range(0, len(parts), 1024):
             part = parts[at : at + 1024]
@@ -92,6 +98,6 @@ def ids_of_texts(path: str, texts: list[str]) -> list[bytes]:
     known = worker_state(f"words of {path}")
     if len(known) > WORDS_KEPT:
         known.clear()
-    split = [GAP.split(text) for text in texts]
+    split = [text.split() if not SEPARATORS.search(text) else re.split("[ \\t\\n\\r]+", text) for text in texts]
     learn_words(load(path), load_plain(path), known, list(set().union(*split).difference(known)))
     return [b"".join(map(known.__getitem__, words)) for words in split]
