@@ -69,6 +69,21 @@ def best_pattern(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[
     return float(best[capacity]), pattern
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan with row exchange, in this thread."""
+    n = len(matrix)
+    both = np.hstack([matrix, np.eye(n)])
+    for k in range(n):
+        at = k + int(np.abs(both[k:, k]).argmax())
+        if at != k:
+            both[[k, at]] = both[[at, k]]
+        both[k] /= both[k, k]
+        factor = both[:, k].copy()
+        factor[k] = 0
+        both -= factor[:, None] * both[k]
+    return both[:, n:]
+
+
 def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_columns: int = 6000) -> list[tuple[int, dict[int, int]]]:
     """Patterns with their number of uses, covering the demand of each size (ascending, distinct, within capacity).
 
@@ -81,7 +96,7 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_colu
     m = len(sizes)
     basis = np.diag((capacity // sizes).astype(float))
     cost = np.ones(m)
-    inverse = np.linalg.inv(basis)
+    inverse = np.diag(1.0 / (capacity // sizes))
     # einsum stays in this thread; threads of a linear-algebra library would wait for busy cores.
     times = lambda a, b: np.einsum("ij,j->i", a, b)
     uses = times(inverse, demand)
@@ -108,7 +123,7 @@ def cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, max_colu
         inverse -= np.outer(direction, pivot)
         inverse[leave] = pivot
         if turn % 200 == 199:
-            inverse = np.linalg.inv(basis)
+            inverse = inverted(basis)
         uses = np.maximum(times(inverse, demand), 0)
     left = demand.astype(int).copy()
     patterns = []
