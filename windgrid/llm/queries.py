@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windgrid.llm import chat, dedup, packing, pages, quality, scoring, search, secrets, toxicity
+from windgrid.llm import bpe, chat, dedup, packing, pages, quality, scoring, search, secrets, toxicity
 from windgrid.llm.common import crc_residue, table
 
 
@@ -109,5 +109,11 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(table(spark, sf_dir, "documents").select("doc_id", "text"), crc_residue("doc_id", 10) == 0)
 
 
-QUERIES = {"op5_language_model": op5_language_model, "op8_pages": op8_pages, "op9_near_duplicates": op9_near_duplicates, "op3_quality": op3_quality, "op10_secrets": op10_secrets, "op7_chat": op7_chat, "op4_top_k": op4_top_k, "op6_toxicity": op6_toxicity, "op1_packing": op1_packing}
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    n_tokens = (F.length("ids") / 4).cast("long").alias("n_tokens")
+    return done.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+QUERIES = {"op2_bpe": op2_bpe, "op5_language_model": op5_language_model, "op8_pages": op8_pages, "op9_near_duplicates": op9_near_duplicates, "op3_quality": op3_quality, "op10_secrets": op10_secrets, "op7_chat": op7_chat, "op4_top_k": op4_top_k, "op6_toxicity": op6_toxicity, "op1_packing": op1_packing}
 ORACLES: dict[str, str] = {"op7_chat": OP7_SQL, "op4_top_k": OP4_SQL}
