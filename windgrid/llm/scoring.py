@@ -116,19 +116,13 @@ def score(documents: DataFrame, held_out: Column, vocabulary: int = VOCABULARY,
     training = given.filter(~F.col("held_out"))
     counts = stored(word_counts(training), "counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(frequent).toPandas()
+    # The end of text comes first, so that it is always a word of the network.
+    top = counts.orderBy(F.col("word") != END, F.desc("c"), "word").limit(frequent).toPandas()
     place = {w.encode(): k for k, w in enumerate(top["word"])}
     common = top["c"].to_numpy(np.float64)
     size = min(vocabulary, len(place))
     kept = {w: k for w, k in place.items() if k < size}
-    end = place.get(b"", size)
-    if end >= size and size:
-        # The end of text is always a word of the network.
-        swapped = next(w for w, k in kept.items() if k == size - 1)
-        place[swapped], place[b""] = end, size - 1
-        common[[end, size - 1]] = common[[size - 1, end]]
-        del kept[swapped]
-        kept[b""] = end = size - 1
+    end = 0
     tail = float(n - common[:size].sum())
     z_base = n + 0.1 * (v + 1)
     z_tail = tail + 0.1 * (v - size) + 0.1
