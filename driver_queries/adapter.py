@@ -139,14 +139,14 @@ def raw_spe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plant rows as files hold them: text, with spoiled values and one to three copies of each row."""
     e = table(spark, sf_dir, "events")
     n, i = F.col("user_id") % 10, F.col("event_id")
-    blanks = F.when(n.isin(3, 7), F.lit("Conj  ")).otherwise(F.lit("Conj "))
+    blanks = F.when(n.isin(3, 7), F.lit(" Conj  ")).otherwise(F.lit(" Conj "))
     ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     value = _text("value")
     rows = e.select(
         F.concat(F.lit("SS"), _text(n % 3)).alias("id_subsistema"),
         F.concat(F.lit("E"), _text(n % 4)).alias("id_estado"),
-        F.when(F.col("user_id") % 2 == 0, "Tipo I").otherwise("Tipo II").alias("nom_modalidadeoperacao"),
-        F.when(i % 53 != 0, F.concat(blanks, _text(n))).alias("nom_conjuntousina"),
+        F.when(F.col("user_id") % 2 == 0, ' Tipo "I"; norte ').otherwise("Tipo II\\").alias("nom_modalidadeoperacao"),
+        F.when(i % 53 != 0, F.concat(blanks, _text(n), F.lit(" "))).alias("nom_conjuntousina"),
         F.concat(F.lit("U"), _text("user_id")).alias("nom_usina"),
         F.concat(F.lit("ID"), _text(F.col("user_id") % 7)).alias("id_ons"),
         F.when(i % 61 != 0, F.concat(F.lit("EOL.CV."), code_of("user_id"), F.lit(".01"))).alias("ceg"),
@@ -164,9 +164,9 @@ RAW_SPE_SQL = f"""
 raw_spe AS (
   SELECT 'SS' || CAST(user_id % 10 % 3 AS VARCHAR) AS id_subsistema,
          'E' || CAST(user_id % 10 % 4 AS VARCHAR) AS id_estado,
-         CASE WHEN user_id % 2 = 0 THEN 'Tipo I' ELSE 'Tipo II' END AS nom_modalidadeoperacao,
+         CASE WHEN user_id % 2 = 0 THEN ' Tipo "I"; norte ' ELSE 'Tipo II\\' END AS nom_modalidadeoperacao,
          CASE WHEN event_id % 53 <> 0 THEN
-           CASE WHEN user_id % 10 IN (3, 7) THEN 'Conj  ' ELSE 'Conj ' END || CAST(user_id % 10 AS VARCHAR)
+           CASE WHEN user_id % 10 IN (3, 7) THEN ' Conj  ' ELSE ' Conj ' END || CAST(user_id % 10 AS VARCHAR) || ' '
          END AS nom_conjuntousina,
          'U' || CAST(user_id AS VARCHAR) AS nom_usina,
          'ID' || CAST(user_id % 7 AS VARCHAR) AS id_ons,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driver_queries import adapter as a
-from windgrid.functions import is_bad_timestamp, is_uncastable, to_double, to_timestamp
+from windgrid.functions import decimal_sum, is_bad_timestamp, is_uncastable, to_double, to_timestamp
 from windgrid.operators import assets, clean, coverage, levels, metrics, quality, star, validate
 from windgrid.plans import build_star, run_from_landing, run_pipeline, run_validation
 from windgrid.schemas import COMPLEX_NUMERIC, COMPLEX_PAYLOAD, PLANT_NUMERIC
@@ -626,19 +626,19 @@ def partition_columns_query(spark, sf_dir):
 # --- files --------------------------------------------------------------------------------------
 
 
-@register(
-    "concat_by_name",
-    with_tables(a.RAW_SPE_SQL, a.RAW_WIND_SQL)
-    + """ SELECT nom_usina, id_ons, TRY_CAST(din_instante AS TIMESTAMP) AS din_instante, val_geracaoverificada,
-  CAST(NULL AS VARCHAR) AS val_geracao, ceg FROM raw_spe
-UNION ALL SELECT nom_usina, id_ons, TRY_CAST(din_instante AS TIMESTAMP), NULL, val_geracao, NULL FROM raw_wind""",
-)
+def _by_name_sql(as_timestamp: bool) -> str:
+    """Both levels' raw rows, one below the other by name."""
+    ts = "TRY_CAST(din_instante AS TIMESTAMP)" if as_timestamp else "din_instante"
+    every = [*a.RAW_SPE_COLUMNS, *[c for c in a.RAW_WIND_COLUMNS if c not in a.RAW_SPE_COLUMNS]]
+    part = lambda own: ", ".join(f"{ts} AS {c}" if c == "din_instante" else c if c in own else f"CAST(NULL AS VARCHAR) AS {c}" for c in every)
+    return with_tables(a.RAW_SPE_SQL, a.RAW_WIND_SQL) + f" SELECT {part(a.RAW_SPE_COLUMNS)} FROM raw_spe UNION ALL SELECT {part(a.RAW_WIND_COLUMNS)} FROM raw_wind"
+
+
+@register("concat_by_name", _by_name_sql(as_timestamp=True))
 def concat_by_name(spark, sf_dir):
     folder = shared_folder(spark, "by-name")
-    first = a.raw_spe(spark, sf_dir).select("nom_usina", "id_ons", "din_instante", "val_geracaoverificada", "ceg")
-    second = a.raw_wind(spark, sf_dir).select("val_geracao", "din_instante", "id_ons", "nom_usina")
-    write_csv(first, f"{folder}/first", sep=";")
-    write_csv(second, f"{folder}/second", sep=";")
+    write_csv(a.raw_spe(spark, sf_dir), f"{folder}/first", sep=";")
+    write_csv(a.raw_wind(spark, sf_dir).select(*reversed(a.RAW_WIND_COLUMNS)), f"{folder}/second", sep=";")
     return files.read_csv_by_name(spark, f"{folder}/*")
 
 
@@ -668,18 +668,45 @@ def partitioned_roundtrip(spark, sf_dir):
     return bigints(files.read_partitioned(spark, path), "year", "month")
 
 
-@register("stream_ingest", with_tables(a.RAW_SPE_SQL, a.RAW_WIND_SQL) + " SELECT nom_usina, din_instante, id_ons FROM raw_spe UNION ALL SELECT nom_usina, din_instante, id_ons FROM raw_wind")
+@register("stream_ingest", _by_name_sql(as_timestamp=False))
 def stream_ingest(spark, sf_dir):
     """Two deliveries and three runs: the second run finds nothing new, the third only the second delivery."""
     folder = shared_folder(spark, "landing")
-    columns = ["nom_usina", "din_instante", "id_ons"]
     for month, rows in (("m1", a.raw_spe(spark, sf_dir)), ("m2", a.raw_wind(spark, sf_dir))):
-        write_csv(rows.select(columns), f"{folder}/in/{month}", sep=";")
+        write_csv(rows, f"{folder}/in/{month}", sep=";")
         for _ in range(2 if month == "m1" else 1):
-            bronze = ingest_landing(spark, f"{folder}/in/*", f"{folder}/bronze", f"{folder}/checkpoint", columns)
+            bronze = ingest_landing(spark, f"{folder}/in/*", f"{folder}/bronze", f"{folder}/checkpoint", a.RAW_SPE_COLUMNS)
     return bronze.drop("source_file")
 
 
+@register(
+    "ingest_drift",
+    with_tables(a.RAW_WIND_SQL)
+    + f""" SELECT {", ".join(a.RAW_WIND_COLUMNS)}, id_ons || '+' AS extra FROM raw_wind
+UNION ALL SELECT {", ".join("NULL" if c == "cod_razaorestricao" else c for c in a.RAW_WIND_COLUMNS)}, NULL FROM raw_wind
+UNION ALL SELECT {", ".join(a.RAW_WIND_COLUMNS)}, NULL FROM raw_wind""",
+)
+def ingest_drift(spark, sf_dir):
+    """Three deliveries: one more column, one column less, columns in another order."""
+    folder, rows = shared_folder(spark, "drift"), a.raw_wind(spark, sf_dir)
+    deliveries = (rows.withColumn("extra", F.concat("id_ons", F.lit("+"))), rows.drop("cod_razaorestricao"), rows.select(*reversed(rows.columns)))
+    for k, delivery in enumerate(deliveries):
+        write_csv(delivery, f"{folder}/in/m{k}", sep=";")
+        bronze = ingest_landing(spark, f"{folder}/in/*", f"{folder}/bronze", f"{folder}/checkpoint", a.RAW_WIND_COLUMNS)
+    return bronze.drop("source_file")
+
+
+@register(
+    "large_sums",
+    """SELECT o_orderpriority, CAST(SUM(CAST(o_totalprice AS DECIMAL(38,2)) * 100000000000000) AS DOUBLE) / 100 AS exact_sum, COUNT(*) AS n
+FROM orders GROUP BY o_orderpriority""",
+)
+def large_sums(spark, sf_dir):
+    """Sums of values above 1e13 at scale 2, which pass the range of whole 64-bit numbers."""
+    value = (F.col("o_totalprice").cast("decimal(18,2)") * F.lit(10**12).cast("decimal(14,0)")).cast("double")
+    return a.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(decimal_sum(value, 2).alias("exact_sum"), F.count("*").alias("n"))
+
+
 PIPELINE_SQL = (
     with_tables(a.RAW_SPE_SQL, CLEAN_SPE_SQL, a.RAW_WIND_SQL, CLEAN_WIND_SQL, a.MAPPING_SQL)
     + rf""", spe_owned AS (

@@ -20,23 +20,24 @@ def join_levels(
     payload: Sequence[str] = COMPLEX_PAYLOAD,
     collapse_ws: bool = False,
     salt: int = 1,
+    spread_by: Sequence[str] = ("nom_usina", TS),
 ) -> DataFrame:
     """Plant rows LEFT JOIN complex rows on normalised name and timestamp.
 
     Every plant row stays; several matches multiply it; a null key matches nothing. The third join key
     ``_slot`` is equal on both sides wherever the names are. Rows that cannot match get a hash of the
-    whole row there, so a mass of null names does not meet in one task. ``salt`` above one also cuts each
-    (name, timestamp) into that many slots and repeats the complex rows per slot; use it for a hot pair
-    when adaptive skew handling is off. Plant rows come out of a distinct, so their hashes spread.
+    ``spread_by`` columns there, so a mass of null names does not meet in one task; only these columns are read
+    for it. ``salt`` above one also cuts each (name, timestamp) into that many slots and repeats the complex rows per
+    slot; use it for a hot pair when adaptive skew handling is off.
     """
-    whole_row = F.xxhash64(*[F.col(c) for c in spe.columns])
+    spread = F.xxhash64(*[F.col(c) for c in spread_by if c in spe.columns] or [F.col(spe_name)])
     key = normalize(spe_name, collapse_ws)
-    slot = F.pmod(whole_row, F.lit(salt)) if salt > 1 else F.lit(0).cast("bigint")
+    slot = F.pmod(spread, F.lit(salt)) if salt > 1 else F.lit(0).cast("bigint")
     unmatched = key.isNull() | F.col(ts).isNull()
     left = spe.select(
         *spe.columns,
         key.alias("_name"),
-        F.when(unmatched, whole_row).otherwise(F.xxhash64(key, slot)).alias("_slot"),
+        F.when(unmatched, spread).otherwise(F.xxhash64(key, slot)).alias("_slot"),
     )
     right_key = normalize(wind_name, collapse_ws)
     right = wind.select(right_key.alias("_right_name"), F.col(ts).alias("_right_ts"), *payload)

@@ -58,8 +58,13 @@ def write_star(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFram
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """CSV files with a header; one file per task."""
-    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    """CSV files with a header; one file per task.
+
+    Text is written as it is: outer blanks stay, and a quote inside quotes is doubled, as common readers expect. CSV
+    does not tell empty text from a missing value; both come back as null.
+    """
+    writer = df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:

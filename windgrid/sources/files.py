@@ -2,54 +2,78 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from windgrid.functions import to_timestamp
 from windgrid.schemas import DATE_COLUMNS, MAPPING_SCHEMA, TS
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str], sep: str = ";") -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str | list[str], sep: str = ";", multi_line: bool = False) -> DataFrame:
     """All files with one common header, every column as text.
 
-    A file whose header differs fails the read; use ``read_csv_by_name`` for such folders.
+    Quotes inside quoted text are doubled; a backslash is a letter like any other. ``multi_line`` reads line breaks inside
+    quotes, for which a file cannot be split over tasks. A file whose header differs fails the read; use
+    ``read_csv_by_name`` for such folders.
     """
-    return _text_csv(spark, path, sep)
+    return _text_csv(spark, path, sep, multi_line)
 
 
 def read_csv_by_name(
-    spark: SparkSession, folder: str, sep: str = ";", date_columns: tuple[str, ...] | None = tuple(DATE_COLUMNS)
+    spark: SparkSession,
+    folder: str,
+    sep: str = ";",
+    date_columns: tuple[str, ...] | None = tuple(DATE_COLUMNS),
+    multi_line: bool = False,
 ) -> DataFrame:
     """All CSV files of a folder put together by column name; a column a file lacks is null there.
 
-    Files are grouped by header and each group is one scan, so the plan grows with the number of
-    different headers and not with the number of files. Only header lines are read ahead. Date
+    Files are grouped by header and each group is one scan, so plan and jobs grow with the number of
+    different headers and not with the number of files. Only header lines are read ahead, without a job. Date
     columns present become timestamps, null where unreadable; pass ``None`` to keep text.
     """
-    groups = defaultdict(list)
-    files = csv_files(spark, folder)
-    with ThreadPoolExecutor(16) as pool:
-        for file, header in zip(files, pool.map(lambda f: tuple(_text_csv(spark, f, sep).columns), files)):
-            groups[header].append(file)
-    combined = None
-    for paths in groups.values():
-        part = _text_csv(spark, paths, sep)
-        combined = part if combined is None else combined.unionByName(part, allowMissingColumns=True)
+    combined = union_by_name(spark, headers_of(spark, csv_files(spark, folder), sep), sep, multi_line)
     present = [c for c in date_columns or () if c in combined.columns]
     return combined.withColumns({c: to_timestamp(F.col(c)) for c in present}) if present else combined
 
 
+def headers_of(spark: SparkSession, files: Iterable[str], sep: str = ";") -> dict[tuple[str, ...], list[str]]:
+    """The files by their header; those without a header line are under the empty one."""
+    files = list(files)
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    with ThreadPoolExecutor(16) as pool:
+        for file, line in zip(files, pool.map(lambda f: _first_line(spark, f), files)):
+            groups[tuple(next(csv.reader([line], delimiter=sep), ()))].append(file)
+    return dict(groups)
+
+
+def union_by_name(spark: SparkSession, groups: dict[tuple[str, ...], list[str]], sep: str = ";", multi_line: bool = False) -> DataFrame:
+    """One scan for each header, put together by column name."""
+    combined = None
+    for header, paths in groups.items():
+        if header:
+            part = _text_csv(spark, paths, sep, multi_line, header)
+            combined = part if combined is None else combined.unionByName(part, allowMissingColumns=True)
+    if combined is None:
+        raise ValueError(f"No header line in: {', '.join(f for paths in groups.values() for f in paths[:3])}")
+    return combined
+
+
 def csv_files(spark: SparkSession, folder: str) -> list[str]:
-    """The folder's CSV files in name order; an error that names the folder if there are none."""
+    """The folder's CSV files in name order; an error that names the folder if there are none. Other errors pass."""
     try:
         files = spark.read.option("pathGlobFilter", "*.csv").text(folder).inputFiles()
-    except (AnalysisException, Py4JJavaError):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         files = []
     if not files:
         raise ValueError(f"No CSV files found in: {folder}")
@@ -58,7 +82,7 @@ def csv_files(spark: SparkSession, folder: str) -> list[str]:
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     """The asset mapping (project, plant, code). The schema is given: inference reads codes as dates."""
-    return spark.read.schema(MAPPING_SCHEMA).option("header", True).option("enforceSchema", False).csv(path)
+    return spark.read.schema(MAPPING_SCHEMA).options(header=True, enforceSchema=False, escape='"').csv(path)
 
 
 def read_partitioned(spark: SparkSession, path: str, ts: str = TS) -> DataFrame:
@@ -74,6 +98,20 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("section string, metric string, key string, value double, detail string").json(path)
 
 
-def _text_csv(spark: SparkSession, path: str | list[str], sep: str) -> DataFrame:
-    reader = spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8")
-    return reader.option("enforceSchema", False).csv(path)
+def _text_csv(spark: SparkSession, path: str | list[str], sep: str, multi_line: bool = False, header: tuple[str, ...] = ()) -> DataFrame:
+    """With a known header no job looks for it."""
+    reader = spark.read.options(header=True, sep=sep, encoding="UTF-8", escape='"', multiLine=multi_line, enforceSchema=False)
+    if header and len({h.lower() for h in header}) == len(header) and all(header):
+        reader = reader.schema(T.StructType([T.StructField(h, T.StringType()) for h in header]))
+    return reader.csv(path)
+
+
+def _first_line(spark: SparkSession, file: str) -> str:
+    """Read through Spark's file systems, so that every store works that Spark can read."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        return (jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or "").removeprefix("\ufeff")
+    finally:
+        stream.close()

@@ -1,5 +1,5 @@
 """Incremental ingest of a landing zone."""
 
-from windgrid.streaming.ingest import ingest_landing
+from windgrid.streaming.ingest import ingest_landing, rejected_files
 
-__all__ = ["ingest_landing"]
+__all__ = ["ingest_landing", "rejected_files"]

@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from windgrid.sources.files import headers_of, union_by_name
+
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+REJECTED = "path string, reason string, batch long"
+
 
 def ingest_landing(
     spark: SparkSession,
@@ -17,32 +24,76 @@ def ingest_landing(
     columns: Sequence[str],
     sep: str = ";",
     max_files: int = 1000,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Appends the CSV files not seen before to the bronze table and returns the whole table.
 
-    Columns stay text, with the source file's name added. The checkpoint remembers the files, so a rerun
-    adds nothing and a run that lost executors continues without duplicates. A backlog is taken in
-    batches of ``max_files``. The age limit is lifted: a month delivered late with an old file date is
-    still read.
+    Files are put together by column name: a column of ``columns`` that a file lacks is null, and a further one is kept. Columns stay
+    text, with the source file's name added. A file that cannot be read is set aside and listed (``rejected_files``); the others
+    go on. The checkpoint remembers the files, and each batch replaces what an interrupted try of it has left, so a rerun adds nothing.
+    A backlog is taken in batches of ``max_files``. The age limit is lifted: a month delivered late with an old file date is
+    still read. A landing folder that never held a CSV file is an error that names it.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+    def append(batch: DataFrame, number: int) -> None:
+        files = sorted(unquote(r["path"]) for r in batch.select("path").collect())
+        if not files:
+            return
+        groups = headers_of(spark, files, sep)
+        refused = [(f, "no header line", number) for f in groups.pop((), [])]
+        for header in [h for h in groups if len({c.lower() for c in h}) < len(h) or not all(h) or not set(columns) & set(h)]:
+            refused += [(f, "column names missing, repeated or all unknown", number) for f in groups.pop(header)]
+        try:
+            _write(spark, groups, bronze, number, columns, sep, multi_line)
+        except PySparkException:
+            # Some file fails: try them one by one and set aside those that do.
+            good: dict[tuple[str, ...], list[str]] = {}
+            for header, paths in groups.items():
+                for path in paths:
+                    try:
+                        union_by_name(spark, {header: [path]}, sep, multi_line).write.format("noop").mode("overwrite").save()
+                        good.setdefault(header, []).append(path)
+                    except PySparkException as error:
+                        refused.append((path, (error.getCondition() or "unreadable") if hasattr(error, "getCondition") else "unreadable", number))
+            _write(spark, good, bronze, number, columns, sep, multi_line)
+        spark.createDataFrame(refused, REJECTED).write.mode("overwrite").parquet(f"{bronze.rstrip('/')}_rejected/batch={number}")
+
     stream = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
-        .option("enforceSchema", False)
+        spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", max_files)
         .option("maxFileAge", "36500d")
-        .csv(landing)
-        .withColumn("source_file", F.col("_metadata.file_name"))
-    )
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", bronze)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        .load(landing)
     )
+    query = stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.parquet(bronze)
+    return read_bronze(spark, bronze, landing, columns)
+
+
+def read_bronze(spark: SparkSession, bronze: str, landing: str, columns: Sequence[str]) -> DataFrame:
+    """All batches by name: the expected columns first, then further ones, then source_file."""
+    try:
+        table = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(bronze)
+    except AnalysisException:
+        if rejected_files(spark, bronze).isEmpty():
+            raise ValueError(f"No CSV files found in: {landing}") from None
+        table = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "source_file")]))
+    further = [c for c in table.columns if c not in (*columns, "source_file")]
+    return table.select(*columns, *further, "source_file")
+
+
+def rejected_files(spark: SparkSession, bronze: str) -> DataFrame:
+    """Files set aside so far: path, reason, batch."""
+    try:
+        return spark.read.schema(REJECTED).option("recursiveFileLookup", True).parquet(f"{bronze.rstrip('/')}_rejected")
+    except AnalysisException:
+        return spark.createDataFrame([], REJECTED)
+
+
+def _write(spark: SparkSession, groups: dict, bronze: str, number: int, columns: Sequence[str], sep: str, multi_line: bool) -> None:
+    if not groups:
+        return
+    rows = union_by_name(spark, groups, sep, multi_line)
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in columns if c not in rows.columns})
+    rows.withColumn("source_file", F.element_at(F.split(F.input_file_name(), "/"), -1)).write.mode("overwrite").parquet(f"{bronze}/batch={number}")
