@@ -168,7 +168,7 @@ SELECT s.*, {PAYLOAD_SQL} FROM spe_kept s LEFT JOIN (SELECT * FROM ranked WHERE
   ON {COLLAPSED.format("s.nom_conjuntousina")} IS NOT DISTINCT FROM w.k""",
 )
 def level_join_dedupe(spark, sf_dir):
-    return levels.dedupe_then_join(spe_kept(spark, sf_dir), a.wind(spark, sf_dir))
+    return levels.dedupe_then_join(spe_kept(spark, sf_dir), a.wind(spark, sf_dir), store=shared_folder(spark, "firsts"))
 
 
 @register(
@@ -753,10 +753,12 @@ def full_run_from_landing(spark, sf_dir):
     return bigints(layers["joined"], "year", "month")
 
 
-@register("filter_assets", PIPELINE_SQL.split("SELECT s.*, w.")[0] + "SELECT * FROM wind_owned")
+@register("filter_assets", PIPELINE_SQL.split("SELECT s.*, w.")[0] + "SELECT 'spe' AS level, * FROM spe_owned UNION ALL BY NAME SELECT 'wind' AS level, * FROM wind_owned")
 def filter_assets(spark, sf_dir):
     spe, wind = clean.clean_spe(a.raw_spe(spark, sf_dir)), clean.clean_wind(a.raw_wind(spark, sf_dir))
-    return assets.filter_assets(spe, wind, a.mapping(spark, sf_dir))[1]
+    owned = assets.filter_assets(spe, wind, a.mapping(spark, sf_dir), store=shared_folder(spark, "names"))
+    parts = [rows.withColumn("level", F.lit(level)) for level, rows in zip(("spe", "wind"), owned)]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 @register("replace_table", JOINED + " SELECT * FROM joined")

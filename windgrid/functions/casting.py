@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Spellings the JVM parses as numbers but data files do not mean as such: 12d, 1.5f, 0x1p3.
 _JVM_ONLY_NUMBER = r"[xX]|[dD]\s*$|(?<![iI][nN])[fF]\s*$"
 _JVM_ONLY_LETTERS = "dDfFxX"
+# A whole date, and a time of hours and minutes at least if there is one.
+_WHOLE_TIMESTAMP = r"^[+-]?\d+([-/])\d{1,2}\1\d{1,2}(?:$|[ T]\d{1,2}:\d)"
+_MIDNIGHT = r"^(\d+-\d{1,2}-\d{1,2})[ T]24:00(?::00(?:\.0+)?)?$"
 
 
 def _parsed(value: Column) -> Column:
@@ -46,5 +49,10 @@ def to_timestamp(value: Column, mode: str = "coerce") -> Column:
 
 
 def is_bad_timestamp(value: Column) -> Column:
-    """True where a value is missing or is not a timestamp."""
-    return value.try_cast("timestamp_ntz").isNull()
+    """True where a value is missing or is not a timestamp by the rules of a database's TRY_CAST.
+
+    Spark alone would take a year, a month or a bare hour for a timestamp, and refuse slashes and midnight written as 24:00.
+    """
+    text = value.cast("string")
+    plain = F.regexp_replace(F.regexp_replace(text, "^(\\d+)/(\\d+)/", "$1-$2-"), _MIDNIGHT, "$1 00:00:00")
+    return ~F.coalesce(text.rlike(_WHOLE_TIMESTAMP) & plain.try_cast("timestamp_ntz").isNotNull(), F.lit(False))

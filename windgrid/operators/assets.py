@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windgrid.functions import asset_code, normalize
+from windgrid.sinks.files import write_layer
 
 
 def keep_mapped(spe: DataFrame, mapping: DataFrame, code: str = "ceg", mapping_code: str = "ceg") -> DataFrame:
@@ -58,9 +59,19 @@ def restrict_to_names(
 
 
 def filter_assets(
-    spe: DataFrame, wind: DataFrame, mapping: DataFrame, collapse_ws: bool = False, method: str = "inner"
+    spe: DataFrame,
+    wind: DataFrame,
+    mapping: DataFrame,
+    collapse_ws: bool = False,
+    method: str = "inner",
+    store: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Both levels cut down to the mapped assets: plants by code, complexes by the plants' names."""
+    """Both levels cut down to the mapped assets: plants by code, complexes by the plants' names.
+
+    With ``store``, a folder, the names are written there and read back, so that the filter is planned with their true size.
+    """
     owned_spe = attach_project(spe, mapping, method=method)
-    owned_wind = restrict_to_names(wind, distinct_names(owned_spe, collapse_ws=collapse_ws), collapse_ws=collapse_ws)
+    names = distinct_names(owned_spe, collapse_ws=collapse_ws)
+    names = write_layer(names, store) if store else names
+    owned_wind = restrict_to_names(wind, names, collapse_ws=collapse_ws)
     return owned_spe, owned_wind

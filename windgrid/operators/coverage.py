@@ -103,12 +103,16 @@ def missing_hours(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, ts: str = TS
 
 
 def list_missing_hours(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, ts: str = TS) -> DataFrame:
-    """Every absent hour per group as one row; expanded in steps of at most 4096 hours per array."""
+    """Every absent hour per group as one row; expanded in steps of at most 4096 hours per array.
+
+    The steps of one long gap are dealt out over all tasks before they are expanded.
+    """
     step = 4096
     runs = missing_hours(df, keys, ts)
     first = hour_number(F.col("gap_start"))
     last = hour_number(F.col("gap_end"))
     chunks = runs.select(*keys, last.alias("_last"), F.explode(F.sequence(first, last, F.lit(step).cast("bigint"))).alias("_from"))
+    chunks = chunks.repartition(*keys, "_from")
     upto = F.least(F.col("_from") + (step - 1), F.col("_last"))
     return chunks.select(*keys, F.explode(F.sequence(F.col("_from"), upto)).alias("_hour")).select(
         *keys, hour_start(F.col("_hour")).alias("missing_hour")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from windgrid.functions import normalize, percent
 from windgrid.schemas import COMPLEX_PAYLOAD, TS
+from windgrid.sinks.files import write_layer
 
 
 def join_levels(
@@ -79,10 +80,22 @@ def join_first(
     spe_name: str = "nom_conjuntousina",
     payload: Sequence[str] = COMPLEX_PAYLOAD,
     collapse_ws: bool = True,
+    salt: int = 1,
+    spread_by: Sequence[str] = ("nom_usina", TS),
 ) -> DataFrame:
-    """Plant rows LEFT JOIN one complex row per name, whatever the timestamp; null matches null."""
+    """Plant rows LEFT JOIN one complex row per name, whatever the timestamp; null matches null.
+
+    ``salt`` above one cuts each name, null included, into that many slots by a hash of ``spread_by`` and repeats the complex rows per
+    slot; use it where one name has a large share of the rows and the complex rows are too many to broadcast.
+    """
     keyed = spe.withColumn("_name", normalize(spe_name, collapse_ws))
-    return keyed.join(firsts, F.col("_name").eqNullSafe(F.col("_right_name")), "left").select(*spe.columns, *payload)
+    same = F.col("_name").eqNullSafe(F.col("_right_name"))
+    if salt > 1:
+        spread = F.xxhash64(*[F.col(c) for c in spread_by if c in spe.columns] or [F.col(spe_name)])
+        keyed = keyed.withColumn("_slot", F.pmod(spread, F.lit(salt)))
+        firsts = firsts.withColumn("_right_slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+        same = same & (F.col("_slot") == F.col("_right_slot"))
+    return keyed.join(firsts, same, "left").select(*spe.columns, *payload)
 
 
 def dedupe_then_join(
@@ -93,10 +106,17 @@ def dedupe_then_join(
     ts: str = TS,
     payload: Sequence[str] = COMPLEX_PAYLOAD,
     collapse_ws: bool = True,
+    store: str | None = None,
+    salt: int = 1,
 ) -> DataFrame:
-    """``join_first`` over ``first_per_name``: the row count of the plant side never changes."""
+    """``join_first`` over ``first_per_name``: the row count of the plant side never changes.
+
+    With ``store``, a folder, the first rows are written there and read back, so that the join is planned with their true
+    size: a small result is broadcast and the plant rows stay where they are.
+    """
     firsts = first_per_name(wind, wind_name, ts, payload, collapse_ws)
-    return join_first(spe, firsts, spe_name, payload, collapse_ws)
+    firsts = write_layer(firsts, store) if store else firsts
+    return join_first(spe, firsts, spe_name, payload, collapse_ws, salt)
 
 
 def join_metrics(joined: DataFrame, matched_by: str = "nom_estado") -> DataFrame:

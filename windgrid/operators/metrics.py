@@ -66,7 +66,8 @@ def restrictions_summary(
     ``total_hours`` counts rows with a timestamp, whatever their spacing. An empty ``project`` means all.
     """
     rows = in_range(joined.filter(F.col("projeto") == project) if project else joined, start, end, ts)
-    below = F.col("val_geracao") < F.col("val_geracaoreferencia")
+    # NaN sorts above every number in Spark; in a table of other origin it is a missing value.
+    below = (F.col("val_geracao") < F.col("val_geracaoreferencia")) & ~F.isnan("val_geracaoreferencia")
     lost = F.col("val_geracaoreferencia") - F.col("val_geracao")
     return (
         rows.filter(below)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windgrid.functions import is_bad_timestamp, is_uncastable, percent
+from windgrid.functions import is_bad_timestamp, is_uncastable, percent, to_double
 from windgrid.operators.clean import COPIES, count_copies, is_valid_flag, typed_columns
 from windgrid.operators.longform import long_rows
 from windgrid.schemas import COMPLEX_NUMERIC, FLAG, PLANT_NUMERIC, TS
@@ -97,4 +97,4 @@ def _null_share(is_null: Column, total: Column) -> Column:
 
 
 def _equals_one(df: DataFrame, flag: str) -> Column:
-    return F.col(flag).try_cast("double") == 1
+    return to_double(F.col(flag)) == 1

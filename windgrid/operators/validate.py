@@ -73,7 +73,8 @@ def row_rules() -> dict[str, Column]:
         "invalid_estimated_generation": F.col("val_geracaoestimada") < 0,
         "invalid_verified_generation": F.col("val_geracaoverificada") < 0,
         "invalid_wind_speed": ~in_range,
-        "generation_reference_invalid": F.col("val_geracao") > F.col("val_geracaoreferencia"),
+        # NaN, which Spark sorts above every number, breaks no rule.
+        "generation_reference_invalid": (F.col("val_geracao") > F.col("val_geracaoreferencia")) & ~F.isnan("val_geracao"),
         "invalid_availability": F.col("val_disponibilidade") < 0,
         "null_projects": F.col("projeto").isNull(),
     }
