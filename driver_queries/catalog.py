@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from driver_queries import adapter as a
 from windgrid.functions import decimal_sum, is_bad_timestamp, is_uncastable, to_double, to_timestamp
 from windgrid.operators import assets, clean, coverage, levels, metrics, quality, star, validate
-from windgrid.plans import build_star, run_from_landing, run_pipeline, run_validation
+from windgrid.plans import build_star, run_from_landing, run_new_months, run_pipeline, run_report, run_validation
 from windgrid.schemas import COMPLEX_NUMERIC, COMPLEX_PAYLOAD, PLANT_NUMERIC
 from windgrid.session import shared_folder
 from windgrid.sinks import (
@@ -556,6 +556,20 @@ def dim_spe(spark, sf_dir):
     return star.dim_spe(joined(spark, sf_dir))
 
 
+@register(
+    "dim_append",
+    f"""{JOINED}, first AS (SELECT * FROM joined WHERE projeto = 'click'), {_dim_sql("dim_spe", "spe_key", star.DIM_SPE).replace("FROM joined", "FROM first")},
+later AS (SELECT * FROM joined j WHERE NOT EXISTS (SELECT 1 FROM dim_spe s WHERE {" AND ".join(f"j.{c} IS NOT DISTINCT FROM s.{c}" for c in star.DIM_SPE)})),
+{_dim_sql("dim_new", "spe_key", star.DIM_SPE).replace("FROM joined", "FROM later")}
+SELECT * FROM dim_spe UNION ALL BY NAME SELECT * REPLACE (spe_key + (SELECT COUNT(*) FROM dim_spe) AS spe_key) FROM dim_new""",
+)
+def dim_append(spark, sf_dir):
+    """Plants of one project first, then those of all: the first ones keep their keys."""
+    rows = joined(spark, sf_dir)
+    first = write_layer(star.dim_spe(rows.filter("projeto = 'click'")), shared_folder(spark, "dim"))
+    return star.append_dimension(first, rows, star.DIM_SPE, "spe_key")
+
+
 @register("dim_conjunto", f"{JOINED},{DIM_CONJUNTO_SQL} SELECT * FROM dim_conjunto")
 def dim_conjunto(spark, sf_dir):
     return star.dim_conjunto(joined(spark, sf_dir))
@@ -735,6 +749,42 @@ def full_run_without_report(spark, sf_dir):
     return bigints(run_pipeline(*raw, a.mapping(spark, sf_dir), root, report_rules=None)["joined"], "year", "month")
 
 
+@register(
+    "run_report",
+    PIPELINE_SQL.split("SELECT s.*, w.")[0]
+    + """SELECT 'join' AS section, metric, '' AS key, value FROM (
+  SELECT COUNT(*)::DOUBLE AS total_records, COUNT(w.nom_estado)::DOUBLE AS matched_records,
+         ROUND(COUNT(w.nom_estado)::DOUBLE / NULLIF(COUNT(*), 0)::DOUBLE * 100, 2) AS match_rate_pct
+  FROM spe_owned s LEFT JOIN wind_owned w ON UPPER(TRIM(s.nom_conjuntousina)) = UPPER(TRIM(w.nom_usina)) AND s.din_instante = w.din_instante
+) UNPIVOT (value FOR metric IN (total_records, matched_records, match_rate_pct))
+UNION ALL SELECT level, 'missing_month', strftime(m, '%Y-%m'), 1.0::DOUBLE
+FROM (SELECT unnest(generate_series(TIMESTAMP '2023-11-01', TIMESTAMP '2024-03-01', INTERVAL 1 MONTH)) AS m) CROSS JOIN (VALUES ('spe'), ('wind')) AS l(level)
+WHERE NOT EXISTS (SELECT 1 FROM (
+  SELECT 'spe' AS l, TRY_CAST(din_instante AS TIMESTAMP) AS t FROM raw_spe UNION ALL SELECT 'wind', TRY_CAST(din_instante AS TIMESTAMP) FROM raw_wind
+) WHERE l = level AND date_trunc('month', t) = m)""",
+)
+def run_report_query(spark, sf_dir):
+    """Match rate, and the months from November 2023 to March 2024 that a level lacks."""
+    raw = {"spe": a.raw_spe(spark, sf_dir), "wind": a.raw_wind(spark, sf_dir)}
+    layers = run_pipeline(raw["spe"], raw["wind"], a.mapping(spark, sf_dir), shared_folder(spark, "run"), report_rules=None)
+    return run_report(layers["joined"], raw, months.month_range(spark, "2023-11-01", "2024-03-01")).drop("detail")
+
+
+@register("full_run_incremental", PIPELINE_SQL)
+def full_run_incremental(spark, sf_dir):
+    """Three deliveries: most rows; the rest with rows that came before; a late file for the first months."""
+    root = shared_folder(spark, "months")
+    write_csv(a.mapping(spark, sf_dir), f"{root}/in/mapping")
+    spe, wind = a.raw_spe(spark, sf_dir), a.raw_wind(spark, sf_dir)
+    part = F.pmod(F.xxhash64("nom_usina", "din_instante"), F.lit(4))
+    late = F.coalesce(F.col("din_instante") < "2024-01-10", F.lit(False)) & (part == 3)
+    for k, kept in enumerate((~late & (part != 2), ~late & (part != 1), late)):
+        write_csv(spe.filter(kept), f"{root}/in/spe/m{k}", sep=";")
+        write_csv(wind.filter(kept), f"{root}/in/wind/m{k}", sep=";")
+        joined = run_new_months(spark, f"{root}/in/spe/*", f"{root}/in/wind/*", f"{root}/in/mapping", f"{root}/out", a.RAW_SPE_COLUMNS, a.RAW_WIND_COLUMNS)
+    return bigints(joined, "year", "month")
+
+
 @register("full_run_from_landing", PIPELINE_SQL)
 def full_run_from_landing(spark, sf_dir):
     root = shared_folder(spark, "landing-run")

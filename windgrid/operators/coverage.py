@@ -112,7 +112,8 @@ def list_missing_hours(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, ts: str
     first = hour_number(F.col("gap_start"))
     last = hour_number(F.col("gap_end"))
     chunks = runs.select(*keys, last.alias("_last"), F.explode(F.sequence(first, last, F.lit(step).cast("bigint"))).alias("_from"))
-    chunks = chunks.repartition(*keys, "_from")
+    # With a number, adaptive execution does not put the small unexpanded steps together again.
+    chunks = chunks.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "_from")
     upto = F.least(F.col("_from") + (step - 1), F.col("_last"))
     return chunks.select(*keys, F.explode(F.sequence(F.col("_from"), upto)).alias("_hour")).select(
         *keys, hour_start(F.col("_hour")).alias("missing_hour")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windgrid.functions import to_timestamp
-from windgrid.operators.keys import add_surrogate_key
+from windgrid.operators.keys import add_surrogate_key, extend_surrogate_key
 from windgrid.operators.levels import null_safe_equal
 from windgrid.schemas import DIM_CONJUNTO, DIM_SPE, FACT_MEASURES, TS
 
@@ -30,6 +30,11 @@ def dim_conjunto(joined: DataFrame, natural: Sequence[str] = DIM_CONJUNTO, key:
     return add_surrogate_key(joined.select(*natural).distinct(), natural, key)
 
 
+def append_dimension(stored: DataFrame, joined: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
+    """A stored plant or complex dimension with what a later joined table adds; keys given before do not move."""
+    return extend_surrogate_key(stored, joined.select(*natural).distinct(), natural, key)
+
+
 def dim_tempo(joined: DataFrame, ts: str = TS, key: str = "tempo_key") -> DataFrame:
     """Distinct timestamps with a key in time order, year, month, day and hour; null comes last."""
     moments = joined.select(to_timestamp(F.col(ts), "strict").alias(ts)).distinct()

@@ -1,5 +1,5 @@
 """Whole runs built from the operators."""
 
-from windgrid.plans.pipeline import build_star, run_from_landing, run_pipeline, run_validation
+from windgrid.plans.pipeline import build_star, run_from_landing, run_new_months, run_pipeline, run_report, run_validation
 
-__all__ = ["build_star", "run_from_landing", "run_pipeline", "run_validation"]
+__all__ = ["build_star", "run_from_landing", "run_new_months", "run_pipeline", "run_report", "run_validation"]

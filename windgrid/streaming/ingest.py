@@ -25,6 +25,7 @@ def ingest_landing(
     sep: str = ";",
     max_files: int = 1000,
     multi_line: bool = False,
+    with_batch: bool = False,
 ) -> DataFrame:
     """Appends the CSV files not seen before to the bronze table and returns the whole table.
 
@@ -68,11 +69,11 @@ def ingest_landing(
     )
     query = stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return read_bronze(spark, bronze, landing, columns)
+    return read_bronze(spark, bronze, landing, columns, with_batch)
 
 
-def read_bronze(spark: SparkSession, bronze: str, landing: str, columns: Sequence[str]) -> DataFrame:
-    """All batches by name: the expected columns first, then further ones, then source_file."""
+def read_bronze(spark: SparkSession, bronze: str, landing: str, columns: Sequence[str], with_batch: bool = False) -> DataFrame:
+    """All batches by name: the expected columns first, then further ones, then source_file and, if asked for, the batch."""
     try:
         table = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(bronze)
     except AnalysisException:
@@ -80,7 +81,8 @@ def read_bronze(spark: SparkSession, bronze: str, landing: str, columns: Sequenc
             raise ValueError(f"No CSV files found in: {landing}") from None
         table = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "source_file")]))
     further = [c for c in table.columns if c not in (*columns, "source_file")]
-    return table.select(*columns, *further, "source_file")
+    batch = F.regexp_extract(F.input_file_name(), r"/batch=(\d+)/", 1).try_cast("bigint").alias("batch")
+    return table.select(*columns, *further, "source_file", *([batch] if with_batch else []))
 
 
 def rejected_files(spark: SparkSession, bronze: str) -> DataFrame:
