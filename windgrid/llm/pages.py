@@ -156,7 +156,8 @@ def templates(counts: DataFrame, most: float = 0.9, often: float = 0.5) -> DataF
     root = counts.filter((F.col("node") == 0) & ((F.col("print") == F.col("whole")) | ((F.col("times") == F.col("pages")) & (F.col("pages") >= most * F.col("n")))))
     root = root.select("host", F.col("path").alias("slot"))
     free = counts.filter((F.col("node") != 0) & ((F.col("n") < 3) | (F.col("pages") < often * F.col("n"))))
-    by_path = free.groupBy("host", "path").agg(F.sum("chars").alias("chars"))
+    # A host with most of the pages has many paths: deal by both, or all of them stay in the host's task.
+    by_path = free.repartition("host", "path").groupBy("host", "path").agg(F.sum("chars").alias("chars"))
     steps = F.split("path", "/")
     up = F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))
     held = by_path.select("host", F.explode(up).alias("slot"), "chars").groupBy("host", "slot").agg(F.sum("chars").alias("held"))
