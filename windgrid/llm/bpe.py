@@ -9,6 +9,7 @@ the same. Texts travel compressed, once.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import reduce
 
@@ -96,24 +97,33 @@ class Codec:
         self.pieces, self.sizes, self.added = state["pieces"], state["sizes"], state["added"]
         self.known, self.split = state["known"], state["split"]
 
+    def is_latin(self, text: str) -> bool:
+        return text.isascii() or max(text) < "\u0250"
+
+    def word_ids(self, text: str) -> list[bytes]:
+        """The ids of each word of a Latin text."""
+        known, parts = self.known, self.split(text)
+        if len(known) > WORDS_KEPT:
+            known.clear()
+        try:
+            return list(map(known.__getitem__, parts))
+        except KeyError:
+            new = list(set(parts).difference(known))
+        for at in range(0, len(new), 1024):
+            part = new[at : at + 1024]
+            found = self.library.encode_batch_fast(part, add_special_tokens=False)
+            known.update((w, array("H", x.ids).tobytes()) for w, x in zip(part, found))
+        return list(map(known.__getitem__, parts))
+
     def words(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ids, the byte where each word begins, and the first id of each word. The text holds no control string.
 
         Words of Latin texts are split here and looked up, so that the library meets each once per worker; others it splits itself.
         """
-        if text.isascii() or max(text) < "\u0250":
-            known = self.known
-            parts = self.split(text)
-            new = list(set(parts).difference(known))
-            for at in range(0, len(new), 1024):
-                part = new[at : at + 1024]
-                found = self.library.encode_batch_fast(part, add_special_tokens=False)
-                known.update((w, np.array(x.ids, "<u2").tobytes()) for w, x in zip(part, found))
-            pieces = [known[w] for w in parts]
+        if self.is_latin(text):
+            pieces = self.word_ids(text)
             ids = np.frombuffer(b"".join(pieces), "<u2")
             first = np.cumsum([0, *map(len, pieces)])[:-1] // 2
-            if len(known) > WORDS_KEPT:
-                known.clear()
         else:
             found = self.library.encode(text, add_special_tokens=False)
             ids = np.array(found.ids, "<u2")
@@ -251,9 +261,12 @@ def encoded_text(data: bytes, known: dict[bytes, bytes], codec: Codec, table: np
     """All ids of a text without control strings: known chunks from their words, runs of others encoded, joints repaired."""
     if not data:
         return np.empty(0, np.uint16)
+    if not known:
+        text = data.decode()
+        return np.frombuffer(b"".join(codec.word_ids(text)), "<u2") if codec.is_latin(text) else codec.words(text)[0]
     ends = chunk_ends(data, table)
     pieces, run = [], 0
-    for key, a, b in zip(chunk_keys(data, ends) if known else [b""] * len(ends), [0, *ends], ends):
+    for key, a, b in zip(chunk_keys(data, ends), [0, *ends], ends):
         if words := known.get(key):
             if run < a:
                 pieces.append((run, a, codec.words(data[run:a].decode())))
