@@ -60,7 +60,11 @@ def fit_sample(documents: DataFrame, labels: DataFrame, held_out, fit_rows: int)
     """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id IS NOT NULL AND toxic IN (0, 1)")
     known = known.filter(~held_out).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    draw = [known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows) for y in (0, 1)]
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    # A share a little above the wanted one goes on, so that sorting for the limit stays small.
+    share = {y: int((1 << 30) * min(1.0, 1.2 * fit_rows / n + 1e-6)) for y, n in sizes.items()}
+    draw = [known.filter((F.col("toxic") == y) & (place < share.get(y, 0))).orderBy(place, "doc_id").limit(fit_rows) for y in (0, 1)]
     ids = draw[0].union(draw[1])
     return documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
 
