@@ -48,8 +48,27 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return documents.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(counts: DataFrame, most: int):
+    """word, c of at most ``most`` words, the most frequent ones, as a local table; the end of text comes first.
+
+    Words are counted in bins of about equal counts, at most some 2000 of them; whole bins are taken from the top. So no
+    task and no driver meets more than the words that are taken, as sorting for a limit would have it.
+    """
+    in_bin = F.floor(F.log2("c") * 32)
+    bins = sorted(counts.groupBy(in_bin.alias("b")).agg(F.count("*").alias("n"), F.min("c").alias("c")).collect(), key=lambda r: -r["b"])
+    taken, least = 0, None
+    for r in bins:
+        if taken + r["n"] > most:
+            break
+        taken, least = taken + r["n"], r["c"]
+    wanted = (F.col("word") == END) | (F.col("c") >= least if least is not None else F.lit(False))
+    top = counts.filter(wanted).toPandas()
+    return top.assign(later=top["word"] != END, rank=-top["c"]).sort_values(["later", "rank", "word"])[["word", "c"]].head(most)
+
+
 def segments(documents: DataFrame, words: dict[bytes, int], outside: int, length: int) -> DataFrame:
-    """h, ids: of each text the ids of ``length`` words in a row, from a place chosen by the text's hash (for half of the texts the beginning)."""
+    """h, ids: of each text the ids of ``length`` words in a row, from a place chosen by the row's hash h (for half of the
+    rows the beginning). Copies of a text have hashes of their own, so that they are dealt to all tasks."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,7 +80,7 @@ def segments(documents: DataFrame, words: dict[bytes, int], outside: int, length
                 found.append(np.array(ids, "<u2").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["h", "ids"])
 
-    return documents.select(F.xxhash64("text").alias("h"), "text").mapInArrow(run, "h long, ids binary")
+    return documents.select(F.xxhash64("doc_id", "text").alias("h"), "text").mapInArrow(run, "h long, ids binary")
 
 
 def train_round(rows: DataFrame, model: Gru, end: int, trainers: int) -> Gru:
@@ -116,8 +135,7 @@ def score(documents: DataFrame, held_out: Column, vocabulary: int = VOCABULARY,
     training = given.filter(~F.col("held_out"))
     counts = stored(word_counts(training), "counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # The end of text comes first, so that it is always a word of the network.
-    top = counts.orderBy(F.col("word") != END, F.desc("c"), "word").limit(frequent).toPandas()
+    top = frequent_words(counts, frequent)
     place = {w.encode(): k for k, w in enumerate(top["word"])}
     common = top["c"].to_numpy(np.float64)
     size = min(vocabulary, len(place))
