@@ -87,6 +87,7 @@ def business_rules(df: DataFrame, unique: Sequence[str] = (*SERIES_KEYS, TS)) ->
     violations, inside each task before the shuffle, so copies of one key never travel one by one. The
     first row of a key is no duplicate, null keys are equal.
     """
+    # The names of the rules, here and in row_rules.
     rules = row_rules()
     per_key = df.groupBy(*unique).agg(
         F.count("*").alias("_rows"), *[F.count_if(broken).alias(name) for name, broken in rules.items()]
