@@ -28,10 +28,10 @@ def join_levels(
     Every plant row stays; several matches multiply it; a null key matches nothing. The third join key
     ``_slot`` is equal on both sides wherever the names are. Rows that cannot match get a hash of the
     ``spread_by`` columns there, so a mass of null names does not meet in one task; only these columns are read
-    for it. ``salt`` above one also cuts each (name, timestamp) into that many slots and repeats the complex rows per
+    for it (all, where the table lacks one of them). ``salt`` above one also cuts each (name, timestamp) into that many slots and repeats the complex rows per
     slot; use it for a hot pair when adaptive skew handling is off.
     """
-    spread = F.xxhash64(*[F.col(c) for c in spread_by if c in spe.columns] or [F.col(spe_name)])
+    spread = _spread(spe, spread_by)
     key = normalize(spe_name, collapse_ws)
     slot = F.pmod(spread, F.lit(salt)) if salt > 1 else F.lit(0).cast("bigint")
     unmatched = key.isNull() | F.col(ts).isNull()
@@ -55,6 +55,10 @@ def join_levels(
     return left.join(right, matches, "left").select(*spe.columns, *payload)
 
 
+def _spread(spe: DataFrame, spread_by: Sequence[str]) -> Column:
+    return F.xxhash64(*(spread_by if set(spread_by) <= set(spe.columns) else spe.columns))
+
+
 def first_per_name(
     wind: DataFrame,
     wind_name: str = "nom_usina",
@@ -91,7 +95,7 @@ def join_first(
     keyed = spe.withColumn("_name", normalize(spe_name, collapse_ws))
     same = F.col("_name").eqNullSafe(F.col("_right_name"))
     if salt > 1:
-        spread = F.xxhash64(*[F.col(c) for c in spread_by if c in spe.columns] or [F.col(spe_name)])
+        spread = _spread(spe, spread_by)
         keyed = keyed.withColumn("_slot", F.pmod(spread, F.lit(salt)))
         firsts = firsts.withColumn("_right_slot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
         same = same & (F.col("_slot") == F.col("_right_slot"))
