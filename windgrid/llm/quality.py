@@ -158,17 +158,18 @@ def labelled(described: DataFrame, labels: DataFrame, id_column: str = "doc_id")
     return rows.select("bad", (F.pmod(F.xxhash64("_d"), F.lit(3)) == 0).alias("prune"), "_f")
 
 
-def learn(rows: DataFrame, most_rules: int = 8, most_literals: int = 4, grid: int = 64, least_bad: int = 5, precision: float = 0.95) -> list[Rule]:
+def learn(rows: DataFrame, most_rules: int = 8, most_refused: int = 2, most_literals: int = 4, grid: int = 64, least_bad: int = 5, precision: float = 0.95) -> list[Rule]:
     """Sequential covering over all labelled rows (bad, prune, _f); only counts by threshold reach the driver.
 
-    A rule must cover ``least_bad`` bad rows and be right for a share of ``precision`` on the rows for pruning; if it is
-    not, no later rule begins as it did. Without rows of both classes the list is empty.
+    A rule must cover ``least_bad`` bad rows, and a hundredth of all of them, and be right for a share of ``precision`` on the rows for pruning; if it is
+    not, no later rule begins as it did, and learning ends after ``most_refused`` such rules. Without rows of both classes the list is empty.
     """
     names = list(features())
     shares = [k / grid for k in range(1, grid)]
     split = rows.agg(F.count(F.when(F.col("bad") == 1, 1)).alias("p"), F.count(F.when(F.col("bad") == 0, 1)).alias("n")).first()
     if not split["p"] or not split["n"]:
         return []
+    least_bad = max(least_bad, split["p"] // 100)
     cuts = rows.groupBy("bad").agg(*(F.percentile_approx(f"_f.{n}", shares, 10_000).alias(n) for n in names)).collect()
     seen = {n: sorted({float(x) for r in cuts for x in r[n] or []}) for n in names}
     # Halfway between seen values, so that a rule keeps its distance from both sides.
@@ -179,7 +180,7 @@ def learn(rows: DataFrame, most_rules: int = 8, most_literals: int = 4, grid: in
     rules: list[Rule] = []
     refused: set[tuple[str, bool]] = set()
     open_rows = F.lit(True)
-    while len(rules) < most_rules and len(refused) <= len(names):
+    while len(rules) < most_rules and len(refused) < most_refused:
         rule: Rule = ()
         while len(rule) < most_literals:
             scope = rows.filter(open_rows & ~F.col("prune") & holds(rule))
@@ -188,8 +189,7 @@ def learn(rows: DataFrame, most_rules: int = 8, most_literals: int = 4, grid: in
             if literal is None:
                 break
             rule = (*rule, literal)
-            check = rows.filter(open_rows & ~F.col("prune") & holds(rule)).agg(F.sum(1 - F.col("bad"))).first()[0]
-            if not check:
+            if not good_left(counts, names, thresholds, literal):
                 break
         if not rule:
             break
@@ -231,6 +231,12 @@ def best_literal(counts, names: list[str], thresholds: dict[str, list[float]], l
     return max(found, key=lambda x: x[0])[1] if found else None
 
 
+def good_left(counts, names: list[str], thresholds: dict[str, list[float]], literal: Literal) -> int:
+    """How many good rows the counts leave under one more literal."""
+    at, cut = names.index(literal.feature), thresholds[literal.feature].index(literal.threshold)
+    return sum(r["n"] for r in counts if r["pos"] == at and (r["col"] > cut) == literal.above)
+
+
 def pruned(rows: DataFrame, rule: Rule, precision: float, least_bad: int) -> Rule | None:
     """The shortest best beginning of the rule on held-out rows, or None if none is precise enough."""
     wanted = []
@@ -239,7 +245,7 @@ def pruned(rows: DataFrame, rule: Rule, precision: float, least_bad: int) -> Rul
         wanted += [F.sum(hit).alias(f"p{k}"), F.count(hit).alias(f"c{k}")]
     r = rows.agg(*wanted).first()
     options = [((2 * r[f"p{k}"] - r[f"c{k}"]) / r[f"c{k}"], r[f"p{k}"], -k) for k in range(1, len(rule) + 1) if r[f"c{k}"]]
-    options = [o for o in options if o[1] >= max(1, least_bad // 3) and (o[0] + 1) / 2 >= precision]
+    options = [o for o in options if o[1] >= max(1, least_bad // 4) and (o[0] + 1) / 2 >= precision]
     return rule[: -max(options)[2]] if options else None
 
 
