@@ -33,7 +33,7 @@ def document_pieces(documents: DataFrame, tokenizer: str, end_id: int = 2, capac
         for batch in batches:
             rows = ([], [], [], [], [])
             keys = iter(batch.column(0).to_pylist())
-            for texts in text_slices(batch.column(1).to_pylist()):
+            for texts in text_slices(batch.column(1)):
                 for found in ids_of_texts(tokenizer, texts):
                     ids = found + end
                     doc_id, n = next(keys), len(ids) // 4

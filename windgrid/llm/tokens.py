@@ -11,8 +11,9 @@ import re
 import sys
 import types
 from array import array
+from collections.abc import Iterable, Iterator
 
-TEXTS_AT_ONCE, CHARS_AT_ONCE, WORDS_KEPT = 512, 1 << 20, 450_000
+TEXTS_AT_ONCE, CHARS_AT_ONCE, WORDS_KEPT = 512, 1 << 20, 250_000
 # White space to Python, but not to the tokenizers.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 TAIL = ".,;:!?"
@@ -26,17 +27,18 @@ def worker_state(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
-def text_slices(texts: list) -> list[list[str]]:
-    """Texts in order, in slices of bounded count and size; a null text is empty."""
-    slices, current, size = [], [], 0
+def text_slices(texts: Iterable) -> Iterator[list[str]]:
+    """Texts in order, in slices of bounded count and size, one at a time; a null text is empty. Takes an Arrow column or strings."""
+    current, size = [], 0
     for text in texts:
-        text = text or ""
+        text = (text if isinstance(text, str) else text and text.as_py()) or ""
         if current and (len(current) >= TEXTS_AT_ONCE or size + len(text) > CHARS_AT_ONCE):
-            slices.append(current)
+            yield current
             current, size = [], 0
         current.append(text)
         size += len(text)
-    return [*slices, current] if current else slices
+    if current:
+        yield current
 
 
 def load(path: str):
