@@ -91,3 +91,14 @@ def test_base_spans_equal_brute_force_and_weak_ones_need_a_partner(spark):
 def test_redaction_joins_overlaps(spark):
     frame = spark.createDataFrame([("ab😀secretsecret tail", [(3, 0, 9), (5, 1, 15), (16, 0, 18)])], "text string, spans array<struct<start:bigint,kind:int,end:bigint>>")
     assert frame.select(secrets.redacted(F.col("text"), F.col("spans"))).first()[0] == "ab😀[SECRET] [SECRET]il"
+
+
+def test_long_parts_meet_partners_within_the_scope(spark):
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("xyzXYZ") for _ in range(n))
+    rows = [(k, f"{'.' * before} token: {word(size)}{' ' * gap}login: jane.doe") for k, (before, size, gap) in enumerate([(549, 433, 10), (0, 700, 300), (290, 2000, 1), (0, 700, 301)])]
+    rows += [(10, "login: " + "j" * 900 + " " * 50 + "password=abcdefgh1"), (11, "https://example.com/" + "p" * 1200 + " pwd: s3cr")]
+    got = secrets.per_document(documents(spark, rows, extra=False)).select("doc_id", secrets.listed(F.col("spans")).alias("s")).collect()
+    kinds = {r.doc_id: {x.split(":")[0] for x in r.s.split(",") if x} for r in got}
+    assert kinds[0] == kinds[1] == kinds[2] == kinds[10] == {"assign", "linked_client"}
+    assert kinds[3] == {"assign"} and kinds[11] == {"linked_short"}

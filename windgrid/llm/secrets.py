@@ -1,7 +1,7 @@
 """Secrets in texts: sure patterns, and weak candidates that count only beside their counterpart.
 
 Every text is searched for parts: identifiers, secrets and endpoints, each sure or weak. An interval join over
-bins as wide as the scope, on document and place, links the parts. A weak part is reported only if a complementary
+bins as wide as the scope, on document and all places of a part, links the parts, however long they are. A weak part is reported only if a complementary
 part lies within ``scope`` code points; sure ones are reported always.
 """
 
@@ -81,11 +81,13 @@ def find(documents: DataFrame, scope: int = 300, id_column: str = "doc_id", text
     free = F.filter("weak", lambda w: ~F.exists("base", lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"])))
     part = parts.select("_id", "_hash", "_crc", F.explode(F.concat("base", free, "ends")).alias("s"))
     names = [PART_OF_SURE[k] for k in SURE] + [WEAK[k][1] for k in WEAK] + ["endpoint"]
-    part = part.select("_id", "_hash", "_crc", "s", F.element_at(F.array(*map(F.lit, names)), F.col("s.kind") + 1).alias("part"), F.floor(F.col("s.start") / scope).alias("bin"))
+    part = part.select("_id", "_hash", "_crc", "s", F.element_at(F.array(*map(F.lit, names)), F.col("s.kind") + 1).alias("part"))
+    # All bins of a part, from its start to its end: parts at most a scope apart have bins that are equal or neighbours.
+    first, last = (F.floor(F.col(f"s.{x}") / scope) for x in ("start", "end"))
     needs = F.element_at(F.array(*(F.array(*map(F.lit, WEAK[k][2])) for k in WEAK)), F.col("s.kind") - len(SURE) + 1)
-    asks = part.filter((F.col("s.kind") >= len(SURE)) & (F.col("s.kind") < len(KINDS))).select("_id", "_hash", "_crc", "s", F.explode(needs).alias("need"), "bin")
-    asks = asks.withColumn("near", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)))
-    there = part.select(F.col("_id").alias("i"), F.col("_hash").alias("h"), F.col("_crc").alias("c"), F.col("s").alias("o"), "part", F.col("bin").alias("b"))
+    asks = part.filter((F.col("s.kind") >= len(SURE)) & (F.col("s.kind") < len(KINDS))).select("_id", "_hash", "_crc", "s", F.explode(needs).alias("need"))
+    asks = asks.withColumn("near", F.explode(F.sequence(first - 1, last + 1)))
+    there = part.select(F.col("_id").alias("i"), F.col("_hash").alias("h"), F.col("_crc").alias("c"), F.col("s").alias("o"), "part", F.explode(F.sequence(first, last)).alias("b"))
     gap = F.greatest(F.col("o.start") - F.col("s.end"), F.col("s.start") - F.col("o.end"))
     near = F.col("_id").eqNullSafe(F.col("i")) & (F.col("_hash") == F.col("h")) & (F.col("_crc") == F.col("c")) & (F.col("near") == F.col("b")) & (F.col("need") == F.col("part"))
     linked = asks.join(there, near & (gap <= scope) & (F.col("o") != F.col("s")), "left_semi")
