@@ -102,3 +102,19 @@ def test_long_parts_meet_partners_within_the_scope(spark):
     kinds = {r.doc_id: {x.split(":")[0] for x in r.s.split(",") if x} for r in got}
     assert kinds[0] == kinds[1] == kinds[2] == kinds[10] == {"assign", "linked_client"}
     assert kinds[3] == {"assign"} and kinds[11] == {"linked_short"}
+
+
+def test_kinds_below_a_hundredth_of_the_bad_rows_are_learned(spark):
+    names = list(quality.features())
+    rng = random.Random(5)
+    row = lambda bad, k, **odd: (bad, k % 3 == 0, tuple(odd.get(n, rng.uniform(1, 2)) for n in names))
+    copy = tuple(50.0 if n == "symbols_per_word" else 1.5 for n in names)
+    rows = [row(0, k) for k in range(900)] + [(1, k % 3 == 0, copy) for k in range(2400)]
+    kinds = ["marks_per_word", "digit_share", "capital_share", "dup_line_share", "adjacent_share", "words_per_line", "repeat_share", "chars_per_word", "distinct_share"]
+    rows += [row(1, k, **{n: rng.uniform(8, 9)}) for n in kinds for k in range(18)]
+    frame = spark.createDataFrame(rows, f"bad int, prune boolean, _f struct<{','.join(f'{n}:double' for n in names)}>")
+    rules = quality.learn(frame)
+    judged = frame.select("bad", quality.verdict(rules).isNotNull().alias("dropped")).groupBy("bad", "dropped").count().collect()
+    found = {(r.bad, r.dropped): r["count"] for r in judged}
+    # Thresholds lie between values seen, so a few rows at the edges may fall on the other side.
+    assert found[1, True] >= 2400 + 16 * len(kinds) and found.get((0, True), 0) <= 9

@@ -132,6 +132,7 @@ class Literal:
 
 
 Rule = tuple[Literal, ...]
+Counts = dict[tuple[str, int], tuple[int, int]]  # (feature, bin) to bad rows and good rows
 
 
 def holds(rule: Rule) -> Column:
@@ -143,9 +144,9 @@ def holds(rule: Rule) -> Column:
 
 def verdict(rules: list[Rule]) -> Column:
     """The text of the first rule met, else null."""
-    out = F.lit(None).cast("string")
-    for rule in reversed(rules):
-        out = F.when(holds(rule), F.lit(" and ".join(map(str, rule)))).otherwise(out)
+    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    for rule in rules:
+        out = out.when(holds(rule), F.lit(" and ".join(map(str, rule))))
     return out
 
 
@@ -158,48 +159,86 @@ def labelled(described: DataFrame, labels: DataFrame, id_column: str = "doc_id")
     return rows.select("bad", (F.pmod(F.xxhash64("_d"), F.lit(3)) == 0).alias("prune"), "_f")
 
 
-def learn(rows: DataFrame, most_rules: int = 8, most_refused: int = 2, most_literals: int = 4, grid: int = 64, least_bad: int = 5, precision: float = 0.95) -> list[Rule]:
+def learn(rows: DataFrame, most_literals: int = 4, grid: int = 64, least_bad: int = 5, precision: float = 0.95) -> list[Rule]:
     """Sequential covering over all labelled rows (bad, prune, _f); only counts by threshold reach the driver.
 
-    A rule must cover ``least_bad`` bad rows, and a hundredth of all of them, and be right for a share of ``precision`` on the rows for pruning; if it is
-    not, no later rule begins as it did, and learning ends after ``most_refused`` such rules. Without rows of both classes the list is empty.
+    A rule must cover ``least_bad`` bad rows, however many there are, and be right for a share of ``precision`` on the rows for pruning; if
+    it is not, no rule begins as it did until another one is kept. Learning ends when no beginning gains. Without rows of both classes the list is empty.
+
+    Rows are reduced to counts by bins first, so that copies are one row. Counts of all open rows are made once; a kept rule's rows
+    are then subtracted from them, so that a pass reads only what the rule at hand covers.
     """
     names = list(features())
-    shares = [k / grid for k in range(1, grid)]
     split = rows.agg(F.count(F.when(F.col("bad") == 1, 1)).alias("p"), F.count(F.when(F.col("bad") == 0, 1)).alias("n")).first()
     if not split["p"] or not split["n"]:
         return []
-    least_bad = max(least_bad, split["p"] // 100)
-    cuts = rows.groupBy("bad").agg(*(F.percentile_approx(f"_f.{n}", shares, 10_000).alias(n) for n in names)).collect()
-    seen = {n: sorted({float(x) for r in cuts for x in r[n] or []}) for n in names}
-    # Halfway between seen values, so that a rule keeps its distance from both sides.
-    thresholds = {n: [(a + b) / 2 for a, b in zip(v, v[1:])] for n, v in seen.items()}
+    thresholds = cuts_of(rows, names, grid)
     bins = F.array(*(_bin(F.col(f"_f.{n}"), thresholds[n]) for n in names))
-    rows = rows.withColumn("_b", bins)
+    rows = rows.groupBy("bad", "prune", bins.alias("_b")).agg(F.count("*").alias("_c"))
+    rows = stored(rows.withColumn("_f", F.struct(*(F.col("_b")[k].alias(n) for k, n in enumerate(names)))), "binned")
+
+    def binned(rule: Rule) -> Column:
+        """As holds, on bins: a value is above a threshold if its bin is above the threshold's place."""
+        return holds(tuple(Literal(x.feature, x.above, thresholds[x.feature].index(x.threshold)) for x in rule))
+
+    def counted(where: Column) -> Counts:
+        exploded = rows.filter(where & ~F.col("prune")).select("bad", "_c", F.posexplode("_b")).groupBy("pos", "col")
+        found = exploded.agg(F.sum(F.col("bad") * F.col("_c")).alias("p"), F.sum("_c").alias("c")).collect()
+        return {(names[r["pos"]], r["col"]): (r["p"], r["c"] - r["p"]) for r in found}
 
     rules: list[Rule] = []
     refused: set[tuple[str, bool]] = set()
     open_rows = F.lit(True)
-    while len(rules) < most_rules and len(refused) < most_refused:
+    all_open = counted(open_rows)
+    while True:
         rule: Rule = ()
+        counts, inside = all_open, []
         while len(rule) < most_literals:
-            scope = rows.filter(open_rows & ~F.col("prune") & holds(rule))
-            counts = scope.select("bad", F.posexplode("_b")).groupBy("pos", "col").agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")).collect()
             literal = best_literal(counts, names, thresholds, least_bad, set() if rule else refused)
             if literal is None:
                 break
             rule = (*rule, literal)
-            if not good_left(counts, names, thresholds, literal):
+            if not good_left(counts, thresholds, literal) or len(rule) == most_literals:
                 break
+            counts = counted(open_rows & binned(rule))
+            inside.append(counts)
         if not rule:
-            break
-        grown, rule = rule, pruned(rows.filter(open_rows & F.col("prune")), rule, precision, least_bad)
+            return rules
+        grown, rule = rule, pruned(rows.filter(open_rows & F.col("prune")), rule, binned, precision, least_bad)
         if rule is None:
             refused.add((grown[0].feature, grown[0].above))
             continue
+        covered = inside[len(rule) - 1] if len(rule) <= len(inside) else counted(open_rows & binned(rule))
+        all_open = {k: (p - covered.get(k, (0, 0))[0], n - covered.get(k, (0, 0))[1]) for k, (p, n) in all_open.items()}
         rules.append(rule)
-        open_rows = open_rows & ~holds(rule)
-    return rules
+        refused.clear()
+        open_rows = open_rows & ~binned(rule)
+
+
+def cuts_of(rows: DataFrame, names: list[str], grid: int) -> dict[str, list[float]]:
+    """Thresholds of each feature, halfway between values seen, so that a rule keeps its distance from both sides.
+
+    Seen are each class's shares by ``grid``, ever smaller shares in both tails, and its ends; and for bad rows the values next to the ends
+    of the good ones, so that a kind is cut off there however small its share is.
+    """
+    tails = [0.5**k for k in range(7, 18)]
+    shares = sorted({*(k / grid for k in range(1, grid)), *tails, *(1 - t for t in tails), 0.0, 1.0})
+    wanted = [F.percentile_approx(f"_f.{n}", shares, 10_000).alias(n) for n in names]
+    ends = [f(f"_f.{n}").alias(f"{k}_{n}") for n in names for k, f in (("low", F.min), ("high", F.max))]
+    by_class = rows.groupBy("bad").agg(*wanted, *ends).collect()
+    good = next(r for r in by_class if r["bad"] == 0)
+    bad = rows.filter("bad = 1")
+    beside = []
+    for n in names:
+        value, low, high = F.col(f"_f.{n}"), good[f"low_{n}"], good[f"high_{n}"]
+        beside += [F.max(F.when(value < low, value)).alias(f"low_{n}"), F.min(F.when(value > high, value)).alias(f"high_{n}")]
+    found = [*by_class, bad.agg(*beside).first()]
+    out = {}
+    for n in names:
+        values = {float(x) for r in by_class for x in r[n] or []} | {float(r[k]) for r in found for k in (f"low_{n}", f"high_{n}") if r[k] is not None}
+        ordered = sorted(values)
+        out[n] = sorted({(a + b) / 2 for a, b in zip(ordered, ordered[1:])})
+    return out
 
 
 def _bin(value: Column, thresholds: list[float]) -> Column:
@@ -208,11 +247,11 @@ def _bin(value: Column, thresholds: list[float]) -> Column:
     return F.size(F.filter(cuts, lambda t: t < value))
 
 
-def best_literal(counts, names: list[str], thresholds: dict[str, list[float]], least_bad: int, refused: set[tuple[str, bool]]) -> Literal | None:
+def best_literal(counts: Counts, names: list[str], thresholds: dict[str, list[float]], least_bad: int, refused: set[tuple[str, bool]]) -> Literal | None:
     """The threshold with the largest information gain for bad rows, not on a refused (feature, direction)."""
     by: dict[str, dict[int, tuple[int, int]]] = {n: {} for n in names}
-    for r in counts:
-        by[names[r["pos"]]][r["col"]] = (r["p"], r["n"])
+    for (name, at), both in counts.items():
+        by[name][at] = both
     found: list[tuple[float, Literal]] = []
     for name in names:
         p_all, n_all = (sum(x[k] for x in by[name].values()) for k in (0, 1))
@@ -231,21 +270,21 @@ def best_literal(counts, names: list[str], thresholds: dict[str, list[float]], l
     return max(found, key=lambda x: x[0])[1] if found else None
 
 
-def good_left(counts, names: list[str], thresholds: dict[str, list[float]], literal: Literal) -> int:
+def good_left(counts: Counts, thresholds: dict[str, list[float]], literal: Literal) -> int:
     """How many good rows the counts leave under one more literal."""
-    at, cut = names.index(literal.feature), thresholds[literal.feature].index(literal.threshold)
-    return sum(r["n"] for r in counts if r["pos"] == at and (r["col"] > cut) == literal.above)
+    cut = thresholds[literal.feature].index(literal.threshold)
+    return sum(n for (name, at), (_, n) in counts.items() if name == literal.feature and (at > cut) == literal.above)
 
 
-def pruned(rows: DataFrame, rule: Rule, precision: float, least_bad: int) -> Rule | None:
-    """The shortest best beginning of the rule on held-out rows, or None if none is precise enough."""
+def pruned(rows: DataFrame, rule: Rule, held, precision: float, least_bad: int) -> Rule | None:
+    """The shortest best beginning of the rule on held-out rows, or None if none is precise enough. ``held`` gives a rule's condition."""
     wanted = []
     for k in range(1, len(rule) + 1):
-        hit = F.when(holds(rule[:k]), F.col("bad"))
-        wanted += [F.sum(hit).alias(f"p{k}"), F.count(hit).alias(f"c{k}")]
+        hit = F.when(held(rule[:k]), F.col("_c"))
+        wanted += [F.coalesce(F.sum(hit * F.col("bad")), F.lit(0)).alias(f"p{k}"), F.coalesce(F.sum(hit), F.lit(0)).alias(f"c{k}")]
     r = rows.agg(*wanted).first()
     options = [((2 * r[f"p{k}"] - r[f"c{k}"]) / r[f"c{k}"], r[f"p{k}"], -k) for k in range(1, len(rule) + 1) if r[f"c{k}"]]
-    options = [o for o in options if o[1] >= max(1, least_bad // 4) and (o[0] + 1) / 2 >= precision]
+    options = [o for o in options if o[1] >= max(1, least_bad // 3) and (o[0] + 1) / 2 >= precision]
     return rule[: -max(options)[2]] if options else None
 
 
