@@ -79,3 +79,18 @@ def test_articles_are_extracted(spark, layout):
 
 def test_no_pages(spark):
     assert pages.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def extracted(spark, bodies, host="h.example"):
+    rows = [(k, f"https://{host}/{k}", f"<html><head><title>t</title></head><body>{body}</body></html>") for k, body in enumerate(bodies)]
+    return {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_all_slots_with_text_are_extracted(spark):
+    layout = '<article><h1>Title {0}</h1><div class="body"><p>' + "Long text of page {0}. " * 20 + "</p></div></article>"
+    got = extracted(spark, [layout.format(k) for k in range(6)])
+    assert all(got[k].startswith(f"Title {k}\n\nLong text of page {k}.") for k in range(6))
+    alone = extracted(spark, ["<article><h1>Head</h1><p>" + "one text " * 30 + "</p></article>"])
+    assert alone[0].startswith("Head\n\none text")
+    mixed = extracted(spark, [f"<div class=story><p>{'story %d ' % k * 50}</p></div>" + "<section><p>more</p></section>" * (k == 0) for k in range(8)])
+    assert mixed[0].endswith("more")

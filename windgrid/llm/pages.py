@@ -146,7 +146,7 @@ def token_counts(pages: DataFrame) -> DataFrame:
 
 
 def templates(counts: DataFrame, most: float = 0.9, often: float = 0.5) -> DataFrame:
-    """host, slot: the deepest element of the root class that holds ``most`` of the host's text that is not template text.
+    """host, slot: the deepest element of the root class that holds all of the host's text that is not template text.
 
     The root class: elements with the vector of the page itself, or found once on a share of ``most`` of the pages. Template text: text nodes
     on a share of ``often`` of the pages of a host with three pages or more. Hosts without such an element have no row.
@@ -162,7 +162,7 @@ def templates(counts: DataFrame, most: float = 0.9, often: float = 0.5) -> DataF
     up = F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))
     held = by_path.select("host", F.explode(up).alias("slot"), "chars").groupBy("host", "slot").agg(F.sum("chars").alias("held"))
     total = by_path.groupBy("host").agg(F.sum("chars").alias("total"))
-    enough = held.join(total, "host").filter(F.col("held") >= most * F.col("total")).join(root, ["host", "slot"])
+    enough = held.join(total, "host").filter(F.col("held") >= F.col("total")).join(root, ["host", "slot"])
     depth = F.struct(F.size(F.split("slot", "/")).alias("depth"), F.col("held"), F.col("slot"))
     return enough.groupBy("host").agg(F.max(depth).alias("best")).select("host", "best.slot")
 
