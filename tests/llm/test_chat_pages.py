@@ -94,3 +94,11 @@ def test_all_slots_with_text_are_extracted(spark):
     assert alone[0].startswith("Head\n\none text")
     mixed = extracted(spark, [f"<div class=story><p>{'story %d ' % k * 50}</p></div>" + "<section><p>more</p></section>" * (k == 0) for k in range(8)])
     assert mixed[0].endswith("more")
+
+
+def test_names_and_forms_do_not_drop_articles(spark):
+    inner = "<h1>T</h1><p>Body of the article, long enough.</p>"
+    wrappers = ['<div class="content has-sidebar">{}</div>', '<div class="post comments-open">{}</div>', '<section id="widget-review">{}</section>', '<div class="page-header-image">{}</div>', "<form>{}</form>", '<div class="widget">{}</div>', '<svg width="1"/>{}', "<div/>{}", '<div class="main-nav">menu</div>{}<div id="cookie-notice">cookies</div>']
+    for k, w in enumerate(wrappers):
+        assert pages.main_text(w.format(inner)) == "T\n\nBody of the article, long enough.", k
+    assert pages.main_text(f'<article>{inner}</article><div class="comments">{"longer than it " * 9}</div>') == "T\n\nBody of the article, long enough."

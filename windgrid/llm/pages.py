@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from windgrid.llm.common import stored
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select|object)\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
     r"|<(/?)([a-z][^\s/<>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[/!?a-z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
@@ -29,44 +29,58 @@ WORD = re.compile(r"[a-z]+")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img nobr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY_BLOCK = "p"
-BOILER_TAGS = frozenset("head nav footer aside form menu button dialog title header".split())
+BOILER_TAGS = frozenset("head nav footer aside menu button dialog title header".split())
 BOILER_NAMES = frozenset(
     "ad ads adsense advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav navbar navigation topnav footer header masthead comment comments disqus cookie cookies consent notice notices alert share sharing social related breadcrumb breadcrumbs subscribe newsletter popup modal widget toolbar pagination pager login signup search contentinfo complementary navigationbar".split()
 )
 
 
-def opened(tag: str, attributes: str, stack: list) -> tuple[str, bool]:
-    """The step of a path, and whether what is inside is not the article's."""
-    names: list[str] = []
-    step = tag
+# Words that stand beside such a name in one class without changing what it says.
+BESIDE = frozenset("site page main top bottom left right primary secondary global box wrapper wrap container block area section slot list item items inner outer bar".split())
+
+
+def names_boiler(value: str) -> bool:
+    """Whether one of the names in a class, id or role says, as a whole, that the element is not the article."""
+    for token in value.split():
+        words = WORD.findall(token)
+        if not BOILER_NAMES.isdisjoint(words) and all(w in BOILER_NAMES or w in BESIDE or len(w) == 1 for w in words):
+            return True
+    return False
+
+
+def opened(tag: str, attributes: str, stack: list) -> tuple[str, bool, bool]:
+    """The step of a path, whether what is inside is not the article's, and whether that is so unless it is most of the page."""
+    step, named = tag, False
     if attributes and "=" in attributes:
         for key, *values in NAMED.findall(attributes):
             value = next((v for v in values if v), "").lower()
-            names += WORD.findall(value)
-            if key.lower() != "role" and names:
-                step = f"{tag}.{names[0]}"
+            named = named or names_boiler(value)
+            if key.lower() != "role" and step == tag and (words := WORD.findall(value)):
+                step = f"{tag}.{words[0]}"
     inside = any(s[0] in ("article", "main") for s in stack)
     if tag in BOILER_TAGS and not (tag == "header" and inside):
-        return step, True
-    return step, tag not in ("html", "body", "main", "article") and not BOILER_NAMES.isdisjoint(names)
+        return step, True, False
+    return step, False, tag == "form" or (named and tag not in ("html", "body", "main", "article"))
 
 
-def blocks(page: str | None) -> Iterator[tuple[str, str]]:
-    """(path, text) of the blocks outside menus, headers, adverts and the like, and (path, None) of each element.
+def tokens(page: str | None) -> list[tuple[str, str | None, tuple[int, ...], bool]]:
+    """(path, text, marks, in article or main) of the blocks outside menus, headers and the like, and the same with text None of each element.
 
-    Ends that match no open element are ignored; elements left open end with the page.
+    Marks tell which elements around it have a name of what is not the article. Ends that match no open element are ignored; elements left
+    open end with the page, self-closed ones at once.
     """
     page = page or ""
-    stack: list[tuple[str, str, bool]] = []  # tag, path, skipped
+    stack: list[tuple[str, str, bool, tuple[int, ...], bool]] = []  # tag, path, skipped, marks, in article or main
+    out: list[tuple[str, str | None, tuple[int, ...], bool]] = []
     parts: list[str] = []
-    at = 0
+    at = marked = 0
 
-    def flush():
+    def flush() -> None:
         text = " ".join("".join(parts).split())
         parts.clear()
-        if text and not (stack and stack[-1][2]):
-            return (stack[-1][1] if stack else "", text)
-        return None
+        _, path, skipped, marks, main = stack[-1] if stack else ("", "", False, (), False)
+        if text and not skipped:
+            out.append((path, text, marks, main))
 
     for found in TOKEN.finditer(page):
         if found.start() > at:
@@ -79,8 +93,7 @@ def blocks(page: str | None) -> Iterator[tuple[str, str]]:
             if tag == "br":
                 parts.append(" ")
             continue
-        if block := flush():
-            yield block
+        flush()
         if found[2]:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
             if depth is not None:
@@ -90,16 +103,43 @@ def blocks(page: str | None) -> Iterator[tuple[str, str]]:
             stack.pop()
         if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == tag:
             stack.pop()
-        if tag in VOID:
+        if tag in VOID or found[4].endswith("/"):
             continue
-        step, boiler = opened(tag, found[4], stack)
-        above = stack[-1] if stack else ("", "", False)
-        stack.append((tag, f"{above[1]}/{step}", above[2] or boiler))
+        step, boiler, unless_most = opened(tag, found[4], stack)
+        _, path, skipped, marks, main = stack[-1] if stack else ("", "", False, (), False)
+        if unless_most:
+            marked += 1
+            marks = (*marks, marked)
+        stack.append((tag, f"{path}/{step}", skipped or boiler, marks, main or tag in ("article", "main")))
         if not stack[-1][2]:
-            yield stack[-1][1], None
+            out.append((stack[-1][1], None, marks, stack[-1][4]))
     parts.append(html.unescape(page[at:]))
-    if block := flush():
-        yield block
+    flush()
+    return out
+
+
+def blocks(page: str | None) -> list[tuple[str, str | None]]:
+    """(path, text) of the blocks outside menus, headers, adverts and the like, and (path, None) of each element.
+
+    An element with a name of those is a wrapper, and stays, if it holds most of the page's text and no article or main lies
+    beside it. If names would leave out all text of a page, none is left out.
+    """
+    found = tokens(page)
+    if not any(marks for _, _, marks, _ in found):
+        return [(path, text) for path, text, _, _ in found]
+    total = in_main = 0
+    held: dict[int, list[int]] = {}
+    for _, text, marks, main in found:
+        size = len(text or "")
+        total += size
+        in_main += size * main
+        for k in marks:
+            entry = held.setdefault(k, [0, 0])
+            entry[0] += size
+            entry[1] += main
+    out = {k for k, (size, main) in held.items() if 2 * size <= total or (in_main and not main)}
+    kept = [(path, text) for path, text, marks, _ in found if out.isdisjoint(marks)]
+    return kept if any(text for _, text in kept) else [(path, text) for path, text, _, _ in found]
 
 
 def main_text(page: str | None, slot: str | None) -> str:
