@@ -96,6 +96,16 @@ def test_all_slots_with_text_are_extracted(spark):
     assert mixed[0].endswith("more")
 
 
+def test_template_text_is_left_out_by_evidence_and_copies_are_kept(spark):
+    pitch = '<div class="zone"><b>Buy</b> one, get two</div>'
+    notice = "<p class=hint>Seen on all pages</p>"
+    bodies = [f"{notice}<article><h1>Title {k}</h1>{pitch * (k % 3 == 0)}<p>Own text {k}.</p></article>" for k in range(12)]
+    copied = f"{notice}<article><h1>Copied</h1><blockquote>said once</blockquote><p>Copied text.</p></article>"
+    got = extracted(spark, bodies + [copied] * 4)
+    assert all(got[k] == f"Title {k}\n\nOwn text {k}." for k in range(12))
+    assert all(got[k] == "Copied\n\nsaid once\n\nCopied text." for k in range(12, 16))
+
+
 def test_names_and_forms_do_not_drop_articles(spark):
     inner = "<h1>T</h1><p>Body of the article, long enough.</p>"
     wrappers = ['<div class="content has-sidebar">{}</div>', '<div class="post comments-open">{}</div>', '<section id="widget-review">{}</section>', '<div class="page-header-image">{}</div>', "<form>{}</form>", '<div class="widget">{}</div>', '<svg width="1"/>{}', "<div/>{}", '<div class="main-nav">menu</div>{}<div id="cookie-notice">cookies</div>']

@@ -1,9 +1,10 @@
 """Main text of web pages by template deduction over the pages of a host.
 
 Tokens are elements (by path) and text nodes. Tokens with the same occurrence vector over a host's pages form an
-equivalence class; vectors are compared by an order-free fingerprint, so a host is aggregated, never gathered. The class
-that occurs once on (nearly) every page is the root of the template; the others nest into it by path. Text that
-repeats on most pages belongs to the template; the slot of the root class that holds the remaining text is the article.
+equivalence class; vectors are compared by an order-free fingerprint, so a host is aggregated, never gathered. A class is
+valid if each of its text nodes comes wherever its element does; copies of an article share a vector too, but lie in
+slots, elements whose text differs from page to page. Valid classes, nested by path, are the template; what is on a page besides is
+the text of its slots, and all of it is kept. Tags and names of menus, adverts and the like leave out what one page cannot tell.
 """
 
 from __future__ import annotations
@@ -142,13 +143,17 @@ def blocks(page: str | None) -> list[tuple[str, str | None]]:
     return kept if any(text for _, text in kept) else [(path, text) for path, text, _, _ in found]
 
 
-def main_text(page: str | None, slot: str | None) -> str:
-    """The blocks in the slot; on a page without it, those in article or main, else all."""
+def node_of(path: str, text: str) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(f"{path}\0{text}") >> 1 or 1
+
+
+def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset()) -> str:
+    """The blocks that are not text of the template; all blocks of a page that has no others."""
     found = [(p, t) for p, t in blocks(page) if t is not None]
-    inside = [t for p, t in found if slot is not None and (p == slot or p.startswith(slot + "/"))]
-    if not inside:
-        inside = [t for p, t in found if re.search(r"/(?:article|main)\b", p)] or [t for _, t in found]
-    return "\n\n".join(inside)
+    free = [t for p, t in found if node_of(p, t) not in template] if template else []
+    return "\n\n".join(free or [t for _, t in found])
 
 
 def host_of(url_column: str):
@@ -156,8 +161,8 @@ def host_of(url_column: str):
 
 
 def token_counts(pages: DataFrame) -> DataFrame:
-    """host, path, node (hash of a text node's text, 0 for an element), pages, times, chars, print (the fingerprint of the
-    occurrence vector): added up over the pages of a batch, then over all."""
+    """host, path, node (hash of a text node, 0 for an element), pages, print (the fingerprint of the occurrence vector): added
+    up over the pages of a batch, then over all."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -165,56 +170,52 @@ def token_counts(pages: DataFrame) -> DataFrame:
         for batch in batches:
             total: dict[tuple[str, str, int], list[int]] = {}
             for host, page_key, page in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                own: dict[tuple[str, int], list[int]] = {("", 0): [1, 0]}
+                own: dict[tuple[str, int], int] = {("", 0): 1}
                 for path, text in blocks(page):
-                    node = 0 if text is None else xxhash.xxh3_64_intdigest(text) >> 1 or 1
-                    entry = own.setdefault((path, node), [0, 0])
-                    entry[0] += 1
-                    entry[1] += len(text or "")
-                for (path, node), (times, chars) in own.items():
-                    entry = total.setdefault((host, path, node), [0, 0, 0, 0])
+                    key = (path, 0 if text is None else node_of(path, text))
+                    own[key] = own.get(key, 0) + 1
+                for (path, node), times in own.items():
+                    entry = total.setdefault((host, path, node), [0, 0])
                     entry[0] += 1
-                    entry[1] += times
-                    entry[2] += chars
-                    entry[3] ^= xxhash.xxh3_64_intdigest(f"{page_key}:{times}") >> 1
+                    entry[1] ^= xxhash.xxh3_64_intdigest(f"{page_key}:{times}") >> 1
             rows = [(*k, *v) for k, v in total.items()]
-            types = (pa.string(), pa.string(), *[pa.int64()] * 5)
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["host", "path", "node", "pages", "times", "chars", "print"])
+            types = (pa.string(), pa.string(), *[pa.int64()] * 3)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["host", "path", "node", "pages", "print"])
 
-    counts = pages.mapInArrow(run, "host string, path string, node long, pages long, times long, chars long, print long")
-    return counts.groupBy("host", "path", "node").agg(F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.sum("chars").alias("chars"), F.bit_xor("print").alias("print"))
+    counts = pages.mapInArrow(run, "host string, path string, node long, pages long, print long")
+    return counts.groupBy("host", "path", "node").agg(F.sum("pages").alias("pages"), F.bit_xor("print").alias("print"))
 
 
-def templates(counts: DataFrame, most: float = 0.9, often: float = 0.5) -> DataFrame:
-    """host, slot: the deepest element of the root class that holds all of the host's text that is not template text.
+def templates(counts: DataFrame, most: float = 0.9, least: int = 3, share: float = 0.01) -> DataFrame:
+    """host, template: the text nodes of the valid classes of a host.
 
-    The root class: elements with the vector of the page itself, or found once on a share of ``most`` of the pages. Template text: text nodes
-    on a share of ``often`` of the pages of a host with three pages or more. Hosts without such an element have no row.
+    A path is a slot if any of its texts is missing on more than a share of 1 - ``most`` of the pages with the path; what a slot holds is
+    never left out. Classes are those of texts on ``least`` pages or more, and a ``share`` of the host's, which keeps a template about as
+    large as a hundred pages at most. A class nests into the template by its texts' paths, and is valid if none of them is a slot
+    (as with an advert on some pages, but not with copies of an article, which share slots with others), or if it is on
+    a share of ``most`` of all pages. Hosts without such a class have no row.
     """
-    page = counts.filter("path = ''  AND node = 0").select("host", F.col("pages").alias("n"), F.col("print").alias("whole"))
-    counts = counts.filter("path <> ''").join(page, "host")
-    root = counts.filter((F.col("node") == 0) & ((F.col("print") == F.col("whole")) | ((F.col("times") == F.col("pages")) & (F.col("pages") >= most * F.col("n")))))
-    root = root.select("host", F.col("path").alias("slot"))
-    free = counts.filter((F.col("node") != 0) & ((F.col("n") < 3) | (F.col("pages") < often * F.col("n"))))
-    # A host with most of the pages has many paths: deal by both, or all of them stay in the host's task.
-    by_path = free.repartition("host", "path").groupBy("host", "path").agg(F.sum("chars").alias("chars"))
-    steps = F.split("path", "/")
-    up = F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))
-    held = by_path.select("host", F.explode(up).alias("slot"), "chars").groupBy("host", "slot").agg(F.sum("chars").alias("held"))
-    total = by_path.groupBy("host").agg(F.sum("chars").alias("total"))
-    enough = held.join(total, "host").filter(F.col("held") >= F.col("total")).join(root, ["host", "slot"])
-    depth = F.struct(F.size(F.split("slot", "/")).alias("depth"), F.col("held"), F.col("slot"))
-    return enough.groupBy("host").agg(F.max(depth).alias("best")).select("host", "best.slot")
+    # A host with most of the pages has many texts: one row a path, then the few texts that come again.
+    text = F.when(F.col("node") != 0, F.col("pages"))
+    paths = counts.groupBy("host", "path").agg(F.min(text).alias("rarest"), F.max(F.when(F.col("node") == 0, F.col("pages"))).alias("around"))
+    paths = paths.select("host", "path", (F.col("rarest") < most * F.col("around")).alias("slot"))
+    whole = counts.filter("node = 0 AND path = ''").select("host", F.col("pages").alias("n"))
+    texts = counts.filter((F.col("node") != 0) & (F.col("pages") >= least)).join(whole, "host").filter(F.col("pages") >= share * F.col("n"))
+    texts = texts.join(paths, ["host", "path"])
+    fixed = F.collect_list(F.when(~F.col("slot"), F.col("node")))
+    classes = texts.groupBy("host", "n", "print", "pages").agg(F.max("slot").alias("shared"), fixed.alias("nodes"))
+    classes = classes.filter(~F.col("shared") | (F.col("pages") >= most * F.col("n"))).filter(F.size("nodes") > 0)
+    return classes.groupBy("host").agg(F.flatten(F.collect_list("nodes")).alias("template"))
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """page_id, url, text, n_chars: one row per row of pages.
 
     A null or empty page has an empty text. Rows without a readable host share one template. Repeated rows are pages of their own. The
-    join of pages with their host's slot can be split where one host has most pages; pages travel compressed.
+    join of pages with their host's template can be split where one host has most pages; pages travel compressed.
     """
     given = pages.select(host_of(url_column).alias("host"), F.xxhash64(id_column, url_column).alias("page_key"), F.col(html_column).alias("html"))
-    slots = stored(templates(stored(token_counts(given), "tokens")), "templates")
+    found = stored(templates(stored(token_counts(given), "tokens")), "templates")
 
     def squeeze(batches) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -229,11 +230,16 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
 
         opener = zstandard.ZstdDecompressor()
         for batch in batches:
-            texts = [main_text(opener.decompress(z.as_py()).decode(), slot.as_py()) for z, slot in zip(batch.column(2), batch.column(3))]
+            of_host: dict[str, set[int]] = {}
+            texts = []
+            for host, z, template in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4)):
+                if host not in of_host:
+                    of_host[host] = set(template.as_py() or ())
+                texts.append(main_text(opener.decompress(z.as_py()).decode(), of_host[host]))
             columns = [*batch.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
     packed = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).alias("url"), host_of(url_column).alias("host"), F.col(html_column).alias("html"))
     packed = packed.mapInArrow(squeeze, "page_id long, url string, host string, z binary")
-    joined = packed.join(slots, "host", "left").select("page_id", "url", "z", "slot")
+    joined = packed.join(found, "host", "left").select("page_id", "url", "host", "z", "template")
     return joined.mapInArrow(read, "page_id long, url string, text string, n_chars long")
