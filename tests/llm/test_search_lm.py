@@ -97,3 +97,23 @@ def test_scores_of_documents(spark):
     assert scoring.score(documents(spark, []), held_out).count() == 0
     alone = scoring.score(documents(spark, [(5, "a b")]), held_out).collect()
     assert len(alone) == 1 and alone[0].n_known == 0 and alone[0].score <= 0
+
+
+def rounds_of(spark, monkeypatch, rows):
+    met = []
+
+    def spy(part, model, end, trainers):
+        met.append((part.count(), part.selectExpr("sum(length(ids) div 2)").first()[0], trainers))
+        return model
+
+    monkeypatch.setattr(scoring, "train_round", spy)
+    scoring.score(documents(spark, rows, extra=False), F.lit(False), vocabulary=16, frequent=20)
+    return met
+
+
+def test_whole_texts_are_trained_on(spark, monkeypatch):
+    rows = [(k, "a b c " * (20 * k)) for k in range(10)]
+    assert all(n == 10 and words == 60 * 45 + 10 for n, words, _ in rounds_of(spark, monkeypatch, rows))
+    texts = [np.arange(n) % 10 for n in (70, 3, 41)]
+    model = Gru.start(np.arange(1.0, 11.0), 3.0, 4, 4)
+    assert model.train([texts], 0) == 114

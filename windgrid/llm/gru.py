@@ -132,18 +132,24 @@ class Gru:
         return result
 
     def train(self, batches, end: int, window: int = 16, rate: float = 0.01) -> int:
-        """One pass of truncated backpropagation with Adam over batches of id rows; -1 pads. A row's state is carried to its next window, gradients
-        are not. Returns the number of tokens met."""
+        """One pass of truncated backpropagation with Adam over batches of id rows, each a list of sequences or an array in which -1 pads. A row's
+        state is carried to its next window until the row ends, gradients are not. Returns the number of tokens met."""
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
         seen = turn = 0
         for rows in batches:
+            rows = sorted((np.asarray(r)[np.asarray(r) != -1] if isinstance(rows, np.ndarray) else r for r in rows), key=len, reverse=True)
+            lengths = np.array([len(r) for r in rows])
             h = np.zeros((len(rows), self.hidden), np.float32)
             last = np.full(len(rows), end)
-            for start in range(0, rows.shape[1], window):
-                targets = rows[:, start : start + window]
-                if not (targets >= 0).any():
-                    break
+            for start in range(0, int(lengths[0]), window):
+                # Longest first: the rows that go on are the first ones.
+                live = int((lengths > start).sum())
+                targets = np.full((live, min(window, int(lengths[0]) - start)), -1)
+                for k in range(live):
+                    part = rows[k][start : start + window]
+                    targets[k, : len(part)] = part
+                last, h = last[:live], h[:live]
                 gradients, h, n = self.window_gradients(np.concatenate([last[:, None], targets[:, :-1]], axis=1), targets, h)
                 last = targets[:, -1]
                 seen += n

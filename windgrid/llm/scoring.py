@@ -1,8 +1,8 @@
 """Scores documents with a gated recurrent language model, and with unigram counts as a base.
 
 Counts cover all words of all training texts. The network's vocabulary is the most frequent words; the rest share a
-class in which a word gets its share of the smoothed counts. The network is trained where the data lies: each task
-trains a copy on its rows, and Spark averages the copies after every round. Counts of frequent words are
+class in which a word gets its share of the smoothed counts. The network is trained on whole texts where the data lies: each task
+trains a copy on its rows, window by window with the state carried over, and Spark averages the copies after every round. Counts of frequent words are
 broadcast up to a fixed number; those of all others meet the documents in a join.
 """
 
@@ -22,7 +22,7 @@ from windgrid.llm.gru import Gru
 
 END = ""
 VOCABULARY, CLASS_SIZE, HIDDEN, FREQUENT = 1024, 32, 16, 100_000
-SEGMENT, WINDOW, TOGETHER, ROUNDS, ROWS_A_TRAINER = 48, 16, 64, 3, 1000
+WINDOW, TOGETHER, ROUNDS, ROWS_A_TRAINER = 16, 64, 3, 1000
 COUNTS_AT_ONCE = 300_000
 
 
@@ -66,17 +66,14 @@ def frequent_words(counts: DataFrame, most: int):
     return top.assign(later=top["word"] != END, rank=-top["c"]).sort_values(["later", "rank", "word"])[["word", "c"]].head(most)
 
 
-def segments(documents: DataFrame, words: dict[bytes, int], outside: int, length: int) -> DataFrame:
-    """h, ids: of each text the ids of ``length`` words in a row, from a place chosen by the row's hash h (for half of the
-    rows the beginning). Copies of a text have hashes of their own, so that they are dealt to all tasks."""
+def id_rows(documents: DataFrame, words: dict[bytes, int], outside: int) -> DataFrame:
+    """h, ids: the ids of all words of each text and of its end. Copies of a text have hashes of their own, so that they are dealt to all tasks."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for h, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens = [*words_of(text.as_py()), b""]
-                start = 0 if h % 2 else (h >> 8) % max(1, len(tokens) - length + 1)
-                ids = [words.get(w, outside) for w in tokens[start : start + length]]
+            for text in batch.column(1):
+                ids = [words.get(w, outside) for w in [*words_of(text.as_py()), b""]]
                 found.append(np.array(ids, "<u2").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["h", "ids"])
 
@@ -94,12 +91,12 @@ def train_round(rows: DataFrame, model: Gru, end: int, trainers: int) -> Gru:
             held = []
             for batch in batches:
                 for ids in batch.column(0):
-                    held.append(np.frombuffer(ids.as_py(), "<u2").astype(np.int64))
+                    held.append(np.frombuffer(ids.as_py(), "<u2"))
                     if len(held) == TOGETHER:
-                        yield padded(held)
-                        held.clear()
+                        yield held
+                        held = []
             if held:
-                yield padded(held)
+                yield held
 
         seen = own.train(groups(), end, WINDOW)
         if seen:
@@ -117,13 +114,6 @@ def train_round(rows: DataFrame, model: Gru, end: int, trainers: int) -> Gru:
     return model.with_flat(flat + change)
 
 
-def padded(rows: list[np.ndarray]) -> np.ndarray:
-    out = np.full((len(rows), max(len(r) for r in rows)), -1)
-    for k, r in enumerate(rows):
-        out[k, : len(r)] = r
-    return out
-
-
 def score(documents: DataFrame, held_out: Column, vocabulary: int = VOCABULARY, frequent: int = FREQUENT, hidden: int = HIDDEN, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document.
 
@@ -148,7 +138,7 @@ def score(documents: DataFrame, held_out: Column, vocabulary: int = VOCABULARY,
     model = Gru.start(common[:size], tail, hidden, CLASS_SIZE)
     outside = len(model.p["wo"])  # the id of all words outside the vocabulary
     if n:
-        rows = stored(segments(training, kept, outside, SEGMENT), "segments")
+        rows = stored(id_rows(training, kept, outside), "ids")
         n_rows = rows.count()
         for k in range(rounds):
             part = rows.filter(F.pmod(F.xxhash64(F.lit(1), "h"), F.lit(rounds)) == k)
