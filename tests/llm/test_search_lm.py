@@ -117,3 +117,8 @@ def test_whole_texts_are_trained_on(spark, monkeypatch):
     texts = [np.arange(n) % 10 for n in (70, 3, 41)]
     model = Gru.start(np.arange(1.0, 11.0), 3.0, 4, 4)
     assert model.train([texts], 0) == 114
+
+
+def test_all_rows_are_trained_on_in_each_round_at_any_size(spark, monkeypatch):
+    for n in (30, 3500, 12_000):
+        assert rounds_of(spark, monkeypatch, [(k, f"a b {k}") for k in range(n)]) == [(n, 4 * n, max(1, n // 1000))] * 3

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windgrid.llm.common import spread, stored
+from windgrid.llm.common import stored
 from windgrid.llm.dedup import words_of
 from windgrid.llm.gru import Gru
 
@@ -140,10 +140,8 @@ def score(documents: DataFrame, held_out: Column, vocabulary: int = VOCABULARY,
     if n:
         rows = stored(id_rows(training, kept, outside), "ids")
         n_rows = rows.count()
-        for k in range(rounds):
-            part = rows.filter(F.pmod(F.xxhash64(F.lit(1), "h"), F.lit(rounds)) == k)
-            part = part if n_rows >= rounds * ROWS_A_TRAINER else rows
-            model = train_round(part, model, end, max(1, min(spread(rows.sparkSession), n_rows // (rounds * ROWS_A_TRAINER))))
+        for _ in range(rounds):
+            model = train_round(rows, model, end, max(1, n_rows // ROWS_A_TRAINER))
 
     params, shared = model.p, (place, np.log10((common + 0.1) / z_base), np.log10((common + 0.1) / z_tail))
     sent = documents.sparkSession.sparkContext.broadcast(shared)
