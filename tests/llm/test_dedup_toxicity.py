@@ -6,7 +6,7 @@ import pytest
 from fixtures import documents, mixed_rows, sentence
 from pyspark.sql import functions as F
 
-from windgrid.llm import dedup
+from windgrid.llm import dedup, toxicity
 from windgrid.llm.components import components
 from windgrid.llm.toxicity import HARMLESS, ToxicityModel, matcher
 
@@ -104,3 +104,13 @@ def test_toxicity_without_labels(spark):
     frame = documents(spark, mixed_rows())
     model = ToxicityModel.fit(frame, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     assert {r.p for r in frame.select(model.column(F.col("text"))["predicted"].alias("p")).collect()} == {0}
+
+
+def test_rare_toxic_words_are_learned_in_large_samples(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(8))
+    rows = [(k, f"{word()} common {word()}", 0) for k in range(3000)]
+    rows += [(10_000 + k, f"{word()} common {'zorkish' if k >= 4 else 'quuxing'} {word()}", 1) for k in range(3000)]
+    sample = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.learn_lexicon(sample, min_odds=2.0)
+    assert any("quuxing".startswith(t) for t in lexicon) and any("zorkish".startswith(t) for t in lexicon)

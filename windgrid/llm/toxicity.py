@@ -8,6 +8,7 @@ are in the same automaton and cancel the match inside them.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import unicodedata
@@ -69,12 +70,12 @@ def fit_sample(documents: DataFrame, labels: DataFrame, held_out, fit_rows: int)
     return documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
 
 
-def learn_lexicon(sample: DataFrame, min_documents: int = 3, min_odds: float = 3.0, max_candidates: int = 5000) -> dict[str, float]:
+def learn_lexicon(sample: DataFrame, min_documents: int = 3, min_odds: float = 3.0, least: float = 2.0) -> dict[str, float]:
     """Word beginnings and their weights.
 
     Candidates are beginnings found in ``min_documents`` toxic documents or more, with log odds of ``min_odds`` or more
-    by document counts over the sample; the ``max_candidates`` most frequent go on. A greedy cover of the toxic
-    documents then keeps those that explain much, where a document counts half as much each time it is explained, and
+    by document counts over the sample, which bounds their number. A greedy cover of the toxic
+    documents then keeps those that explain ``least`` documents, however large the sample is, where a document counts half as much each time it is explained, and
     near copies (three equal minimum hashes of words) count once. So words that only come with copied documents
     do not get in beside the entries that made them toxic.
     """
@@ -97,7 +98,7 @@ def learn_lexicon(sample: DataFrame, min_documents: int = 3, min_odds: float = 3
     odds = F.log((F.col("toxic") + 0.5) / (totals["toxic"] + 1.0)) - F.log((F.col("clean") + 0.5) / (totals["clean"] + 1.0))
     counts = sample.mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     kept = counts.filter(F.col("toxic") >= min_documents).withColumn("odds", odds).filter(F.col("odds") >= min_odds)
-    rows = kept.orderBy(F.desc("toxic"), F.desc("odds"), F.desc(F.length("term")), "term").limit(max_candidates).collect()
+    rows = kept.orderBy(F.desc("toxic"), F.desc("odds"), F.desc(F.length("term")), "term").collect()
     at = {r["term"]: k for k, r in enumerate(rows)}
 
     def incidence(batches):
@@ -118,18 +119,25 @@ def learn_lexicon(sample: DataFrame, min_documents: int = 3, min_odds: float = 3
     incident = [np.array(d, dtype=np.int64) for d in documents_of]
     open_share = np.ones(len(toxic))
     lexicon: dict[str, float] = {}
-    least = max(2.0, len(toxic) / 500)
-    left = set(range(len(rows)))
-    while left:
-        gain = {k: float(open_share[incident[k]].sum()) for k in left}
-        best = max(left, key=lambda k: (gain[k] * rows[k]["odds"], len(rows[k]["term"]), -k))
-        if gain[best] < least:
-            break
-        lexicon[rows[best]["term"]] = rows[best]["odds"]
-        open_share[incident[best]] /= 2
-        term = rows[best]["term"]
+    gain = lambda k: float(open_share[incident[k]].sum())
+    ranked = lambda k: (-gain(k) * rows[k]["odds"], -len(rows[k]["term"]), k)
+    # Gains only fall, so the first one that is still up to date is the best of all.
+    heap = [ranked(k) for k in range(len(rows))]
+    heapq.heapify(heap)
+    ends: set[str] = set()
+    while heap:
+        k = heapq.heappop(heap)[2]
+        term = rows[k]["term"]
         # A longer or shorter form of a kept entry counts the same words again.
-        left = {k for k in left if k != best and gain[k] >= least and not rows[k]["term"].startswith(term) and not term.startswith(rows[k]["term"])}
+        if gain(k) < least or term in ends or any(term[:n] in lexicon for n in PREFIXES):
+            continue
+        now = ranked(k)
+        if heap and now > heap[0]:
+            heapq.heappush(heap, now)
+            continue
+        lexicon[term] = rows[k]["odds"]
+        open_share[incident[k]] /= 2
+        ends.update(term[:n] for n in PREFIXES)
     return lexicon
 
 
