@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,12 +137,35 @@ RAW_SPE_COLUMNS = [
 ]
 
 
+# How files spell timestamps, by a divisor of the event's id: slashes, the next day's midnight, one-digit parts, several blanks
+# and a T; then a day alone; then a bare hour, a month and a year, which are none; else the usual spelling.
+SPELLINGS = [
+    (67, "yyyy/MM/dd HH:mm:ss"),
+    (71, "yyyy-MM-dd '24:00:00'"),
+    (73, "yyyy-M-d H:mm"),
+    (79, "yyyy-MM-dd'T'HH:mm:ss.SSS"),
+    (83, "yyyy/MM/dd   '24:00'"),
+    (89, "yyyy-MM-dd"),
+    (97, "yyyy-MM-dd HH"),
+    (101, "yyyy-MM"),
+    (103, "yyyy"),
+    (1, "yyyy-MM-dd HH:mm:ss"),
+]
+_STRFTIME = {"yyyy": "%Y", "MM": "%m", "dd": "%d", "HH": "%H", "mm": "%M", "ss": "%S", "SSS": "%g", "M": "%-m", "d": "%-d", "H": "%-H"}
+SPELLINGS_SQL = " ".join(
+    f"WHEN event_id % {every} = 0 THEN strftime(ts, '{re.sub("'([^']*)'|([A-Za-z]+)", lambda m: m[1] or _STRFTIME[m[2]], pattern)}')" for every, pattern in SPELLINGS
+)
+SPELLINGS_SQL = f"CASE {SPELLINGS_SQL} END"
+
+
 def raw_spe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plant rows as files hold them: text, with spoiled values and one to three copies of each row."""
     e = table(spark, sf_dir, "events")
     n, i = F.col("user_id") % 10, F.col("event_id")
     blanks = F.when(n.isin(3, 7), F.lit(" Conj  ")).otherwise(F.lit(" Conj "))
-    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    ts = F.lit(None).cast("string")
+    for every, pattern in reversed(SPELLINGS):
+        ts = F.when(i % every == 0, F.date_format("ts", pattern)).otherwise(ts)
     value = _text("value")
     rows = e.select(
         F.concat(F.lit("SS"), _text(n % 3)).alias("id_subsistema"),
@@ -171,7 +196,7 @@ raw_spe AS (
          'U' || CAST(user_id AS VARCHAR) AS nom_usina,
          'ID' || CAST(user_id % 7 AS VARCHAR) AS id_ons,
          CASE WHEN event_id % 61 <> 0 THEN 'EOL.CV.' || {CODE_SQL.format("user_id")} || '.01' END AS ceg,
-         CASE WHEN event_id % 41 = 0 THEN 'bad' WHEN event_id % 43 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS din_instante,
+         CASE WHEN event_id % 41 = 0 THEN 'bad' WHEN event_id % 43 <> 0 THEN {SPELLINGS_SQL} END AS din_instante,
          CASE WHEN event_id % 29 = 0 THEN '12,5' WHEN event_id % 31 = 0 THEN 'NaN'
               WHEN event_id % 23 <> 0 THEN CAST(value AS VARCHAR) END AS val_ventoverificado,
          CASE WHEN event_id % 10 = 0 THEN '1' WHEN event_id % 37 <> 0 THEN '0' END AS flg_dadoventoinvalido,
@@ -234,6 +259,38 @@ raw_wind AS (
 )"""
 
 
+# A delivery as lines of text: quoted fields with separators and doubled quotes, and rows that do not fit the header.
+DELIVERY_COLUMNS = ["nom_usina", "din_instante", "note", "val_geracao"]
+
+
+def delivery_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line per event: every 11th quoted, every 13th with a field too many, every 17th with one too few, every 19th unclosed in
+    the middle, every 23rd unclosed at the end, every 29th with text behind its closing quote."""
+    i = F.col("event_id")
+    name, ts, value = F.concat(F.lit("U"), _text("user_id")), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), _text("value")
+    note = F.when(i % 11 == 0, F.concat(F.lit('"say ""'), F.col("event_type"), F.lit('""; ok"'))).otherwise(F.col("event_type"))
+    line = (
+        F.when(i % 13 == 0, F.concat_ws(";", name, ts, note, value, F.lit("more")))
+        .when(i % 17 == 0, F.concat_ws(";", name, ts, note))
+        .when(i % 19 == 0, F.concat_ws(";", name, ts, F.concat(F.lit('"'), F.col("event_type")), value))
+        .when(i % 23 == 0, F.concat_ws(";", name, ts, note, F.concat(F.lit('"'), value)))
+        .when(i % 29 == 0, F.concat_ws(";", name, ts, F.lit('"a"b'), value))
+        .otherwise(F.concat_ws(";", name, ts, note, value))
+    )
+    return table(spark, sf_dir, "events").select(line.alias(";".join(DELIVERY_COLUMNS)))
+
+
+DELIVERY_SQL = """
+delivered AS (
+  SELECT *, 'U' || CAST(user_id AS VARCHAR) AS nom_usina, strftime(ts, '%Y-%m-%d %H:%M:%S') AS din_instante, CAST(value AS VARCHAR) AS val_geracao,
+         CASE WHEN event_id % 11 = 0 THEN 'say "' || event_type || '"; ok' ELSE event_type END AS note,
+         CASE WHEN event_id % 11 = 0 THEN '"say ""' || event_type || '""; ok"' ELSE event_type END AS quoted,
+         CASE WHEN event_id % 13 = 0 THEN 'too many fields' WHEN event_id % 17 = 0 THEN 'too few fields'
+              WHEN event_id % 19 = 0 OR event_id % 23 = 0 OR event_id % 29 = 0 THEN 'broken quotes' END AS reason
+  FROM events
+)"""
+
+
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The owned assets: one code per supplier."""
     return table(spark, sf_dir, "supplier").select(

@@ -23,7 +23,7 @@ from windgrid.sinks import (
     write_table,
 )
 from windgrid.sources import files, months
-from windgrid.streaming import ingest_landing
+from windgrid.streaming import ingest_landing, malformed_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -710,6 +710,26 @@ def ingest_drift(spark, sf_dir):
     return bronze.drop("source_file")
 
 
+@register(
+    "ingest_malformed",
+    with_tables(a.DELIVERY_SQL)
+    + """ SELECT nom_usina, din_instante, note, val_geracao, NULL AS reason, NULL AS line FROM delivered WHERE reason IS NULL
+UNION ALL SELECT NULL, NULL, NULL, NULL, reason, nom_usina || ';' || din_instante || ';' ||
+  CASE WHEN event_id % 13 = 0 THEN quoted || ';' || val_geracao || ';more' WHEN event_id % 17 = 0 THEN quoted WHEN event_id % 19 = 0 THEN '"' || event_type || ';' || val_geracao
+       WHEN event_id % 23 = 0 THEN quoted || ';"' || val_geracao ELSE '"a"b;' || val_geracao END
+FROM delivered WHERE reason IS NOT NULL""",
+)
+def ingest_malformed(spark, sf_dir):
+    """Rows that fit the header, and beside them the text of those that do not, after two runs."""
+    folder = shared_folder(spark, "malformed")
+    lines = a.delivery_lines(spark, sf_dir)
+    # One column whose name is the header line, written without any quoting: the lines as they are.
+    lines.write.options(header=True, sep="\x01", quote="", escape="\x02", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/in/m")
+    for _ in range(2):
+        bronze = ingest_landing(spark, f"{folder}/in/*", f"{folder}/bronze", f"{folder}/checkpoint", a.DELIVERY_COLUMNS)
+    return bronze.drop("source_file").unionByName(malformed_rows(spark, f"{folder}/bronze").select("reason", "line"), allowMissingColumns=True)
+
+
 @register(
     "large_sums",
     """SELECT o_orderpriority, CAST(SUM(CAST(o_totalprice AS DECIMAL(38,2)) * 100000000000000) AS DOUBLE) / 100 AS exact_sum, COUNT(*) AS n

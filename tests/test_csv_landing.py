@@ -12,7 +12,7 @@ from windgrid.functions import decimal_sum
 from windgrid.operators import levels, metrics
 from windgrid.sinks import write_csv
 from windgrid.sources import files
-from windgrid.streaming import ingest_landing, rejected_files
+from windgrid.streaming import ingest_landing, ledger, malformed_rows, read_bronze, rejected_files, touched_months
 
 HAND_WRITTEN = 'name;n\n"say ""hi""; ok";1\n"a\nb";2\n"C:\\";3\n" lead and trail ";4\n;5\n'
 
@@ -108,3 +108,76 @@ def test_level_join_reads_only_what_is_asked_for(spark, tmp_path):
     joined = levels.join_levels(spark.read.parquet(f"{tmp_path}/spe"), spark.read.parquet(f"{tmp_path}/wind"))
     plan = metrics.projects(joined)._jdf.queryExecution().executedPlan().toString() if {"id_estado"} <= set(joined.columns) else ""
     assert "unused" not in plan and "val_geracaoverificada" not in plan
+
+
+ODD = '''a;b;c
+1;2;3
+1;2;3;4
+1;2;3;
+1;2
+1;"abc;3
+1;2;"abc
+1;2;"ab"c
+"1";"2";"""abc"
+1;a"b;3
+1;2;"x""
+;;
+1;"x
+y";3
+1; "q";'
+'''
+
+
+def test_rows_that_do_not_fit_are_marked_with_their_text(spark, tmp_path):
+    put(tmp_path / "in", "x.csv", ODD)
+    put(tmp_path / "in", "y.csv", "c;new\n5;6\n7\n")
+    read = files.read_csv_by_name(spark, str(tmp_path / "in"), checked=True)
+    bad = {r._line: r._reason for r in read.filter("_line IS NOT NULL").collect()}
+    assert bad == {
+        "1;2;3;4": "too many fields",
+        "1;2;3;": "too many fields",
+        "1;2": "too few fields",
+        '1;"abc;3': "broken quotes",
+        '1;2;"abc': "broken quotes",
+        '1;2;"ab"c': "broken quotes",
+        '1;2;"x""': "broken quotes",
+        '1;"x': "broken quotes",
+        'y";3': "too few fields",
+        "7": "too few fields",
+    }
+    good = [tuple(r) for r in read.filter("_reason IS NULL").drop("_line", "_reason").collect()]
+    wanted = [("1", "2", "3", None), ("1", "2", '"abc', None), ("1", 'a"b', "3", None), (None, None, None, None), ("1", ' "q"', "'", None), (None, None, "5", "6")]
+    assert sorted(good, key=repr) == sorted(wanted, key=repr)
+
+
+def test_quoted_line_breaks_fit_with_multi_line(spark, tmp_path):
+    put(tmp_path / "in", "x.csv", 'a;b;c\n1;"x\ny";3\n1;2\n1;"p;q";"r ""s"""\n')
+    read = files.read_csv_by_name(spark, str(tmp_path / "in"), multi_line=True, checked=True)
+    assert sorted(map(tuple, read.collect()), key=repr) == sorted([("1", "x\ny", "3", None, None), ("1", "p;q", 'r "s"', None, None), ("1", "2", None, "1;2", "too few fields")], key=repr)
+
+
+def test_a_long_quoted_field_fits(spark, tmp_path):
+    put(tmp_path / "in", "x.csv", 'a;b\n1;"' + 'x""' * 60_000 + '"\n2;' + "y" * 300_000 + "\n")
+    assert files.read_csv_by_name(spark, str(tmp_path / "in"), checked=True).filter("_line IS NULL").count() == 2
+
+
+def test_months_and_malformed_rows_are_in_the_ledger(spark, tmp_path):
+    landing, bronze, checkpoint = (str(tmp_path / n) for n in ("in", "bronze", "checkpoint"))
+    put(landing, "a b.csv", "a;din_instante\n1;2024/01/31\n2;2024-01-31 24:00:00\n3;2024\n4;2024-02-01;x\n5\n")
+    put(landing, "clash.csv", "a;batch\n1;2\n")
+    run = lambda: ingest_landing(spark, landing, bronze, checkpoint, ["a", "din_instante"])
+    assert sorted(r.a for r in run().collect()) == ["1", "2", "3"]
+    rows = lambda **k: sorted(r.a for r in read_bronze(spark, bronze, landing, ["a", "din_instante"], **k).collect())
+    assert [rows(months=[m]) for m in ("2024-01", "2024-02", "none")] == [["1"], ["2"], ["3"]]
+    assert {(r.month, r.n_rows) for r in ledger(spark, bronze).collect()} == {("2024-01", 1), ("2024-02", 1), ("none", 1), ("malformed", 2)}
+    assert {(r.line, r.reason) for r in malformed_rows(spark, bronze).collect()} == {("4;2024-02-01;x", "too many fields"), ("5", "too few fields")}
+    assert [os.path.basename(r.path) for r in rejected_files(spark, bronze).collect()] == ["clash.csv"]
+    put(landing, "c.csv", "a;din_instante\n9;2024-02-02\n")
+    run()
+    assert [r.month for r in touched_months(spark, bronze, after=0).collect()] == ["2024-02"] and rows(months=["2024-02"]) == ["2", "9"]
+    plan = read_bronze(spark, bronze, landing, ["a"], months=["2024-02"])
+    opened = plan.inputFiles()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bronze_month" in text and opened
+    plan.collect()
+    assert {r.p for r in plan.select(F.input_file_name().alias("p")).collect()} == {f for f in opened if "bronze_month=2024-02" in f}

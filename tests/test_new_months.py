@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from driver_queries import adapter, catalog
-from windgrid.functions import is_bad_timestamp
+from windgrid.functions import is_bad_timestamp, to_timestamp
 from windgrid.operators import coverage, levels, metrics, star
 from windgrid.plans import run_new_months, run_pipeline
 from windgrid.sinks import write_csv, write_layer
@@ -33,11 +34,11 @@ def test_other_months_keep_their_files(spark, tmp_path):
     before = month_files(f"{root}/out/joined")
     run_new_months(*args)
     assert month_files(f"{root}/out/joined") == before
-    write_csv(later(spe.filter("din_instante LIKE '2024-01-1%'")), f"{root}/in/spe/b", sep=";")
+    write_csv(later(spe.filter("din_instante LIKE '2024-01-1%:%'")), f"{root}/in/spe/b", sep=";")
     joined = run_new_months(*args)
     assert before < month_files(f"{root}/out/joined")
     whole = run_pipeline(
-        spe.filter("din_instante LIKE '2024-%'").unionByName(later(spe.filter("din_instante LIKE '2024-01-1%'"))),
+        spe.filter("din_instante LIKE '2024-%'").unionByName(later(spe.filter("din_instante LIKE '2024-01-1%:%'"))),
         wind.filter("din_instante LIKE '2024-%'"),
         adapter.mapping(spark, SF),
         f"{root}/whole",
@@ -80,12 +81,19 @@ def test_salted_first_join_equals_the_plain_one(spark):
 
 
 def test_bad_timestamps_are_those_of_try_cast(spark):
-    spellings = ["2024", "2024-01", "2024-01-05", "2024-01-05 10", "2024-01-05 10:30", "2024-01-05T10:30:00", "2024-01-05 24:00:00", "2024-01-05 24:00:01", "2024-1-5", "2024-01-05 10:30:00.5", "2024/01/05", "2024-13-05 24:00:00", "10:30:00", "T10:30", "bad", "", None]
+    spellings = ["2024", "2024-01", "2024-01-05", "2024-01-05 10", "2024-01-05 10:30", "2024-01-05T10:30:00", "2024-01-05 24:00:00", "2024-01-05 24:00:01", "2024-01-05 24:00", "2024-12-31 24:00:00.0", "2024/01/05 10:30", "2024 01 05", "2024\\01\\05 1:2:3", "2024-01/05", "2024-01-05   10:30", "2024-01-05 10:30:00Z", "2024-01-05 24:00:00Z", "2024-01-05 10:30:00+02:00", "+2024-01-05", "05/01/2024", "20240105", "2024-02-30", "2024-01-05T", "2024-01-05 10:30:60", "2024-1-5", "2024-01-05 10:30:00.5", "2024/01/05", "2024-13-05 24:00:00", "10:30:00", "T10:30", "bad", "", None]
     rows = spark.createDataFrame([(k, s) for k, s in enumerate(spellings)], "k int, s string")
-    got = {r.k: r.b for r in rows.select("k", is_bad_timestamp(F.col("s")).alias("b")).collect()}
+    got = {r.k: (r.b, r.t) for r in rows.select("k", is_bad_timestamp(F.col("s")).alias("b"), to_timestamp(F.col("s")).alias("t")).collect()}
     db = duckdb.connect()
     for k, s in enumerate(spellings):
-        assert got[k] == (db.execute("SELECT TRY_CAST(? AS TIMESTAMP)", [s]).fetchall()[0][0] is None), s
+        wanted = db.execute("SELECT TRY_CAST(? AS TIMESTAMP)", [s]).fetchall()[0][0]
+        assert got[k] == (wanted is None, wanted), s
+        strict = rows.filter(F.col("k") == k).select(to_timestamp(F.col("s"), "strict"))
+        if s is None or wanted:
+            assert strict.first()[0] == wanted, s
+        else:
+            with pytest.raises(Exception, match="not a timestamp"):
+                strict.collect()
 
 
 def test_nan_reference_is_no_restriction(spark):

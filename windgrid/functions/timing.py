@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PERIODS = ("daily", "monthly")
+NO_MONTH = "none"
 
 
 def hour_floor(ts: Column) -> Column:
@@ -34,6 +35,11 @@ def period(ts: Column, frequency: str) -> Column:
     return day if frequency == "daily" else F.substring(day, 1, 7)
 
 
+def month_label(ts: Column) -> Column:
+    """Text label of the month, ``none`` for a missing timestamp: the name of the month's folder."""
+    return F.coalesce(F.date_format(F.trunc(ts, "month"), "yyyy-MM"), F.lit(NO_MONTH))
+
+
 def month_number(year: Column, month: Column) -> Column:
     """Year and month as one sortable integer, 202601 for January 2026."""
     return year * 100 + month

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windgrid.functions import to_double, to_timestamp
+from windgrid.functions import timestamp_column, to_double
 from windgrid.schemas import COMPLEX_NUMERIC, FLAG, PLANT_NUMERIC, TS
 
 COPIES = "_copies"
@@ -36,13 +36,13 @@ def typed_columns(
         if name == COPIES:
             continue
         if name == ts:
-            columns[name] = to_timestamp(F.col(name), mode)
+            columns[name] = timestamp_column(df, name, mode)
         elif name in numeric:
             columns[name] = _number(df, name)
         else:
             columns[name] = F.col(name)
     if event_time:
-        columns[event_time] = to_timestamp(F.col(ts), mode)
+        columns[event_time] = timestamp_column(df, ts, mode)
     return columns
 
 

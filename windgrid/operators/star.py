@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windgrid.functions import to_timestamp
+from windgrid.functions import timestamp_column
 from windgrid.operators.keys import add_surrogate_key, extend_surrogate_key
 from windgrid.operators.levels import null_safe_equal
 from windgrid.schemas import DIM_CONJUNTO, DIM_SPE, FACT_MEASURES, TS
@@ -37,7 +37,7 @@ def append_dimension(stored: DataFrame, joined: DataFrame, natural: Sequence[str
 
 def dim_tempo(joined: DataFrame, ts: str = TS, key: str = "tempo_key") -> DataFrame:
     """Distinct timestamps with a key in time order, year, month, day and hour; null comes last."""
-    moments = joined.select(to_timestamp(F.col(ts), "strict").alias(ts)).distinct()
+    moments = joined.select(timestamp_column(joined, ts, "strict").alias(ts)).distinct()
     day = F.coalesce(F.unix_date(F.col(ts).cast("date")), F.lit(2**31 - 1))
     return add_surrogate_key(moments, [ts], key, bucket=day).select(
         ts,
@@ -72,7 +72,7 @@ def fact_generation(
     full = lookup == "full"
     by_spe = [c for c in spe.columns if c != "spe_key"] if full else SHORT_SPE
     by_conjunto = [c for c in conjunto.columns if c != "conjunto_key"] if full else SHORT_CONJUNTO
-    fact = joined.withColumn(ts, to_timestamp(F.col(ts), "strict"))
+    fact = joined.withColumn(ts, timestamp_column(joined, ts, "strict"))
     fact = _look_up(fact, spe, by_spe, "spe_key")
     fact = _look_up(fact, conjunto, by_conjunto, "conjunto_key")
     fact = _look_up(fact, tempo, [ts], "tempo_key")

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windgrid.functions import percent, to_timestamp
+from windgrid.functions import percent, timestamp_column
 from windgrid.operators.assets import attach_project, distinct_names, keep_mapped, restrict_to_names
 from windgrid.operators.clean import clean_spe, clean_wind, count_copies
 from windgrid.operators.levels import first_per_name, join_first, join_levels
@@ -20,7 +20,8 @@ from windgrid.schemas import TS
 from windgrid.sinks import write_layer, write_partitioned, write_report, write_star
 from windgrid.sources.files import read_mapping, read_partitioned, read_report
 from windgrid.sources.months import missing_months, month_range, month_span, months_present
-from windgrid.streaming import ingest_landing, rejected_files
+from windgrid.streaming import ingest_landing, ledger, read_bronze, rejected_files, touched_months
+from windgrid.streaming.ingest import MALFORMED, last_batch
 
 
 def run_pipeline(
@@ -83,15 +84,17 @@ def run_from_landing(
     spe_columns: Sequence[str],
     wind_columns: Sequence[str],
     expected_months: tuple[str, str] | None = None,
+    multi_line: bool = False,
     **options: str | bool | None,
 ) -> dict[str, DataFrame]:
     """``run_pipeline`` over two landing folders, of which only new files are read into bronze.
 
-    The run's own report is stored too: match rate of the level join, months without rows and files set aside.
+    The run's own report is stored too: match rate of the level join, months without rows, files set aside and malformed rows per file.
+    ``multi_line`` reads line breaks inside quotes.
     ``expected_months`` are two dates; without them the months from the first to the last one of each level are expected.
     """
     bronze = [
-        ingest_landing(spark, landing, f"{root}/bronze/{name}", f"{root}/checkpoints/{name}", columns)
+        ingest_landing(spark, landing, f"{root}/bronze/{name}", f"{root}/checkpoints/{name}", columns, multi_line=multi_line)
         for name, landing, columns in (("spe", landing_spe, spe_columns), ("wind", landing_wind, wind_columns))
     ]
     raw_spe, raw_wind = (rows.drop("source_file") for rows in bronze)
@@ -99,7 +102,7 @@ def run_from_landing(
     expected = month_range(spark, *expected_months) if expected_months else None
     report = run_report(layers["joined"], {"spe": raw_spe, "wind": raw_wind}, expected)
     for name in ("spe", "wind"):
-        report = report.unionByName(rejected_rows(rejected_files(spark, f"{root}/bronze/{name}"), name))
+        report = report.unionByName(set_aside(spark, f"{root}/bronze/{name}", name))
     write_report(report, f"{root}/reports/run")
     return {**layers, "run": read_report(spark, f"{root}/reports/run")}
 
@@ -115,30 +118,29 @@ def run_new_months(
     collapse_ws: bool = False,
     mode: str = "coerce",
     ts: str = TS,
+    multi_line: bool = False,
 ) -> DataFrame:
     """The joined table after a delivery, with only the months made anew that its files have rows for.
 
-    Equal rows share their timestamp, so duplicates never cross months: each touched month is cleaned, joined and written from all
+    The ledger of bronze tells the months, and only their folders are read. Equal rows share their timestamp, so duplicates never cross months: each touched month is cleaned, joined and written from all
     its rows, old and new, and the folders of other months keep their files. Rows without a readable timestamp are a month of
     their own. A changed mapping means all months. What was done is recorded after the months are written, so an interrupted run is
-    simply repeated. Only the touched months, a bounded list, reach the driver. Quality reports need all rows: see ``run_from_landing``.
+    simply repeated. Only the touched months, a bounded list, reach the driver. ``run_delivery`` keeps reports and star schema as well.
     """
     mapping = read_mapping(spark, mapping_path)
     print_of = mapping.agg(F.bit_xor(F.xxhash64(*mapping.columns)), F.count("*")).first()
     state = _read_state(spark, f"{root}/state")
-    levels = {}
-    for name, landing, columns in (("spe", landing_spe, spe_columns), ("wind", landing_wind, wind_columns)):
-        rows = ingest_landing(spark, landing, f"{root}/bronze/{name}", f"{root}/checkpoints/{name}", columns, with_batch=True)
-        levels[name] = rows.drop("source_file").withColumn("_month", F.coalesce(F.date_format(F.trunc(to_timestamp(F.col(ts)), "month"), "yyyy-MM"), F.lit("none")))
+    levels = {"spe": (landing_spe, spe_columns), "wind": (landing_wind, wind_columns)}
+    bronze = {name: f"{root}/bronze/{name}" for name in levels}
+    for name, (landing, columns) in levels.items():
+        ingest_landing(spark, landing, bronze[name], f"{root}/checkpoints/{name}", columns, multi_line=multi_line, ts=ts)
     every = not state or (state["mapping"], state["mapped"]) != tuple(print_of)
-    done = {name: -1 if every else state[name] for name in levels}
-    new = [rows.filter(F.col("batch") > done[name]).select("_month") for name, rows in levels.items()]
-    months = [r["_month"] for r in new[0].unionByName(new[1]).distinct().collect()]
+    new = [touched_months(spark, bronze[name], -1 if every else state[name]) for name in levels]
+    months = sorted(r["month"] for r in new[0].unionByName(new[1]).distinct().collect())
     if months:
-        raw = [rows.filter(F.col("_month").isin(months)).drop("_month", "batch") for rows in levels.values()]
+        raw = [read_bronze(spark, bronze[name], landing, columns, months=months).drop("source_file") for name, (landing, columns) in levels.items()]
         run_pipeline(*raw, mapping, root, collapse_ws=collapse_ws, mode=mode, report_rules=None)
-    seen = {name: rows.agg(F.max("batch")).first()[0] for name, rows in levels.items()}
-    row = (seen["spe"] if seen["spe"] is not None else -1, seen["wind"] if seen["wind"] is not None else -1, *print_of, int(state["run"]) + 1 if state else 0)
+    row = (last_batch(spark, bronze["spe"]), last_batch(spark, bronze["wind"]), *print_of, int(state["run"]) + 1 if state else 0)
     # A state of its own for each run: an interrupted write leaves the one before.
     spark.createDataFrame([row], STATE).write.mode("overwrite").parquet(f"{root}/state/run={row[-1]}")
     return read_partitioned(spark, f"{root}/joined")
@@ -164,13 +166,20 @@ def run_report(joined: DataFrame, raw: Mapping[str, DataFrame], expected: DataFr
     lines = [("join", "total_records", "", total), ("join", "matched_records", "", matched), ("join", "match_rate_pct", "", percent(matched, total))]
     report = long_rows(joined, ["section", "metric", "key"], lines)
     for name, rows in raw.items():
-        dated = rows.select(to_timestamp(F.col(ts)).alias(ts))
+        dated = rows.select(timestamp_column(rows, ts).alias(ts))
         missing = missing_months(month_span(dated, ts) if expected is None else expected, months_present(dated, ts))
         key = F.concat_ws("-", F.col("year").cast("string"), "month").alias("key")
         report = report.unionByName(missing.select(F.lit(name).alias("section"), F.lit("missing_month").alias("metric"), key, F.lit(1.0).alias("value")))
     return report.withColumn("detail", F.lit(None).cast("string"))
 
 
+def set_aside(spark: SparkSession, bronze: str, level: str) -> DataFrame:
+    """Files set aside and the number of malformed rows of the others, as report rows."""
+    bad = ledger(spark, bronze).filter(F.col("month") == MALFORMED)
+    bad = bad.select(F.lit(level).alias("section"), F.lit("malformed_rows").alias("metric"), F.col("path").alias("key"), F.col("n_rows").cast("double").alias("value"), F.lit("set aside").alias("detail"))
+    return rejected_rows(rejected_files(spark, bronze), level).unionByName(bad)
+
+
 def rejected_rows(rejected: DataFrame, level: str) -> DataFrame:
     """Files set aside as report rows."""
     return rejected.select(

@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windgrid.functions import to_timestamp
+from windgrid.functions import timestamp_column, to_timestamp
 from windgrid.schemas import DATE_COLUMNS, MAPPING_SCHEMA, TS
 
 
+# Columns of a checked read: the text of a row that does not fit its header, and why.
+LINE, REASON = "_line", "_reason"
+
+
 def read_raw_csv(spark: SparkSession, path: str | list[str], sep: str = ";", multi_line: bool = False) -> DataFrame:
     """All files with one common header, every column as text.
 
@@ -33,14 +38,16 @@ def read_csv_by_name(
     sep: str = ";",
     date_columns: tuple[str, ...] | None = tuple(DATE_COLUMNS),
     multi_line: bool = False,
+    checked: bool = False,
 ) -> DataFrame:
     """All CSV files of a folder put together by column name; a column a file lacks is null there.
 
     Files are grouped by header and each group is one scan, so plan and jobs grow with the number of
     different headers and not with the number of files. Only header lines are read ahead, without a job. Date
-    columns present become timestamps, null where unreadable; pass ``None`` to keep text.
+    columns present become timestamps, null where unreadable; pass ``None`` to keep text. ``checked`` adds the columns of
+    ``checked_csv``: rows that do not fit their file's header come with their text and the reason.
     """
-    combined = union_by_name(spark, headers_of(spark, csv_files(spark, folder), sep), sep, multi_line)
+    combined = union_by_name(spark, headers_of(spark, csv_files(spark, folder), sep), sep, multi_line, checked)
     present = [c for c in date_columns or () if c in combined.columns]
     return combined.withColumns({c: to_timestamp(F.col(c)) for c in present}) if present else combined
 
@@ -55,18 +62,50 @@ def headers_of(spark: SparkSession, files: Iterable[str], sep: str = ";") -> dic
     return dict(groups)
 
 
-def union_by_name(spark: SparkSession, groups: dict[tuple[str, ...], list[str]], sep: str = ";", multi_line: bool = False) -> DataFrame:
+def union_by_name(spark: SparkSession, groups: dict[tuple[str, ...], list[str]], sep: str = ";", multi_line: bool = False, checked: bool = False) -> DataFrame:
     """One scan for each header, put together by column name."""
     combined = None
     for header, paths in groups.items():
         if header:
-            part = _text_csv(spark, paths, sep, multi_line, header)
+            part = (checked_csv if checked else _text_csv)(spark, paths, sep, multi_line, header)
             combined = part if combined is None else combined.unionByName(part, allowMissingColumns=True)
     if combined is None:
         raise ValueError(f"No header line in: {', '.join(f for paths in groups.values() for f in paths[:3])}")
     return combined
 
 
+def checked_csv(spark: SparkSession, path: str | list[str], sep: str, multi_line: bool, header: tuple[str, ...]) -> DataFrame:
+    """Rows as text with two more columns, null in a well-formed row: ``_line``, the row's text, and ``_reason``: ``too few
+    fields``, ``too many fields`` or ``broken quotes``.
+
+    A well-formed row has as many fields as the header; a quoted field ends at its closing quote, where the next separator or the end
+    of the row follows, and quotes inside are doubled. Without ``multi_line`` a quoted line break makes two malformed rows. The reader
+    is given one column too many, so that it hands over the text of every row: only the text tells an unclosed
+    last quote from plain text. A row with just one field too many has no such text, so it is put together from its fields.
+    """
+    further = "_further"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, further, LINE)])
+    reader = spark.read.options(header=True, sep=sep, encoding="UTF-8", escape='"', multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=LINE, columnPruning=False)
+    rows = reader.schema(schema).csv(path)
+    s = re.escape(sep)
+    field = f'(?:"[^"]*+(?:""[^"]*+)*+"|[^"{s}][^{s}]*+|)'
+    # Empty for a missing text: a null test would be pushed into the reader, which fills in the text only after its filters.
+    line, more = F.coalesce(F.col(LINE), F.lit("")), len(header) - 1
+    values = [F.coalesce(_named(c), F.lit("")) for c in (*header, further)]
+    plain = [~(v.contains(sep) | v.startswith('"') | v.contains("\n")) for v in values]
+    quoted = [F.when(p, v).otherwise(F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))) for p, v in zip(plain, values)]
+    reason = (
+        F.when(line.rlike(rf"\A{field}(?:{s}{field}){{{more}}}\z") & (line != "") & F.col(further).isNull(), None)
+        .when(line == "", "too many fields")
+        .when(~line.rlike(rf"\A{field}(?:{s}{field})*+\z"), "broken quotes")
+        .when(line.rlike(rf"\A(?:{field}{s}){{{more + 1}}}"), "too many fields")
+        .otherwise("too few fields")
+    )
+    rows = rows.withColumn(REASON, reason)
+    text = F.when(F.col(REASON).isNotNull(), F.when(line == "", F.concat_ws(sep, *quoted)).otherwise(line))
+    return rows.withColumn(LINE, text).drop(further)
+
+
 def csv_files(spark: SparkSession, folder: str) -> list[str]:
     """The folder's CSV files in name order; an error that names the folder if there are none. Other errors pass."""
     try:
@@ -90,7 +129,7 @@ def read_partitioned(spark: SparkSession, path: str, ts: str = TS) -> DataFrame:
     df = spark.read.parquet(path)
     if df.schema[ts].dataType.typeName() == "timestamp_ntz":
         return df
-    return df.withColumn(ts, to_timestamp(F.col(ts), "strict"))
+    return df.withColumn(ts, timestamp_column(df, ts, "strict"))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
@@ -106,6 +145,10 @@ def _text_csv(spark: SparkSession, path: str | list[str], sep: str, multi_line:
     return reader.csv(path)
 
 
+def _named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def _first_line(spark: SparkSession, file: str) -> str:
     """Read through Spark's file systems, so that every store works that Spark can read."""
     jvm = spark.sparkContext._jvm
