@@ -80,7 +80,7 @@ def assigned(resident: DataFrame, books: list[np.ndarray]) -> DataFrame:
 
 
 def resident_sums(resident: DataFrame) -> DataFrame:
-    """position, entry, n, sums: what the owners' members add up to; a row per owner task first."""
+    """position, entry, sums (the count first): what the owners' members add up to; a row per owner task first."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], list] = {}
@@ -93,18 +93,17 @@ def resident_sums(resident: DataFrame) -> DataFrame:
                 rows = parts[order] if safe else parts[order].astype(object)
                 sums = np.add.reduceat(rows, starts, axis=0) if rows.shape[1] else rows[starts]
                 for e, n, total in zip(found.tolist(), counts.tolist(), sums.tolist()):
-                    key = (position, e)
-                    old = held.get(key)
-                    held[key] = [n, total] if old is None else [old[0] + n, [a + b for a, b in zip(old[1], total)]]
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.decimal128(38, 0))]
-        rows = [(p, e, n, [Decimal(x) for x in total]) for (p, e), (n, total) in held.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(4)], ["position", "entry", "n", "sums"])
-
-    each = resident.select("position", "entry", "part").mapInArrow(run, "position int, entry int, n long, sums array<decimal(38,0)>")
-    counts = each.groupBy("position", "entry").agg(F.sum("n").alias("n"))
+                    total = [n, *total]
+                    old = held.get((position, e))
+                    held[position, e] = total if old is None else [a + b for a, b in zip(old, total)]
+        kinds = [pa.int32(), pa.int32(), pa.list_(pa.decimal128(38, 0))]
+        rows = [(p, e, [Decimal(x) for x in total]) for (p, e), total in held.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(3)], ["position", "entry", "sums"])
+
+    each = resident.select("position", "entry", "part").mapInArrow(run, "position int, entry int, sums array<decimal(38,0)>")
     sums = each.select("position", "entry", F.posexplode("sums").alias("k", "x")).groupBy("position", "entry", "k").agg(F.sum("x").cast("decimal(38,0)").alias("x"))
     sums = sums.groupBy("position", "entry").agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("sums"))
-    return counts.join(sums, ["position", "entry"]).select("position", "entry", "n", F.col("sums.x").alias("sums"))
+    return sums.select("position", "entry", F.col("sums.x").alias("sums"))
 
 
 def migrated(parts: DataFrame, entries: int) -> DataFrame:
@@ -145,7 +144,7 @@ def compress(vectors: DataFrame, n_parts: int = 4, entries: int = 256, rounds: i
         resident = migrated(stored(assigned(resident, books), "assigned"), entries)
         books = [book.copy() for book in books]
         for row in resident_sums(resident).collect():
-            books[row["position"]][row["entry"]] = [int(x) // row["n"] for x in row["sums"]]
+            books[row["position"]][row["entry"]] = [int(x) // int(row["sums"][0]) for x in row["sums"][1:]]
     done = assigned(resident, books).groupBy("rid").agg(code.alias("code"), F.sum(F.col("distance").cast("decimal(38,0)")).alias("error"))
     error = F.least(F.col("error"), F.lit(LONG_MAX).cast("decimal(38,0)")).cast("long")
     return base.select("rid", "vec_id", "label").join(done, "rid").select("vec_id", "label", "code", error.alias("error")), books
