@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from driver_queries import adapter as a
 from windgrid.functions import decimal_sum, is_bad_timestamp, is_uncastable, to_double, to_timestamp
-from windgrid.operators import assets, clean, coverage, levels, metrics, quality, star, validate
-from windgrid.plans import build_star, run_from_landing, run_new_months, run_pipeline, run_report, run_validation
+from windgrid.operators import assets, clean, coverage, levels, metrics, quality, rollup, star, validate
+from windgrid.plans import build_star, read_lake, run_delivery, run_from_landing, run_new_months, run_pipeline, run_report, run_validation
 from windgrid.schemas import COMPLEX_NUMERIC, COMPLEX_PAYLOAD, PLANT_NUMERIC
 from windgrid.session import shared_folder
 from windgrid.sinks import (
@@ -156,6 +156,13 @@ def level_join_salted_collapse(spark, sf_dir):
     return levels.join_levels(spe_kept(spark, sf_dir), a.wind(spark, sf_dir), collapse_ws=True, salt=4)
 
 
+@register("level_join_hot_pairs", JOINED + " SELECT * FROM joined")
+def level_join_hot_pairs(spark, sf_dir):
+    """Pairs of more than two rows found by the sketch are cut into slots."""
+    rows = spe_kept(spark, sf_dir)
+    return levels.join_levels(rows, a.wind(spark, sf_dir), hot=levels.hot_pairs(rows, rows_per_slot=2, most=200))
+
+
 @register(
     "level_join_dedupe",
     with_tables(a.SPE_SQL, SPE_KEEP, a.WIND_SQL)
@@ -282,8 +289,8 @@ def _quality_sql(level: str, numeric: Sequence[str], columns: Sequence[str], fla
     return " UNION ALL ".join(lines)
 
 
-def _report_sql(from_raw: bool) -> str:
-    ctes = with_tables(a.RAW_SPE_SQL, CLEAN_SPE_SQL, a.RAW_WIND_SQL, CLEAN_WIND_SQL)
+def _report_sql(from_raw: bool, raw: Sequence[str] = (a.RAW_SPE_SQL, a.RAW_WIND_SQL)) -> str:
+    ctes = with_tables(*raw, CLEAN_SPE_SQL, CLEAN_WIND_SQL)
     plants = _quality_sql("spe", PLANT_NUMERIC, a.RAW_SPE_COLUMNS, True, from_raw)
     complexes = _quality_sql("wind", COMPLEX_NUMERIC, a.RAW_WIND_COLUMNS, False, from_raw)
     return f"{ctes} {plants} UNION ALL {complexes}"
@@ -790,19 +797,115 @@ def run_report_query(spark, sf_dir):
     return run_report(layers["joined"], raw, months.month_range(spark, "2023-11-01", "2024-03-01")).drop("detail")
 
 
-@register("full_run_incremental", PIPELINE_SQL)
-def full_run_incremental(spark, sf_dir):
-    """Three deliveries: most rows; the rest with rows that came before; a late file for the first months."""
-    root = shared_folder(spark, "months")
+def deliver(spark: SparkSession, sf_dir: str, root: str, run: Callable) -> object:
+    """Three deliveries: most rows; the rest with rows that came before; a late file for the first months. The last run's result."""
     write_csv(a.mapping(spark, sf_dir), f"{root}/in/mapping")
     spe, wind = a.raw_spe(spark, sf_dir), a.raw_wind(spark, sf_dir)
-    part = F.pmod(F.xxhash64("nom_usina", "din_instante"), F.lit(4))
+    digit = F.substring(F.md5(F.concat_ws(" ", "nom_usina", "din_instante")), 1, 1)
+    part = F.instr(F.lit("0123456789abcdef"), digit) % 4
     late = F.coalesce(F.col("din_instante") < "2024-01-10", F.lit(False)) & (part == 3)
     for k, kept in enumerate((~late & (part != 2), ~late & (part != 1), late)):
         write_csv(spe.filter(kept), f"{root}/in/spe/m{k}", sep=";")
         write_csv(wind.filter(kept), f"{root}/in/wind/m{k}", sep=";")
-        joined = run_new_months(spark, f"{root}/in/spe/*", f"{root}/in/wind/*", f"{root}/in/mapping", f"{root}/out", a.RAW_SPE_COLUMNS, a.RAW_WIND_COLUMNS)
-    return bigints(joined, "year", "month")
+        done = run(spark, f"{root}/in/spe/*", f"{root}/in/wind/*", f"{root}/in/mapping", f"{root}/out", a.RAW_SPE_COLUMNS, a.RAW_WIND_COLUMNS)
+    return done
+
+
+# Rows that come in two of these deliveries.
+TWICE_SQL = """
+raw_{0} AS (
+  SELECT * FROM raw_{0}_once UNION ALL SELECT * FROM raw_{0}_once
+  WHERE instr('0123456789abcdef', md5(concat_ws(' ', nom_usina, din_instante))[1]) % 4 IN (CASE WHEN din_instante < '2024-01-10' THEN 0 ELSE 3 END, 0)
+)"""
+DELIVERED_SQL = (
+    a.RAW_SPE_SQL.replace("raw_spe AS (", "raw_spe_once AS ("),
+    TWICE_SQL.format("spe"),
+    a.RAW_WIND_SQL.replace("raw_wind AS (", "raw_wind_once AS ("),
+    TWICE_SQL.format("wind"),
+)
+
+
+@register("full_run_incremental", PIPELINE_SQL)
+def full_run_incremental(spark, sf_dir):
+    return bigints(deliver(spark, sf_dir, shared_folder(spark, "months"), run_new_months), "year", "month")
+
+
+# Lakes made so far, by input: several queries read the same one.
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def lake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        root = shared_folder(spark, "lake")
+        deliver(spark, sf_dir, root, run_delivery)
+        _LAKES[key] = f"{root}/out"
+    return read_lake(spark, _LAKES[key])
+
+
+LAKE_JOINED = PIPELINE_SQL.replace("SELECT s.*, w.", ", joined AS (SELECT s.*, w.") + ")"
+
+
+@register("lake_joined", PIPELINE_SQL)
+def lake_joined(spark, sf_dir):
+    return bigints(lake(spark, sf_dir)["joined"], "year", "month")
+
+
+@register(
+    "fact_incremental",
+    LAKE_JOINED
+    + f""" SELECT {", ".join(dict.fromkeys([*star.DIM_SPE, *star.DIM_CONJUNTO]))}, din_instante, {", ".join(star.FACT_MEASURES)},
+  COALESCE(cod_razaorestricao, 'SEM_RESTRICAO') AS cod_razaorestricao FROM joined""",
+)
+def fact_incremental(spark, sf_dir):
+    """The facts of three deliveries with their keys resolved; keys that were given first stay, so they are not those of a whole build."""
+    tables = lake(spark, sf_dir)
+    facts = tables["fact_generation"]
+    for name, key in (("dim_spe", "spe_key"), ("dim_conjunto", "conjunto_key"), ("dim_tempo", "tempo_key")):
+        facts = facts.join(tables[name], key)
+    return facts.select(*star.DIM_SPE, *star.DIM_CONJUNTO, "din_instante", *star.FACT_MEASURES, "cod_razaorestricao")
+
+
+@register("quality_incremental", _report_sql(from_raw=True, raw=DELIVERED_SQL))
+def quality_incremental(spark, sf_dir):
+    return quality.report_of_counts(lake(spark, sf_dir)["quality_counts"])
+
+
+@register(
+    "coverage_incremental",
+    f"""{LAKE_JOINED},{_gaps_sql("projeto, nom_usina", "(SELECT * FROM joined WHERE projeto IS NOT NULL AND nom_usina IS NOT NULL AND din_instante IS NOT NULL)", "din_instante")}
+SELECT projeto, nom_usina, gap_count, received_hours, expected_hours, completeness_pct, completeness_pct < 95 AS below_threshold FROM gaps JOIN complete USING (projeto, nom_usina)""",
+)
+def coverage_incremental(spark, sf_dir):
+    """Gaps and completeness from the stored hour sets of three deliveries; series without any timestamp apart."""
+    return coverage.with_alert(coverage.coverage_of_sets(lake(spark, sf_dir)["hours"])).filter("received_hours > 0")
+
+
+@register(
+    "generation_rollup",
+    LAKE_JOINED
+    + """ SELECT strftime(din_instante, '%Y-%m-%d') AS period,
+  COALESCE(CAST(SUM(CAST(val_geracao AS DECIMAL(28,6))) AS DOUBLE), 0.0::DOUBLE) AS total_generation, 'P1' AS projeto
+FROM joined WHERE projeto = 'P1' AND din_instante >= TIMESTAMP '2024-01-05' AND din_instante <= TIMESTAMP '2024-01-25' GROUP BY 1""",
+)
+def generation_rollup(spark, sf_dir):
+    return rollup.generation(lake(spark, sf_dir)["rollup"], "P1", "2024-01-05", "2024-01-25")
+
+
+@register(
+    "restrictions_rollup",
+    LAKE_JOINED
+    + """ SELECT COALESCE(cod_razaorestricao, 'WITHOUT_RESTRICTION') AS cod_razaorestricao, COUNT(din_instante) AS total_hours,
+  CAST(SUM(CAST(val_geracaoreferencia - val_geracao AS DECIMAL(28,6))) AS DOUBLE) AS total_mwh_restricted
+FROM joined WHERE val_geracao < val_geracaoreferencia AND din_instante <= TIMESTAMP '2024-01-20' GROUP BY 1""",
+)
+def restrictions_rollup(spark, sf_dir):
+    return rollup.restrictions_summary(lake(spark, sf_dir)["rollup"], end="2024-01-20")
+
+
+@register("projects_rollup", LAKE_JOINED + " SELECT DISTINCT projeto, nom_estado, nom_subsistema FROM joined")
+def projects_rollup(spark, sf_dir):
+    return metrics.projects(lake(spark, sf_dir)["places"])
 
 
 @register("full_run_from_landing", PIPELINE_SQL)

@@ -105,3 +105,23 @@ def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
     files = {m: [f for f in os.listdir(tmp_path / "p" / "year=2026" / f"month={m}") if f.endswith(".parquet")] for m in (1, 2)}
     assert len(files[1]) > 3 and len(files[2]) == 1
     assert spark.read.parquet(str(tmp_path / "p")).count() == 200000
+
+
+def test_hot_pairs_found_by_the_sketch_spread_without_adaptive_execution(spark, tmp_path):
+    """One pair has a third of all rows: cut into its slots, no task has more than a few shares."""
+    spe, wind = hot_levels(spark, tmp_path)
+    off = {"spark__sql__adaptive__enabled": "false", "spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__shuffle__partitions": "16"}
+    with settings(spark, **off):
+        hot = levels.hot_pairs(spe)
+        assert len(hot) == 1 and list(hot.values()) == [8]  # 20,000 rows, 2,500 a slot
+        out = levels.join_levels(spe, wind, payload=["val_geracao"], hot=hot)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        plain = levels.join_levels(spe, wind, payload=["val_geracao"])
+        largest = max(r["count"] for r in plain.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert sum(sizes) == 60000 and largest > 20000 and max(sizes) < 13000
+        assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_no_hot_pairs_change_nothing(spark):
+    rows = spark.createDataFrame([(k, None if k < 3 else f"n{k}", T0) for k in range(50)], "plant int, nom_conjuntousina string, din_instante timestamp_ntz")
+    assert levels.hot_pairs(rows, rows_per_slot=2) == {} == levels.hot_pairs(rows.limit(0))

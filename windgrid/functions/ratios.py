@@ -23,9 +23,14 @@ def decimal_sum(value: Column, scale: int | None) -> Column:
     """
     if scale is None:
         return F.sum(value)
+    return F.sum(whole_units(value, scale)).cast("double") / 10**scale
+
+
+def whole_units(value: Column, scale: int) -> Column:
+    """A value as a whole number of 10**-scale, whose sums are exact: what ``decimal_sum`` adds up."""
     units = F.rint(value * 10**scale)
     # The cast to bigint is the fast one; beyond its range it would clamp outside ANSI mode.
     whole = units.cast("bigint").cast("decimal(28,0)")
     refused = F.raise_error(F.concat(F.lit("a sum with a scale cannot hold the value "), value.cast("string"))).cast("decimal(28,0)")
     wide = F.coalesce(units.try_cast("decimal(28,0)"), refused)
-    return F.sum(F.when(value.isNull(), None).when(F.abs(units) < 2.0**62, whole).otherwise(wide)).cast("double") / 10**scale
+    return F.when(value.isNull(), None).when(F.abs(units) < 2.0**62, whole).otherwise(wide)

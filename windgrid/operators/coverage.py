@@ -23,17 +23,34 @@ def hour_coverage(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, ts: str = TS
     step of more than one hour between neighbouring distinct hours, so a group has one gap less than it
     has runs of consecutive hours. Groups with a null key are left out; null timestamps are ignored.
     """
+    return coverage_of_sets(hour_sets(df, keys, ts), keys)
+
+
+def hour_sets(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, ts: str = TS, by: Sequence[str] = ()) -> DataFrame:
+    """Per group and 64 hours: the set of hours with a row as bits, and the first and last one.
+
+    Sets of the same hours can be merged by ``bit_or``. ``by`` keeps apart what further columns of ``df`` tell apart, such as year and
+    month: stored by month, the sets of a month can be replaced, and hours of two months in one set are merged by ``coverage_of_sets``.
+    """
     keys = list(keys)
-    sets = (
+    return (
         _with_keys(df, keys)
-        .select(*keys, hour_number(F.col(ts)).alias("_hour"))
-        .groupBy(*keys, F.shiftright("_hour", 6).alias("_set"))
+        .select(*by, *keys, hour_number(F.col(ts)).alias("_hour"))
+        .groupBy(*by, *keys, F.shiftright("_hour", 6).alias("_set"))
         .agg(
             F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("_hour", F.lit(64)).cast("int"))).alias("_bits"),
             F.min("_hour").alias("_first"),
             F.max("_hour").alias("_last"),
         )
     )
+
+
+def coverage_of_sets(sets: DataFrame, keys: Sequence[str] = SERIES_KEYS) -> DataFrame:
+    """``hour_coverage`` from the result of ``hour_sets``, or from stored parts of it."""
+    keys = list(keys)
+    if set(sets.columns) != {*keys, "_set", "_bits", "_first", "_last"}:
+        merged = [F.bit_or("_bits").alias("_bits"), F.min("_first").alias("_first"), F.max("_last").alias("_last")]
+        sets = sets.groupBy(*keys, "_set").agg(*merged)
     in_order = Window.partitionBy(*keys).orderBy("_set")
     bits = F.col("_bits")
     # A run starts at a set bit whose lower neighbour is unset; bit 63 of the set before may continue it.

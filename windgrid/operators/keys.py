@@ -46,15 +46,15 @@ def add_surrogate_key(
     return numbered.select(*distinct.columns, (F.col("_offset") + F.col("_position")).cast("bigint").alias(key))
 
 
-def extend_surrogate_key(stored: DataFrame, distinct: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
+def extend_surrogate_key(stored: DataFrame, distinct: DataFrame, natural: Sequence[str], key: str, bucket: Column | None = None) -> DataFrame:
     """A stored dimension with the natural keys it lacks added: stored keys stay, new rows get the numbers after them.
 
     ``distinct`` has other columns of the dimension too; null natural keys are equal to null. Facts stored with the old keys
-    stay valid. The result is another table than ``stored``: write it to a place of its own.
+    stay valid. ``bucket`` is that of ``add_surrogate_key``. The result is another table than ``stored``: write it to a place of its own.
     """
     last = stored.agg(F.max(key)).first()[0] or 0
     known = stored.select(*[F.col(c).alias(f"_known_{c}") for c in natural])
     same = [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in natural]
     fresh = distinct.join(known, reduce(and_, same), "left_anti")
-    numbered = add_surrogate_key(fresh, natural, key).withColumn(key, F.col(key) + F.lit(last).cast("bigint"))
+    numbered = add_surrogate_key(fresh, natural, key, bucket).withColumn(key, F.col(key) + F.lit(last).cast("bigint"))
     return stored.unionByName(numbered)

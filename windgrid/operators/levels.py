@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ def join_levels(
     collapse_ws: bool = False,
     salt: int = 1,
     spread_by: Sequence[str] = ("nom_usina", TS),
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Plant rows LEFT JOIN complex rows on normalised name and timestamp.
 
@@ -29,11 +30,13 @@ def join_levels(
     ``_slot`` is equal on both sides wherever the names are. Rows that cannot match get a hash of the
     ``spread_by`` columns there, so a mass of null names does not meet in one task; only these columns are read
     for it (all, where the table lacks one of them). ``salt`` above one also cuts each (name, timestamp) into that many slots and repeats the complex rows per
-    slot; use it for a hot pair when adaptive skew handling is off.
+    slot; use it for a hot pair when adaptive skew handling is off. ``hot``, the result of ``hot_pairs``, does so for the hot pairs alone,
+    each with the slots that it needs, and needs no guess.
     """
     spread = _spread(spe, spread_by)
     key = normalize(spe_name, collapse_ws)
-    slot = F.pmod(spread, F.lit(salt)) if salt > 1 else F.lit(0).cast("bigint")
+    slots = _slots(key, F.col(ts), salt, hot)
+    slot = F.pmod(spread, slots) if salt > 1 or hot else F.lit(0).cast("bigint")
     unmatched = key.isNull() | F.col(ts).isNull()
     left = spe.select(
         *spe.columns,
@@ -42,8 +45,9 @@ def join_levels(
     )
     right_key = normalize(wind_name, collapse_ws)
     right = wind.select(right_key.alias("_right_name"), F.col(ts).alias("_right_ts"), *payload)
-    if salt > 1:
-        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+    if salt > 1 or hot:
+        last = _slots(F.col("_right_name"), F.col("_right_ts"), salt, hot) - 1
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     else:
         right = right.withColumn("_salt", F.lit(0).cast("bigint"))
     right = right.withColumn("_right_slot", F.xxhash64("_right_name", "_salt")).drop("_salt")
@@ -55,6 +59,35 @@ def join_levels(
     return left.join(right, matches, "left").select(*spe.columns, *payload)
 
 
+def hot_pairs(
+    spe: DataFrame,
+    spe_name: str = "nom_conjuntousina",
+    ts: str = TS,
+    collapse_ws: bool = False,
+    rows_per_slot: int | None = None,
+    most: int = 1000,
+) -> dict[int, int]:
+    """The (name, timestamp) pairs with more than ``rows_per_slot`` rows, as hash and number of slots, for ``join_levels``.
+
+    One pass: a sketch of the most frequent pairs and the number of rows. By default a slot holds what a shuffle partition would of evenly spread
+    rows, so there are fewer such pairs than partitions; at most ``most`` come back, the largest first. The sketch may
+    miss or overrate a pair near the limit, which moves work and never changes the joined rows.
+    """
+    name = normalize(spe_name, collapse_ws)
+    pairs = spe.filter(name.isNotNull() & F.col(ts).isNotNull()).select(F.xxhash64(name, F.col(ts)).alias("_pair"))
+    found = pairs.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(_pair, {most}, {100 * most})").alias("top")).first()
+    goal = rows_per_slot or max(1, found["n"] // int(spe.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return {r["item"]: -(-r["count"] // goal) for r in found["top"] or () if r["count"] > goal}
+
+
+def _slots(name: Column, ts: Column, salt: int, hot: Mapping[int, int] | None) -> Column:
+    """How many slots a pair has."""
+    if not hot:
+        return F.lit(salt).cast("bigint")
+    known = F.create_map(*[F.lit(x).cast("bigint") for pair in sorted(hot.items()) for x in pair])
+    return F.coalesce(F.try_element_at(known, F.xxhash64(name, ts)), F.lit(salt).cast("bigint"))
+
+
 def _spread(spe: DataFrame, spread_by: Sequence[str]) -> Column:
     return F.xxhash64(*(spread_by if set(spread_by) <= set(spe.columns) else spe.columns))
 

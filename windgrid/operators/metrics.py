@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windgrid.functions import decimal_sum, month_number, period
@@ -66,17 +66,20 @@ def restrictions_summary(
     ``total_hours`` counts rows with a timestamp, whatever their spacing. An empty ``project`` means all.
     """
     rows = in_range(joined.filter(F.col("projeto") == project) if project else joined, start, end, ts)
-    # NaN sorts above every number in Spark; in a table of other origin it is a missing value.
-    below = (F.col("val_geracao") < F.col("val_geracaoreferencia")) & ~F.isnan("val_geracaoreferencia")
     lost = F.col("val_geracaoreferencia") - F.col("val_geracao")
     return (
-        rows.filter(below)
+        rows.filter(is_below())
         .groupBy(F.coalesce("cod_razaorestricao", F.lit(default_label)).alias("cod_razaorestricao"))
         .agg(F.count(ts).alias("total_hours"), decimal_sum(lost, sum_scale).alias("total_mwh_restricted"))
         .orderBy("cod_razaorestricao")
     )
 
 
+def is_below() -> Column:
+    """Generation below the reference. NaN sorts above every number in Spark; in a table of other origin it is a missing value."""
+    return (F.col("val_geracao") < F.col("val_geracaoreferencia")) & ~F.isnan("val_geracaoreferencia")
+
+
 def in_range(
     df: DataFrame, start: str | None, end: str | None, ts: str = TS, year: str = "year", month: str = "month"
 ) -> DataFrame:

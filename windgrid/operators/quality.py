@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windgrid.functions import is_bad_timestamp, is_uncastable, percent, to_double
@@ -41,14 +41,34 @@ def level_quality(
     One shuffle: everything derives from the distinct rows and their copy counts. Pass the stored result
     of ``count_copies`` to share it with the cleaning.
     """
+    return report_of_counts(level_counts(raw, prefix, numeric, ts, flag, rules, zero_dates, count_nulls, event_time))
+
+
+def level_counts(
+    raw: DataFrame,
+    prefix: str,
+    numeric: Sequence[str],
+    ts: str = TS,
+    flag: str | None = None,
+    rules: str = "raw",
+    zero_dates: bool = False,
+    count_nulls: bool | None = None,
+    event_time: str | None = "data_hora",
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """The counts behind ``level_quality`` as rows (``by``, ``section``, ``metric``, ``key``, ``n``), nulls of the clean table included.
+
+    ``by`` are columns that equal rows share, such as year and month of the timestamp: counts of different months can be stored
+    apart and added, and ``report_of_counts`` makes the report of all.
+    """
     if rules not in ("raw", "cleaned"):
         raise ValueError(f"rules must be 'raw' or 'cleaned', not {rules!r}")
     counted = raw if COPIES in raw.columns else count_copies(raw)
-    names = [c for c in counted.columns if c != COPIES]
+    names = [c for c in counted.columns if c not in (COPIES, *by)]
     from_raw = rules == "raw"
     count_nulls = (not from_raw) if count_nulls is None else count_nulls
     kept = F.lit(True) if flag is None else is_valid_flag(counted, flag)
-    typed = typed_columns(counted, [*numeric, *([flag] if flag else [])], ts, "coerce", event_time)
+    typed = typed_columns(counted.drop(*by), [*numeric, *([flag] if flag else [])], ts, "coerce", event_time)
     copies = F.col(COPIES)
 
     def rows(condition: Column) -> Column:
@@ -67,13 +87,19 @@ def level_quality(
             bad = typed[name].isNull() if count_nulls else is_uncastable(F.col(name))
             metrics.append(("invalid_numeric_values", name, rows(bad)))
     metrics.append(("final_rows", "", F.count_if(kept)))
-    section = f"{prefix}_stats"
-    lines = [(section, metric, key, value) for metric, key, value in metrics]
-    lines += [
-        (f"{prefix}_nulls", "null_pct", name, _null_share(kept & column.isNull(), F.count_if(kept)))
-        for name, column in typed.items()
-    ]
-    return long_rows(counted, ["section", "metric", "key"], lines)
+    lines = [(f"{prefix}_stats", metric, key, value) for metric, key, value in metrics]
+    lines += [(f"{prefix}_nulls", "null_pct", name, F.count_if(kept & column.isNull())) for name, column in typed.items()]
+    return long_rows(counted, ["section", "metric", "key"], lines, "n", "bigint", by)
+
+
+def report_of_counts(counts: DataFrame) -> DataFrame:
+    """The report's rows (``section``, ``metric``, ``key``, ``value``) from the result of ``level_counts``, or from several of them:
+    counts are added, and null shares are taken of the sums. A few dozen rows, whatever the number of months."""
+    level = F.substring_index("section", "_", 1).alias("_level")
+    sums = counts.groupBy(level, "section", "metric", "key").agg(F.sum("n").alias("n"))
+    final = F.max(F.when(F.col("metric") == "final_rows", F.col("n"))).over(Window.partitionBy("_level"))
+    share = F.coalesce(percent(F.col("n"), final, scale_first=True), F.lit(0.0))
+    return sums.withColumn("value", F.when(F.col("metric") == "null_pct", share).otherwise(F.col("n").cast("double"))).select("section", "metric", "key", "value")
 
 
 def quality_report(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windgrid.functions import timestamp_column
@@ -37,16 +37,24 @@ def append_dimension(stored: DataFrame, joined: DataFrame, natural: Sequence[str
 
 def dim_tempo(joined: DataFrame, ts: str = TS, key: str = "tempo_key") -> DataFrame:
     """Distinct timestamps with a key in time order, year, month, day and hour; null comes last."""
+    return add_surrogate_key(_moments(joined, ts), [ts], key, bucket=_day(ts)).select(ts, key, *_PARTS)
+
+
+def append_tempo(stored: DataFrame, joined: DataFrame, ts: str = TS, key: str = "tempo_key") -> DataFrame:
+    """A stored time dimension with the timestamps that a later joined table adds: stored keys stay, new ones follow in time order."""
+    return extend_surrogate_key(stored, _moments(joined, ts).select(ts, *_PARTS), [ts], key, bucket=_day(ts)).select(*stored.columns)
+
+
+_PARTS = ("ano", "mes", "dia", "hora")
+
+
+def _moments(joined: DataFrame, ts: str) -> DataFrame:
     moments = joined.select(timestamp_column(joined, ts, "strict").alias(ts)).distinct()
-    day = F.coalesce(F.unix_date(F.col(ts).cast("date")), F.lit(2**31 - 1))
-    return add_surrogate_key(moments, [ts], key, bucket=day).select(
-        ts,
-        key,
-        F.year(ts).alias("ano"),
-        F.month(ts).alias("mes"),
-        F.dayofmonth(ts).alias("dia"),
-        F.hour(ts).alias("hora"),
-    )
+    return moments.withColumns(dict(zip(_PARTS, (F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts)))))
+
+
+def _day(ts: str) -> Column:
+    return F.coalesce(F.unix_date(F.col(ts).cast("date")), F.lit(2**31 - 1))
 
 
 def fact_generation(
@@ -59,13 +67,15 @@ def fact_generation(
     measures: Sequence[str] = FACT_MEASURES,
     reason: str = "cod_razaorestricao",
     ts: str = TS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Fact rows: three dimension keys, the measures and the reason with nulls labelled.
 
     ``lookup="full"`` compares the whole natural key and keeps one fact row per input row. ``"short"``
     compares only plant name, id and code, and the complex name; a plant or complex that occurs with
     several attribute values then multiplies its rows. Null equals null in both. Pass the dimensions as
-    stored tables: Spark then knows their size and broadcasts the small ones, so the fact rows stay in place.
+    stored tables: Spark then knows their size and broadcasts the small ones, so the fact rows stay in place. ``keep``
+    names further columns of the joined table to carry along, such as those to store the facts by.
     """
     if lookup not in ("full", "short"):
         raise ValueError(f"lookup must be 'full' or 'short', not {lookup!r}")
@@ -77,7 +87,7 @@ def fact_generation(
     fact = _look_up(fact, conjunto, by_conjunto, "conjunto_key")
     fact = _look_up(fact, tempo, [ts], "tempo_key")
     label = F.coalesce(F.col(reason), F.lit(default_label)).alias(reason)
-    return fact.select("spe_key", "conjunto_key", "tempo_key", *measures, label)
+    return fact.select("spe_key", "conjunto_key", "tempo_key", *measures, label, *keep)
 
 
 def _look_up(fact: DataFrame, dim: DataFrame, by: Sequence[str], key: str) -> DataFrame:
