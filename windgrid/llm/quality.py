@@ -165,8 +165,10 @@ def learn(rows: DataFrame, most_literals: int = 4, grid: int = 64, least_bad: in
     A rule must cover ``least_bad`` bad rows, however many there are, and be right for a share of ``precision`` on the rows for pruning; if
     it is not, no rule begins as it did until another one is kept. Learning ends when no beginning gains. Without rows of both classes the list is empty.
 
-    Rows are reduced to counts by bins first, so that copies are one row. Counts of all open rows are made once; a kept rule's rows
-    are then subtracted from them, so that a pass reads only what the rule at hand covers.
+    Ties of gain go to the earlier feature, the lower threshold and then the rows below it. Rows are reduced to counts by bins first, so
+    that copies are one row. Counts are kept by beginning (of no literal, one, two ...) and each is made once, over the rows that the beginning
+    covers; when a rule is kept, what its rows add to any of them is subtracted in one pass over these rows. So a beginning that is refused and
+    tried again later costs no further pass.
     """
     names = list(features())
     split = rows.agg(F.count(F.when(F.col("bad") == 1, 1)).alias("p"), F.count(F.when(F.col("bad") == 0, 1)).alias("n")).first()
@@ -186,30 +188,44 @@ def learn(rows: DataFrame, most_literals: int = 4, grid: int = 64, least_bad: in
         found = exploded.agg(F.sum(F.col("bad") * F.col("_c")).alias("p"), F.sum("_c").alias("c")).collect()
         return {(names[r["pos"]], r["col"]): (r["p"], r["c"] - r["p"]) for r in found}
 
+    def added_by(rule: Rule, beginnings: list[Rule]) -> dict[Rule, Counts]:
+        """What a rule's open rows add to the counts of other beginnings."""
+        exploded = rows.filter(open_rows & binned(rule) & ~F.col("prune")).select("bad", "_c", F.array(*map(binned, beginnings)).alias("_in"), F.posexplode("_b"))
+        sums = []
+        for k in range(len(beginnings)):
+            share = F.when(F.col("_in")[k], F.col("_c")).otherwise(0)
+            sums += [F.sum(F.col("bad") * share).alias(f"p{k}"), F.sum(share).alias(f"c{k}")]
+        found = exploded.groupBy("pos", "col").agg(*sums).collect()
+        return {b: {(names[r["pos"]], r["col"]): (r[f"p{k}"], r[f"c{k}"] - r[f"p{k}"]) for r in found} for k, b in enumerate(beginnings)}
+
     rules: list[Rule] = []
     refused: set[tuple[str, bool]] = set()
     open_rows = F.lit(True)
-    all_open = counted(open_rows)
+    known: dict[Rule, Counts] = {(): counted(open_rows)}
     while True:
         rule: Rule = ()
-        counts, inside = all_open, []
         while len(rule) < most_literals:
+            counts = known[rule]
             literal = best_literal(counts, names, thresholds, least_bad, set() if rule else refused)
             if literal is None:
                 break
             rule = (*rule, literal)
             if not good_left(counts, thresholds, literal) or len(rule) == most_literals:
                 break
-            counts = counted(open_rows & binned(rule))
-            inside.append(counts)
+            if rule not in known:
+                known[rule] = counted(open_rows & binned(rule))
         if not rule:
             return rules
         grown, rule = rule, pruned(rows.filter(open_rows & F.col("prune")), rule, binned, precision, least_bad)
         if rule is None:
             refused.add((grown[0].feature, grown[0].above))
             continue
-        covered = inside[len(rule) - 1] if len(rule) <= len(inside) else counted(open_rows & binned(rule))
-        all_open = {k: (p - covered.get(k, (0, 0))[0], n - covered.get(k, (0, 0))[1]) for k, (p, n) in all_open.items()}
+        # A beginning of the rule loses all of the rule's rows; others lose those that they share with it.
+        own = [b for b in known if b == rule[: len(b)]]
+        others = [b for b in known if b not in own]
+        covered = {b: known[rule] for b in own} if rule in known and not others else added_by(rule, [*own, *others])
+        for b, gone in covered.items():
+            known[b] = {k: (p - gone.get(k, (0, 0))[0], n - gone.get(k, (0, 0))[1]) for k, (p, n) in known[b].items()}
         rules.append(rule)
         refused.clear()
         open_rows = open_rows & ~binned(rule)
@@ -302,7 +318,8 @@ def base_failed() -> Column:
 def judge(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """The documents' columns but text, with _s, _f, base_failed, rule (the learned rule met, or null) and kept.
 
-    Counts of all documents are stored once, without texts, and serve both learning and verdicts.
+    Counts of all documents are stored once, without texts, and serve both learning and verdicts. A null text has no words and fails the
+    base rules; a document with a null id is judged, but no label is its own. Repeated rows are judged alike, each on its own row.
     """
     narrow = stored(described(documents).drop("text"), "statistics")
     rules = learn(stored(labelled(narrow, labels), "labelled"))
