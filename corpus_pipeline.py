@@ -20,30 +20,42 @@ def as_row(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose toxicity score reaches 0.3; the lexicon is learned from the labels of these documents."""
+    """Drops documents whose toxicity score reaches 0.3; the lexicon is learned from the labels of these documents.
+
+    A null or empty text is scored as one without a hit. Repeated rows are scored alike and stay repeated; a null id has no label.
+    """
     model = ToxicityModel.fit(docs, table(spark, sf_dir, "labels"))
     return as_row(docs).filter(model.column(F.col("text"), 0.3)["predicted"] == 0).select("row.*")
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the base rules or meet a rule learned from the labels of these documents."""
-    _, rules = quality.judge(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return quality.described(as_row(docs)).filter(quality.passes(rules)).select("row.*")
+    """Drops documents that fail the base rules or meet a rule learned from the labels of these documents.
+
+    A null text has no words and is dropped. Repeated rows share their fate; a null id has no label.
+    """
+    # Statistics are counted once: stored beside the rows, they serve learning and verdicts.
+    counted = stored(quality.described(as_row(docs)).drop("text"), "described")
+    rules = quality.learn(stored(quality.labelled(counted, table(spark, sf_dir, "labels")), "labelled"))
+    return counted.filter(quality.passes(rules)).select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of each group of near duplicates (shingles of five words, similarity 0.8).
 
-    Repeated rows, of equal id and text, stay once. Documents without words are no one's duplicates.
+    Repeated rows, of equal id and text, stay once, that of the smallest hash over all columns if others differ. Documents without words are no one's duplicates.
     """
     gone = dedup.link(docs, size=5, percent=80).filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct()
     rows = as_row(docs).select("row", F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
-    rows = rows.dropDuplicates(["id", "h"])
+    plain = [F.col(f"row.`{c}`") for c, kind in docs.dtypes if "map<" not in kind]
+    rows = rows.groupBy("id", "h").agg(F.min_by("row", F.xxhash64(*plain)).alias("row"))
     return rows.join(gone, (rows["id"] == gone["_id"]) & (rows["h"] == gone["_h"]), "left_anti").select("row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces secrets in texts by [SECRET]; n_chars follows the new text where there is such a column."""
+    """Replaces secrets in texts by [SECRET]; n_chars follows the new text where there is such a column.
+
+    Null and empty texts stay as they are; repeated rows and null ids are treated like any other.
+    """
     found = secrets.per_document(as_row(docs))
     masked = found.withColumn("row", F.col("row").withField("text", secrets.redacted(F.col("row.text"), F.col("spans"))))
     if "n_chars" in docs.columns:
@@ -53,7 +65,11 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 4096 tokens; one row per piece."""
+    """Packs what is left into sequences of 4096 tokens; one row per piece.
+
+    A null text is a document of its end token alone. Repeated rows and null ids are packed like any other; ties of length are
+    ranked by a hash of id and text.
+    """
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
