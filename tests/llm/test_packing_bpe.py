@@ -102,3 +102,33 @@ def test_shared_passages_fall_into_the_same_chunks():
     table = bpe.gear()
     keys = [set(bpe.chunk_keys(t.encode(), bpe.chunk_ends(t.encode(), table))) for t in ("one " + passage, "another beginning " + passage + " end")]
     assert len(keys[0] & keys[1]) >= len(keys[0]) - 2
+
+
+def test_plain_words_get_the_ids_of_the_whole_tokenizer():
+    """Any lower-case Latin word, and the condition that makes both libraries agree: each token's own text is that token."""
+    import json
+    import random
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, plain = tokens.load(path), tokens.load_plain(path)
+    vocabulary = json.loads(library.to_str())["model"]["vocab"]
+    own = {t[:-4]: k for t, k in vocabulary.items() if t.endswith("</w>") and t[:-4].isascii() and tokens.PLAIN.fullmatch(t[:-4])}
+    assert len(own) > 20_000 and tokens.LatinWords.encoded(plain, list(own)) == [k.to_bytes(4, "little") for k in own.values()]
+    rng = random.Random(6)
+    letters = [chr(c) for c in (*range(0x61, 0x7B), *range(0xDF, 0x100)) if c != 0xF7]
+    words = ["".join(rng.choice(letters if rng.random() < 0.3 else "etaoinshrdlu") for _ in range(rng.randint(1, 16))) for _ in range(30_000)]
+    words += [a + b for a, b in zip(list(own)[::3], list(own)[1::5])]
+    assert plain.encoded(words) == tokens.encoded(library, words)
+
+
+def test_ids_of_texts_keep_two_generations(monkeypatch):
+    monkeypatch.setattr(tokens, "WORDS_KEPT", 5)
+    monkeypatch.setattr(tokens, "TEXTS_AT_ONCE", 2)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["Ça va?! Été... (x). it's. a.b. 12. v2.", "", "one two, three; four: five! six? seven.", "one. One, ONE", "x². 日本. end.", "a\x1cb. c", "<|endoftext|>. <|", "w x.\u0085y, ×. ÷. ÿ."] * 3
+    library = tokens.load(path)
+    for part in tokens.text_slices(texts):
+        assert tokens.ids_of_texts(path, part) == tokens.encoded(library, part)
+    state = tokens.worker_state(f"words of {path}")
+    assert len(state["old"]) < 60 and len(state["young"]) < 60
+    state.clear()
