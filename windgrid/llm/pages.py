@@ -150,10 +150,8 @@ def node_of(path: str, text: str) -> int:
 
 
 def main_text(page: str | None, template: frozenset[int] | set[int] = frozenset()) -> str:
-    """The blocks that are not text of the template; all blocks of a page that has no others."""
-    found = [(p, t) for p, t in blocks(page) if t is not None]
-    free = [t for p, t in found if node_of(p, t) not in template] if template else []
-    return "\n\n".join(free or [t for _, t in found])
+    """The blocks that are not text of the template; empty if there are none."""
+    return "\n\n".join(t for p, t in blocks(page) if t is not None and not (template and node_of(p, t) in template))
 
 
 def host_of(url_column: str):
@@ -161,48 +159,60 @@ def host_of(url_column: str):
 
 
 def token_counts(pages: DataFrame) -> DataFrame:
-    """host, path, node (hash of a text node, 0 for an element), pages, print (the fingerprint of the occurrence vector): added
-    up over the pages of a batch, then over all."""
+    """host, path, node (hash of a text node, 0 for an element), chars (its text's), pages, print (the fingerprint of the occurrence
+    vector): added up over the pages of a batch, then over all."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            total: dict[tuple[str, str, int], list[int]] = {}
+            total: dict[tuple[str, str, int, int], list[int]] = {}
             for host, page_key, page in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                own: dict[tuple[str, int], int] = {("", 0): 1}
+                own: dict[tuple[str, int, int], int] = {("", 0, 0): 1}
                 for path, text in blocks(page):
-                    key = (path, 0 if text is None else node_of(path, text))
+                    key = (path, 0, 0) if text is None else (path, node_of(path, text), len(text))
                     own[key] = own.get(key, 0) + 1
-                for (path, node), times in own.items():
-                    entry = total.setdefault((host, path, node), [0, 0])
+                for key, times in own.items():
+                    entry = total.setdefault((host, *key), [0, 0])
                     entry[0] += 1
                     entry[1] ^= xxhash.xxh3_64_intdigest(f"{page_key}:{times}") >> 1
             rows = [(*k, *v) for k, v in total.items()]
-            types = (pa.string(), pa.string(), *[pa.int64()] * 3)
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["host", "path", "node", "pages", "print"])
+            types = (pa.string(), pa.string(), *[pa.int64()] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["host", "path", "node", "chars", "pages", "print"])
 
-    counts = pages.mapInArrow(run, "host string, path string, node long, pages long, print long")
-    return counts.groupBy("host", "path", "node").agg(F.sum("pages").alias("pages"), F.bit_xor("print").alias("print"))
+    counts = pages.mapInArrow(run, "host string, path string, node long, chars long, pages long, print long")
+    return counts.groupBy("host", "path", "node", "chars").agg(F.sum("pages").alias("pages"), F.bit_xor("print").alias("print"))
 
 
-def templates(counts: DataFrame, most: float = 0.9, least: int = 3, share: float = 0.01) -> DataFrame:
+def templates(counts: DataFrame, most: float = 0.9, least: int = 3) -> DataFrame:
     """host, template: the text nodes of the valid classes of a host.
 
     A path is a slot if any of its texts is missing on more than a share of 1 - ``most`` of the pages with the path; what a slot holds is
-    never left out. Classes are those of texts on ``least`` pages or more, and a ``share`` of the host's, which keeps a template about as
-    large as a hundred pages at most. A class nests into the template by its texts' paths, and is valid if none of them is a slot
-    (as with an advert on some pages, but not with copies of an article, which share slots with others), or if it is on
-    a share of ``most`` of all pages. Hosts without such a class have no row.
+    never left out. Classes are those of texts on ``least`` pages or more, whatever the host's size. A class nests into the template by its
+    texts' paths, and is valid if none of them is a slot (as with an advert on some pages, but not with copies of an article, which share
+    slots with others), or if it is on a share of ``most`` of all pages.
+
+    The article's element is any article or main, and the deepest element below body around at least half of the text in slots. Constant
+    headings and bylines inside it are the article's: there only what interrupts it on less than half of the pages is left out, if it
+    is no heading, paragraph, item or cell. Outside it all texts of valid classes are. A host without slots has no template.
     """
     # A host with most of the pages has many texts: one row a path, then the few texts that come again.
     text = F.when(F.col("node") != 0, F.col("pages"))
-    paths = counts.groupBy("host", "path").agg(F.min(text).alias("rarest"), F.max(F.when(F.col("node") == 0, F.col("pages"))).alias("around"))
-    paths = paths.select("host", "path", (F.col("rarest") < most * F.col("around")).alias("slot"))
+    mass = F.sum(F.when(F.col("node") != 0, F.col("pages") * F.col("chars")))
+    paths = counts.groupBy("host", "path").agg(F.min(text).alias("rarest"), F.max(F.when(F.col("node") == 0, F.col("pages"))).alias("around"), mass.alias("mass"))
+    paths = stored(paths.select("host", "path", (F.col("rarest") < most * F.col("around")).alias("slot"), "mass"), "paths")
+    steps = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(steps) - 1), lambda k: F.array_join(F.slice(steps, 1, k), "/"))
+    around = paths.filter("slot AND path <> ''").select("host", "mass", F.explode(above).alias("body")).groupBy("host", "body").agg(F.sum("mass").alias("mass"))
     whole = counts.filter("node = 0 AND path = ''").select("host", F.col("pages").alias("n"))
-    texts = counts.filter((F.col("node") != 0) & (F.col("pages") >= least)).join(whole, "host").filter(F.col("pages") >= share * F.col("n"))
-    texts = texts.join(paths, ["host", "path"])
-    fixed = F.collect_list(F.when(~F.col("slot"), F.col("node")))
+    total = around.filter("body = ''").select("host", F.col("mass").alias("total"))
+    deep = F.struct(F.size(F.split("body", "/")).alias("depth"), "mass", "body")
+    bodies = around.join(total, "host").filter("2 * mass >= total").groupBy("host").agg(F.max(deep).alias("x")).select("host", F.when(~F.col("x.body").rlike(r"^(/(html|body)(\.[a-z]+)?)*$"), F.col("x.body")).alias("body"))
+    texts = counts.filter((F.col("node") != 0) & (F.col("pages") >= least)).join(whole.join(bodies, "host"), "host")
+    texts = texts.join(paths.drop("mass"), ["host", "path"])
+    inside = F.col("path").rlike(r"/(article|main)(\.[a-z]+)?(/|$)") | F.coalesce(F.startswith(F.concat("path", F.lit("/")), F.concat("body", F.lit("/"))), F.lit(False))
+    interrupts = (2 * F.col("pages") < F.col("n")) & ~F.col("path").rlike(r"/(h[1-6]|p|li|dt|dd|td|th|pre|blockquote|figcaption|article|main)(\.[a-z]+)?$")
+    fixed = F.collect_list(F.when(~F.col("slot") & (~inside | interrupts), F.col("node")))
     classes = texts.groupBy("host", "n", "print", "pages").agg(F.max("slot").alias("shared"), fixed.alias("nodes"))
     classes = classes.filter(~F.col("shared") | (F.col("pages") >= most * F.col("n"))).filter(F.size("nodes") > 0)
     return classes.groupBy("host").agg(F.flatten(F.collect_list("nodes")).alias("template"))
@@ -211,7 +221,7 @@ def templates(counts: DataFrame, most: float = 0.9, least: int = 3, share: float
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """page_id, url, text, n_chars: one row per row of pages.
 
-    A null or empty page has an empty text. Rows without a readable host share one template. Repeated rows are pages of their own. The
+    A null or empty page has an empty text, and so has one whose blocks are all of the template. Rows without a readable host share one template. Repeated rows are pages of their own. The
     join of pages with their host's template can be split where one host has most pages; pages travel compressed.
     """
     given = pages.select(host_of(url_column).alias("host"), F.xxhash64(id_column, url_column).alias("page_key"), F.col(html_column).alias("html"))
