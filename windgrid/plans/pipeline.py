@@ -122,8 +122,8 @@ def run_new_months(
 ) -> DataFrame:
     """The joined table after a delivery, with only the months made anew that its files have rows for.
 
-    The ledger of bronze tells the months, and only their folders are read. Equal rows share their timestamp, so duplicates never cross months: each touched month is cleaned, joined and written from all
-    its rows, old and new, and the folders of other months keep their files. Rows without a readable timestamp are a month of
+    The ledger of bronze tells the months, and only their folders are read. Equal rows share their timestamp, so duplicates never
+    cross months: each touched month is cleaned, joined and written from all its rows, old and new, and the folders of other months keep their files. Rows without a readable timestamp are a month of
     their own. A changed mapping means all months. What was done is recorded after the months are written, so an interrupted run is
     simply repeated. Only the touched months, a bounded list, reach the driver. ``run_delivery`` keeps reports and star schema as well.
     """
