@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from windgrid.llm import scoring, search
 from windgrid.llm.dedup import words_of
-from windgrid.llm.gru import Gru
+from windgrid.llm.gru import Gru, lanes_of
 
 
 def brute_top(rows, k):
@@ -122,3 +122,61 @@ def test_whole_texts_are_trained_on(spark, monkeypatch):
 def test_all_rows_are_trained_on_in_each_round_at_any_size(spark, monkeypatch):
     for n in (30, 3500, 12_000):
         assert rounds_of(spark, monkeypatch, [(k, f"a b {k}") for k in range(n)]) == [(n, 4 * n, max(1, n // 1000))] * 3
+
+
+def plain_log_probability(model, words, end):
+    """Word by word, each probability from the two softmaxes written out."""
+    h, last, total = np.zeros((1, model.hidden)), end, 0.0
+    share = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    for w in words:
+        h = model.step(model.inputs()[[last]], h)[0]
+        of_class = min(w // model.size, model.n_classes)
+        total += math.log(share((h @ model.p["wc"] + model.p["bc"])[0])[of_class])
+        if of_class < model.n_classes:
+            inside = slice(of_class * model.size, (of_class + 1) * model.size)
+            total += math.log(share((h @ model.p["wo"][inside].T + model.p["bo"][inside])[0])[w % model.size])
+        last = w
+    return total
+
+
+def test_scores_equal_a_plain_forward_pass():
+    rng = np.random.default_rng(3)
+    texts = [np.append(rng.integers(1, 13, n), 0).astype(np.uint16) for n in (0, 1, 15, 16, 17, 400, 33)]
+    model = Gru.start(np.arange(12.0, 0, -1), 3.0, 6, 4)
+    model.train([texts] * 30, 0, lanes=4, lane=64)
+    for together in (1, 3, 100):
+        found = model.score(texts, 0, window=8, together=together)
+        assert np.allclose(found, [plain_log_probability(model, t, 0) for t in texts], rtol=1e-4)
+    assert model.score([], 0).shape == (0,)
+
+
+def test_lanes_hold_every_word_once_and_begin_anew():
+    texts = [np.arange(1, n + 1) for n in (5, 0, 1, 70, 9)]
+    given, targets, fresh = (np.concatenate(x, axis=1) for x in zip(*lanes_of(texts, 0, 8, 4, 10)))
+    assert given.shape[0] == 4 and given.shape[1] == -(-85 // 4)
+    assert sorted(targets[targets >= 0]) == sorted(np.concatenate(texts))
+    stream, begins, marks = targets.ravel()[:85], given.ravel()[:85], fresh.ravel()[:85]
+    for k in range(85):
+        starts = k in (0, 5, 6, 76)
+        assert begins[k] == (0 if starts else stream[k - 1])
+        assert marks[k] == (starts or k % given.shape[1] == 0)
+    assert list(lanes_of([], 0, 8, 4, 10)) == [] and Gru.start(np.ones(3), 1.0, 2, 2).train([[], [np.zeros(0)]], 0) == 0
+
+
+def test_reset_lanes_have_the_gradients_of_texts_apart():
+    model = Gru.start(np.array([5.0, 4, 3, 2, 1]), 6.0, 4, 2)
+    model = Gru({k: v.astype(np.float64) for k, v in model.p.items()}, 2)
+    texts = [np.array([1, 2, 6]), np.array([4, 1, 0, 3, 0])]
+    together = model.window_gradients(*next((g, t, np.zeros((1, 4)), f) for g, t, f in lanes_of(texts, 0, 8, 1, 1)))[0]
+    apart = [model.window_gradients(np.array([[0, *t[:-1]]]), t[None, :], np.zeros((1, 4)))[0] for t in texts]
+    for name in model.p:
+        assert np.allclose(together[name], apart[0][name] + apart[1][name])
+
+
+def test_a_trained_model_beats_the_base_on_held_out_texts(spark):
+    rng = random.Random(5)
+    verbs = {"cat": "sleeps", "dog": "barks", "bird": "sings", "fish": "swims"}
+    rows = [(k, " ".join(f"the {n} {verbs[n]} ." for n in rng.choices(list(verbs), k=rng.randint(20, 120)))) for k in range(300)]
+    got = scoring.score(documents(spark, rows, extra=False), F.col("doc_id") % 10 == 0).filter("held_out")
+    base, score = got.selectExpr("sum(base_score) / sum(n_tokens)", "sum(score) / sum(n_tokens)").first()
+    assert score > base + 0.3

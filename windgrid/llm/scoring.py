@@ -22,7 +22,8 @@ from windgrid.llm.gru import Gru
 
 END = ""
 VOCABULARY, CLASS_SIZE, HIDDEN, FREQUENT = 1024, 32, 16, 100_000
-WINDOW, TOGETHER, ROUNDS, ROWS_A_TRAINER = 16, 64, 3, 1000
+WINDOW, TOGETHER, ROUNDS, ROWS_A_TRAINER = 16, 1 << 20, 3, 1000
+SCORED_AT_ONCE = 1 << 22
 COUNTS_AT_ONCE = 300_000
 
 
@@ -88,13 +89,14 @@ def train_round(rows: DataFrame, model: Gru, end: int, trainers: int) -> Gru:
         own = Gru({k: v.copy() for k, v in params.items()}, size)
 
         def groups():
-            held = []
+            held, words = [], 0
             for batch in batches:
                 for ids in batch.column(0):
                     held.append(np.frombuffer(ids.as_py(), "<u2"))
-                    if len(held) == TOGETHER:
+                    words += len(held[-1])
+                    if words >= TOGETHER:
                         yield held
-                        held = []
+                        held, words = [], 0
             if held:
                 yield held
 
@@ -104,11 +106,23 @@ def train_round(rows: DataFrame, model: Gru, end: int, trainers: int) -> Gru:
             yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([change], pa.list_(pa.float64()))], ["seen", "change"])
 
     dealt = rows.repartition(trainers, "h").sortWithinPartitions("h", "ids").select("ids")
-    copies = stored(dealt.mapInArrow(run, "seen long, change array<double>"), "copies")
+    schema = "seen long, change array<double>"
+    copies = stored(dealt.mapInArrow(run, schema), "copies")
     total = copies.agg(F.sum("seen")).first()[0]
     if not total:
         return model
-    summed = copies.select(F.posexplode("change")).groupBy("pos").agg(F.sum("col").alias("x")).toPandas()
+
+    def add(batches) -> Iterator[pa.RecordBatch]:
+        # Copies are added up where they are read, so that the number of weights that are shuffled follows the tasks.
+        seen, change = 0, np.zeros(len(flat))
+        for batch in batches:
+            for k in range(batch.num_rows):
+                seen += batch.column(0)[k].as_py()
+                change += batch.column(1)[k].values.to_numpy()
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([change], pa.list_(pa.float64()))], ["seen", "change"])
+
+    summed = copies.mapInArrow(add, schema).select(F.posexplode("change")).groupBy("pos").agg(F.sum("col").alias("x")).toPandas()
     change = np.zeros(len(flat))
     change[summed["pos"].to_numpy()] = summed["x"].to_numpy() / total
     return model.with_flat(flat + change)
@@ -150,25 +164,29 @@ def score(documents: DataFrame, held_out: Column, vocabulary: int = VOCABULARY,
         place, base, inner = sent.value
         own = Gru(params, CLASS_SIZE)
         for batch in batches:
-            texts = batch.column("text")
             columns: tuple[list, ...] = ([], [], [], [])
-            scores = []
-            for s in range(0, len(texts), 1024):
-                rows = []
-                for text in texts[s : s + 1024]:
-                    tokens = words_of(text.as_py())
-                    tokens.append(b"")
-                    at = np.array([place.get(w, -1) for w in tokens])
-                    known = at >= 0
-                    n_tail = int((known & (at >= size)).sum())
-                    rare = [tokens[k].decode() for k in np.flatnonzero(~known)]
-                    for column, value in zip(columns, (len(tokens), int(known.sum()), float(base[at[known]].sum()), rare)):
-                        column.append(value)
-                    scores.append(float(inner[at[known & (at >= size)]].sum()) if n_tail else 0.0)
-                    rows.append(np.where(known & (at < size), at, outside))
-                found = own.score(rows, end) / np.log(10)
-                for k, x in enumerate(found):
-                    scores[s + k] += float(x)
+            scores, rows, words = [], [], 0
+
+            def score_rows():
+                for k, x in enumerate(own.score(rows, end) / np.log(10)):
+                    scores[len(scores) - len(rows) + k] += float(x)
+
+            for text in batch.column("text"):
+                tokens = words_of(text.as_py())
+                tokens.append(b"")
+                at = np.array([place.get(w, -1) for w in tokens])
+                known = at >= 0
+                rare = [tokens[k].decode() for k in np.flatnonzero(~known)]
+                for column, value in zip(columns, (len(tokens), int(known.sum()), float(base[at[known]].sum()), rare)):
+                    column.append(value)
+                inside = known & (at < size)
+                scores.append(float(inner[at[known & ~inside]].sum()))
+                rows.append(np.where(inside, at, outside).astype(np.uint16))
+                words += len(tokens)
+                if words >= SCORED_AT_ONCE:
+                    score_rows()
+                    rows, words = [], 0
+            score_rows()
             arrays = [*(batch.column(c) for c in ("doc_id", "held_out", "k1", "k2")), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64())]
             arrays += [pa.array(columns[2], pa.float64()), pa.array(scores, pa.float64()), pa.array(columns[3], pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "k1", "k2", "n_tokens", "known", "base", "gru", "rare"])
