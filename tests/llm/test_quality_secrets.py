@@ -118,3 +118,37 @@ def test_kinds_below_a_hundredth_of_the_bad_rows_are_learned(spark):
     found = {(r.bad, r.dropped): r["count"] for r in judged}
     # Thresholds lie between values seen, so a few rows at the edges may fall on the other side.
     assert found[1, True] >= 2400 + 16 * len(kinds) and found.get((0, True), 0) <= 9
+
+
+def test_a_text_of_many_secrets_over_many_blocks(spark):
+    gaps = ["é ", "a b ", "\n", "日本 "]
+    text = "".join(f"{gaps[k % 4] * (k % 3 + 1)}{'0123456789abcdef' * (2 + k % 2)} token='{'x' * (5 + k % 7)}' AKIA{'Z' * (8 + k % 9)}" for k in range(1500))
+    frame = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "no secret " * 50_000)], "doc_id long, text string")
+    found = secrets.per_document(frame)
+    rows = {r.doc_id: r for r in found.select("doc_id", "base", "spans", secrets.redacted(F.col("text"), F.col("base")).alias("masked")).collect()}
+    want = []
+    for kind, (pattern, group, least) in enumerate((
+        (r"((?:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8), (r"AKIA[A-Z0-9]+", 0, 16), (r"[0-9a-f]+", 0, 32),
+    )):
+        want += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text) if len(m.group(group)) >= least]
+    assert len(want) > 3 * secrets.BLOCK and [tuple(s) for s in rows[1].base] == sorted(want)
+    masked, at = [], 0
+    for start, _, end in sorted(want):
+        if start >= at:
+            masked += [text[at:start], "[SECRET]"]
+        at = max(at, end)
+    assert rows[1].masked == "".join(masked) + text[at:]
+    assert rows[2].masked == "" and rows[3].masked is None and rows[4].masked == "no secret " * 50_000
+
+
+def test_overlapping_spans_across_blocks_are_one_mark(spark):
+    n = 2 * secrets.BLOCK + 7
+    text = "".join(chr(97 + k % 26) for k in range(10 * n))
+    spans = [(5, 0, 5 + 10 * (n - 40))] + [(10 * k, 0, 10 * k + 4) for k in range(1, n)]
+    row = spark.createDataFrame([(text, spans)], f"text string, spans {secrets.SPAN}").select(secrets.redacted(F.col("text"), F.col("spans"))).first()[0]
+    out, at = [], 0
+    for start, _, end in spans:
+        if start >= at:
+            out += [text[at:start], "[SECRET]"]
+        at = max(at, end)
+    assert row == "".join(out) + text[at:]

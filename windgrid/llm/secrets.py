@@ -15,8 +15,8 @@ from windgrid.llm.common import stored
 # The sure kinds in the order of report, with the group whose length counts and its least length.
 SURE = {
     "assign": (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
-    "access": (r"AKIA[A-Z0-9]+", 0, 16),
-    "hex": (r"[0-9a-f]+", 0, 32),
+    "access": (r"AKIA[A-Z0-9]{12,}", 0, 16),  # runs are maximal, so shorter ones need not be met to be dropped
+    "hex": (r"[0-9a-f]{32,}", 0, 32),
 }
 # Runs this pattern needs: tells most texts without a match apart in one pass.
 SURE_HINT = {"assign": r"(?i:password|passwd|secret|token|api_?key)", "access": r"AKIA[A-Z0-9]{12}", "hex": r"[0-9a-f]{32}"}
@@ -33,10 +33,32 @@ KINDS = [*SURE, *WEAK]
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
+BLOCK = 256  # array elements that one step of a fold may copy
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def blocks_of(items: Column) -> Column:
+    """An array cut into arrays of BLOCK elements. Folds that append copy a block at a time, not the whole array."""
+    last = F.greatest(F.floor((F.size(items) - 1) / BLOCK).cast("int"), F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(items, b * BLOCK + 1, F.lit(BLOCK)))
+
+
+def before_each(values: Column, add) -> Column:
+    """For each long the fold of all before it, from 0."""
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+    step = lambda state, x: F.struct(add(state["at"], x).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+    return F.aggregate(values, begin, step, lambda state: state["out"])
+
+
 def spans_of(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0, hint: str | None = None) -> Column:
     """(start, kind, end) of the leftmost non-overlapping matches whose group is long enough, in code points.
 
-    Places follow from the lengths of the matches and of what lies between them.
+    Places follow from the lengths of the matches and of what lies between them: inside blocks of matches first, then each block
+    is moved by the lengths before it.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     measured = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found, lambda m: F.length(m).cast("long"))
@@ -54,7 +76,13 @@ def spans_of(text: Column, pattern: str, kind: int, group: int = 0, least: int =
         return F.struct(end.alias("at"), F.when(fits, F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
 
     begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("spans"))
-    spans = F.aggregate(steps, begin, add, lambda state: state["spans"])
+
+    def placed(folded: Column) -> Column:
+        before = before_each(F.transform(folded, lambda b: b["at"]), lambda at, x: at + x)
+        moved = lambda s, by: F.struct((s["start"] + by).alias("start"), s["kind"].alias("kind"), (s["end"] + by).alias("end"))
+        return F.flatten(F.zip_with(folded, before, lambda b, by: F.transform(b["spans"], lambda s: moved(s, by))))
+
+    spans = bound(F.transform(bound(steps, blocks_of), lambda block: F.aggregate(block, begin, add)), placed)
     return F.when(text.rlike(hint or pattern), spans).otherwise(F.array().cast(SPAN))
 
 
@@ -113,16 +141,31 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each run of overlapping spans (sorted by start) replaced by the mark."""
-
-    def cut(state: Column, s: Column) -> Column:
-        between = F.substr(text, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
-        apart = s["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(apart, F.concat(state["out"], F.array(between, F.lit(mark)))).otherwise(state["out"]).alias("out"),
-        )
-
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-    done = lambda state: F.concat(F.array_join(state["out"], ""), F.substr(text, (state["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, begin, cut, done)).otherwise(text)
+    """The text with each run of overlapping spans (sorted by start) replaced by the mark.
+
+    Spans are taken in blocks; each block cuts its own part of the text, from where the blocks before it end.
+    """
+
+    def cut(own: Column, block: Column, first: Column) -> Column:
+        def step(state: Column, s: Column) -> Column:
+            between = F.substr(own, (state["at"] - first + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
+            apart = s["start"] >= state["at"]
+            return F.struct(
+                F.greatest(state["at"], s["end"]).alias("at"),
+                F.when(apart, F.concat(state["out"], F.array(between, F.lit(mark)))).otherwise(state["out"]).alias("out"),
+            )
+
+        begin = F.struct(first.alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(block, begin, step, lambda state: F.array_join(state["out"], ""))
+
+    def part(block: Column, first: Column) -> Column:
+        end = F.greatest(first, F.array_max(F.transform(block, lambda s: s["end"])))
+        return bound(F.substr(text, (first + 1).cast("int"), (end - first).cast("int")), lambda own: cut(own, block, first))
+
+    def whole(blocks: Column) -> Column:
+        ends = F.transform(blocks, lambda block: F.array_max(F.transform(block, lambda s: s["end"])))
+        return F.array_join(F.zip_with(blocks, before_each(ends, F.greatest), part), "")
+
+    end = F.array_max(F.transform(spans, lambda s: s["end"]))
+    rest = F.substr(text, (end + 1).cast("int"), F.length(text))
+    return F.when(F.size(spans) > 0, F.concat(bound(blocks_of(spans), whole), rest)).otherwise(text)
