@@ -114,3 +114,55 @@ def test_rare_toxic_words_are_learned_in_large_samples(spark):
     sample = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     lexicon = toxicity.learn_lexicon(sample, min_odds=2.0)
     assert any("quuxing".startswith(t) for t in lexicon) and any("zorkish".startswith(t) for t in lexicon)
+
+
+def naive_weight(text, lexicon, harmless):
+    """Every place, every entry, every phrase, one after the other."""
+    folded, plain = toxicity.fold(text, toxicity.folding_tables())
+    begins = [k for k in range(len(folded)) if k == 0 or not plain[k - 1].isalpha()]
+    quiet = {q for k in begins for p in harmless if folded.startswith(p, k) for q in range(k, k + len(p))}
+    return sum(max((w for t, w in lexicon.items() if folded.startswith(t, k)), default=0.0) for k in begins if k not in quiet)
+
+
+def test_signs_before_a_word_and_every_look_alike_fold():
+    lexicon = {"idiot": 2.0, "hate": 1.5, "shit": 1.0, "moron": 3.0}
+    match = matcher(lexicon, HARMLESS)
+    for text in ("idiot", "@idiot", "|idiot|", "!idiot", "wow!idiot", "1diot", "|d!0t", "the ＠ｉｄｉｏｔ", "i​diot", "ïdîöt"):
+        assert match(text)[0] == 2.0, text
+    assert match("hatз")[0] == 1.5 and match("$hit")[0] == 1.0 and match("5hit @$hit")[0] == 2.0
+    for text in ("", None, "whatever chateau", "oxymoron", "1 2 3 !"):
+        assert match(text)[0] == 0.0, text
+    assert all(v not in toxicity.LOOK_ALIKES for v in toxicity.folding_tables()[1].values())
+
+
+def test_matches_equal_a_naive_scan():
+    lexicon = {"idiot": 2.0, "idioti": 2.5, "hate": 1.5, "clown": 3.0}
+    harmless = ("clown fish", "hate to see", "idiot proof")
+    match = matcher(lexicon, harmless)
+    rng = random.Random(8)
+    pieces = ["idiot", "idiotic", "@idiot", "1d1ot", "clown fish", "clown", "hate", "to see", "h8", "proof", "ха", "x", "!", "İ", "ß", "\n", "clownfish"]
+    for _ in range(400):
+        text = "".join(rng.choice(pieces) + rng.choice([" ", "", " ", "!"]) for _ in range(rng.randint(0, 30)))
+        assert abs(match(text)[0] - naive_weight(text, lexicon, harmless)) < 1e-9, text
+    long = "clown fish idiot " * 20_000
+    assert abs(match(long)[0] - 40_000) < 1e-6
+
+
+def test_harmless_phrases_are_learned_from_clean_rows(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("bdfgklmnprtv", k=6))
+    some = lambda k: " ".join(word() for _ in range(k))
+    rows = [(k, f"{some(8)} you grubnax {some(8)}", 1) for k in range(60)]
+    rows += [(100 + k, f"{some(8)} the grubnax valley {some(8)}", 0) for k in range(15)]
+    rows += [(200 + k, f"grubnax copied line {' '.join(['same'] * 5)}", 0) for k in range(50)]
+    rows += [(1000 + k, some(16), 0) for k in range(900)]
+    documents = spark.createDataFrame([(d, t) for d, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, y) for d, _, y in rows if not 200 <= d < 300], "doc_id long, toxic int")
+    model = ToxicityModel.fit(documents, labels)
+    assert any(p.startswith("grubnax") for p in model.lexicon) or any("grubnax".startswith(p) for p in model.lexicon)
+    assert "grubnax valley" in model.harmless
+    got = dict(documents.select("doc_id", model.column(F.col("text"))["predicted"]).collect())
+    assert all(got[d] == 1 for d in range(60)) and all(got[d] == 0 for d in range(100, 115))
+    every = spark.createDataFrame([(d, y) for d, _, y in rows], "doc_id long, toxic int")
+    again = ToxicityModel.fit(documents, every)
+    assert "grubnax copied" not in again.harmless and again.lexicon

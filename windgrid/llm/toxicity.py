@@ -2,8 +2,8 @@
 
 Folding undoes look-alike letters, accents and digits written for letters. Lexicon entries are word beginnings whose
 documents are mostly labelled toxic; their weights are smoothed log odds. A text's weights are set against its length,
-and a logistic curve fitted on the same labels turns both into a score. Phrases that hold an entry harmlessly
-are in the same automaton and cancel the match inside them.
+and a logistic curve fitted on the same labels turns both into a score. Phrases that hold an entry harmlessly, some given and
+others learned from clean documents, are in the same automaton and cancel the match inside them.
 """
 
 from __future__ import annotations
@@ -13,8 +13,10 @@ import math
 import re
 import unicodedata
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -31,26 +33,45 @@ LETTERS = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7, 8, 9, 10)
 
 
-def folding_table() -> dict[int, str]:
-    """For str.translate on lower-case text: look-alikes, and letters with marks to their base letter."""
-    table = {}
+def folding_tables() -> tuple[dict[int, str], dict[int, str]]:
+    """For str.translate on lower-case text, one after the other: letters with marks to their base letter, wide forms to plain
+    ones and invisible characters to nothing; then look-alikes, each one character for another, until none is left."""
+    plain = {}
     for code in range(0x80, 0x250):
         base = unicodedata.normalize("NFKD", chr(code))[0]
         if base.isascii() and base.isalpha():
-            table[code] = base.lower()
-    table |= dict.fromkeys([0xAD, *range(0x200B, 0x200E), 0x2060, 0xFEFF, *range(0x300, 0x370)], "")
+            plain[code] = base.lower()
+    plain |= dict.fromkeys([0xAD, *range(0x200B, 0x200E), 0x2060, 0xFEFF, *range(0x300, 0x370)], "")
     for x in range(0xFF01, 0xFF5F):
-        table[x] = chr(x - 0xFEE0).lower()
-    letters = {ord(k): v for k, v in LOOK_ALIKES.items()}
-    return {k: letters.get(ord(v), v) if v else v for k, v in table.items()} | letters
+        plain[x] = chr(x - 0xFEE0).lower()
+    alike = {ord(k): LOOK_ALIKES.get(v, v) for k, v in LOOK_ALIKES.items()}
+    return {k: v for k, v in plain.items() if k not in alike}, alike
 
 
-def fold(text: str | None, table: dict[int, str]) -> str:
-    return (text or "").lower().translate(table)
+def fold(text: str | None, tables) -> tuple[str, str]:
+    """The folded text, and the text of the same places in which look-alikes still are what they were."""
+    plain = (text or "").lower().translate(tables[0])
+    return plain.translate(tables[1]), plain
 
 
-def words_of(folded: str) -> list[str]:
-    return LETTERS.findall(folded)
+def begins_word(plain: str, at: int) -> bool:
+    """A word begins behind anything but a letter; a digit or sign before it may be one of its own letters or stand apart."""
+    return not at or not plain[at - 1].isalpha()
+
+
+def starts_of(folded: str, plain: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of every run of letters, and from each place inside it where a word may begin as well."""
+    for m in LETTERS.finditer(folded):
+        a, b = m.span()
+        yield a, b
+        if not plain[a:b].isalpha():
+            yield from ((k, b) for k in range(a + 1, b) if begins_word(plain, k))
+
+
+def copy_key(folded: str) -> str:
+    """Equal for copies and most near copies: three minimum hashes of the words."""
+    words = [w.encode() for w in set(LETTERS.findall(folded))] or [b""]
+    return ",".join(str(min(zlib.crc32(w, seed) for w in words)) for seed in (1, 2, 3))
 
 
 def fit_sample(documents: DataFrame, labels: DataFrame, held_out, fit_rows: int) -> DataFrame:
@@ -80,15 +101,16 @@ def learn_lexicon(sample: DataFrame, min_documents: int = 3, min_odds: float = 3
     do not get in beside the entries that made them toxic.
     """
 
-    def beginnings(text, table):
-        return {w[:n] for w in LETTERS.findall(fold(text, table)) for n in PREFIXES if len(w) >= n}
+    def beginnings(text, tables):
+        folded, plain = fold(text, tables)
+        return {folded[a : a + n] for a, b in starts_of(folded, plain) for n in PREFIXES if b - a >= n}
 
     def count(batches):
-        table = folding_table()
+        tables = folding_tables()
         for batch in batches:
             seen = (Counter(), Counter())
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                seen[toxic].update(beginnings(text, table))
+                seen[toxic].update(beginnings(text, tables))
             terms = list(seen[0].keys() | seen[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in seen)], ["term", "clean", "toxic"])
 
@@ -102,13 +124,12 @@ def learn_lexicon(sample: DataFrame, min_documents: int = 3, min_odds: float = 3
     at = {r["term"]: k for k, r in enumerate(rows)}
 
     def incidence(batches):
-        table = folding_table()
+        tables = folding_tables()
         for batch in batches:
             found, keys = [], []
             for text in batch.column("text").to_pylist():
-                found.append(sorted(at[t] for t in beginnings(text, table) if t in at))
-                words = [w.encode() for w in set(LETTERS.findall(fold(text, table)))] or [b""]
-                keys.append(",".join(str(min(zlib.crc32(w, seed) for w in words)) for seed in (1, 2, 3)))
+                found.append(sorted(at[t] for t in beginnings(text, tables) if t in at))
+                keys.append(copy_key(fold(text, tables)[0]))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), pa.array(keys)], ["found", "key"])
 
     toxic = sample.filter("toxic = 1").mapInArrow(incidence, "found array<int>, key string").groupBy("key").agg(F.max("found").alias("found")).collect()
@@ -141,33 +162,93 @@ def learn_lexicon(sample: DataFrame, min_documents: int = 3, min_odds: float = 3
     return lexicon
 
 
-def matcher(lexicon: dict[str, float], harmless: tuple[str, ...]):
-    """From text to (summed weights, number of words)."""
+def learn_harmless(sample: DataFrame, lexicon: dict[str, float], harmless: tuple[str, ...], least: int = 3) -> tuple[str, ...]:
+    """Words that begin with an entry, alone or with the word before or after, that clean documents hold at least as often as toxic ones.
+
+    A phrase needs ``least`` clean documents, near copies counted once, and smoothed log odds of 0 or less by document counts over the sample, so few toxic rows ask for more clean ones. Shorter phrases make longer
+    ones with them needless. Words are parted by one blank.
+    """
+    if not lexicon:
+        return ()
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        places = finder(lexicon, harmless)
+        for batch in batches:
+            out = []
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                folded, found = places(text)
+                if not found:
+                    continue
+                key = copy_key(folded)
+                words = [(m.start(), m.end()) for m in LETTERS.finditer(folded)]
+                starts = [a for a, _ in words]
+                phrases = set()
+                for place in found:
+                    k = bisect_right(starts, place) - 1
+                    a, b = place, words[k][1]
+                    phrases.add(folded[a:b])
+                    if a == starts[k] and k and folded[words[k - 1][1] : a] == " ":
+                        phrases.add(folded[words[k - 1][0] : b])
+                    if k + 1 < len(words) and folded[b : starts[k + 1]] == " ":
+                        phrases.add(folded[a : words[k + 1][1]])
+                out += [(p, toxic, key) for p in phrases]
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.string())], ["phrase", "toxic", "key"])
+
+    totals = sample.agg(F.count(F.when(F.col("toxic") == 0, 1)).alias("clean"), F.count(F.when(F.col("toxic") == 1, 1)).alias("toxic")).first()
+    counted = sample.mapInArrow(run, "phrase string, toxic int, key string").groupBy("phrase").agg(
+        F.count(F.when(F.col("toxic") == 1, 1)).alias("toxic"), F.count(F.when(F.col("toxic") == 0, 1)).alias("clean"), F.countDistinct(F.when(F.col("toxic") == 0, F.col("key"))).alias("different")
+    )
+    fair = (F.col("toxic") + 0.5) / (totals["toxic"] + 1.0) <= (F.col("clean") + 0.5) / (totals["clean"] + 1.0)
+    kept: list[str] = []
+    for r in counted.filter((F.col("different") >= least) & fair).orderBy(F.length("phrase"), "phrase").toLocalIterator():
+        if not any(r["phrase"].startswith(p) or f" {p}" in r["phrase"] for p in kept):
+            kept.append(r["phrase"])
+    return tuple(kept)
+
+
+def finder(lexicon: dict[str, float], harmless: tuple[str, ...]):
+    """From text to (folded text, weight by place of each entry found)."""
     import ahocorasick
 
-    table = folding_table()
+    tables = folding_tables()
     automaton = ahocorasick.Automaton()
     for phrase in harmless:
-        automaton.add_word(fold(phrase, table), (len(fold(phrase, table)), None))
+        folded = fold(phrase, tables)[0]
+        automaton.add_word(folded, (len(folded), None))
     for term, weight in lexicon.items():
+        # An entry that is a phrase as well stays an entry.
         automaton.add_word(term, (len(term), weight))
     automaton.make_automaton()
     some = len(lexicon) > 0
 
-    def match(text: str | None) -> tuple[float, int]:
-        folded = fold(text, table)
+    def places(text: str | None) -> tuple[str, dict[int, float]]:
+        folded, plain = fold(text, tables)
         best: dict[int, float] = {}
         quiet: list[tuple[int, int]] = []
         for end, (size, weight) in automaton.iter(folded) if some else ():
             start = end + 1 - size
-            if start and folded[start - 1].isalpha():
+            if not begins_word(plain, start):
                 continue
             if weight is None:
                 quiet.append((start, end))
             else:
                 best[start] = max(weight, best.get(start, 0.0))
-        if quiet:
-            best = {s: w for s, w in best.items() if not any(a <= s <= b for a, b in quiet)}
+        if quiet and best:
+            quiet.sort()
+            starts, ends = [a for a, _ in quiet], list(accumulate((b for _, b in quiet), max))
+            covered = lambda s: (k := bisect_right(starts, s)) > 0 and ends[k - 1] >= s
+            best = {s: w for s, w in best.items() if not covered(s)}
+        return folded, best
+
+    return places
+
+
+def matcher(lexicon: dict[str, float], harmless: tuple[str, ...]):
+    """From text to (summed weights, number of words)."""
+    places = finder(lexicon, harmless)
+
+    def match(text: str | None) -> tuple[float, int]:
+        folded, best = places(text)
         return sum(best.values()), len(folded.split())
 
     return match
@@ -218,6 +299,7 @@ class ToxicityModel:
         held_out = F.lit(False) if held_out is None else held_out
         sample = fit_sample(documents, labels, held_out, fit_rows)
         lexicon = learn_lexicon(sample)
+        harmless = (*harmless, *learn_harmless(sample, lexicon, harmless))
         rows = match_rows(sample, lexicon, harmless, "toxic", "toxic int").toPandas()
         y = rows["toxic"].to_numpy(float)
         if not lexicon or not 0 < y.sum() < len(y):
@@ -231,7 +313,7 @@ class ToxicityModel:
 
     def column(self, text: Column, threshold: float = 0.3) -> Column:
         """A struct of score (0 to 1) and predicted (1 if the score reaches the threshold). A null text counts as empty,
-        which has the score of a text without a match."""
+        which has the score of a text without a match. Repeated rows are scored alike; a text of any length takes one pass."""
         beta, lexicon, harmless = np.array(self.beta), self.lexicon, self.harmless
 
         @F.arrow_udf("score double, predicted int")
