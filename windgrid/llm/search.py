@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from windgrid.llm.common import stored
+
 WAVE_BYTES = 16 << 20
 QUERIES_AT_ONCE, CANDIDATES_AT_ONCE = 64, 8192
 EXACT = 1 << 52
@@ -110,7 +112,7 @@ def top_k(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", vecto
     """
     spark = vectors.sparkSession
     table = quantized(vectors, id_column, vector_column, scale)
-    queries = table.filter(is_query).groupBy("_id").agg(F.max("_v").alias("_v"))
+    queries = stored(table.filter(is_query).groupBy("_id").agg(F.max("_v").alias("_v")), "queries")
     size = queries.agg(F.count("*").alias("n"), F.max(F.size("_v")).alias("d")).first()
     schema = "query_id long, score long, vec_id long"
     if not size["n"]:
@@ -119,14 +121,17 @@ def top_k(vectors: DataFrame, is_query: Column, id_column: str = "vec_id", vecto
     found = None
     for wave in range(waves):
         part = queries.filter(F.pmod(F.xxhash64("_id"), F.lit(waves)) == wave).orderBy("_id").toArrow()
-        got = wave_results(spark, table, part, k, block, schema)
+        shared, got = wave_results(spark, table, part, k, block, schema)
+        # Only one wave is held at a time: its results are stored before its queries go.
+        got = stored(got, "wave")
+        shared.destroy()
         found = got if found is None else found.unionByName(got)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def wave_results(spark, table: DataFrame, part: pa.Table, k: int, block: int, schema: str) -> DataFrame:
-    """Each task's k best candidates of each query of a wave."""
+def wave_results(spark, table: DataFrame, part: pa.Table, k: int, block: int, schema: str):
+    """The broadcast queries of a wave, and each task's k best candidates of each of them."""
     column = part.column("_v").combine_chunks()
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.float64()))
@@ -177,4 +182,4 @@ def wave_results(spark, table: DataFrame, part: pa.Table, k: int, block: int, sc
                     [pa.array(np.repeat(query_ids, counts)), pa.array(np.concatenate(best.scores)), pa.array(np.concatenate(best.ids))], ["query_id", "score", "vec_id"]
                 )
 
-    return table.mapInArrow(search, schema)
+    return shared, table.mapInArrow(search, schema)
