@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,13 @@ from windgrid.operators.rollup import daily_rollup
 from windgrid.operators.star import append_dimension, append_tempo, dim_conjunto, dim_spe, dim_tempo, fact_generation
 from windgrid.plans.pipeline import set_aside
 from windgrid.schemas import COMPLEX_NUMERIC, DIM_CONJUNTO, DIM_SPE, FLAG, PLANT_NUMERIC, TS
+from windgrid.session import at_once
 from windgrid.sinks import partition_columns, write_layer, write_report
 from windgrid.sinks.versions import current, manifest, publish, stage
 from windgrid.sources.files import read_mapping, read_report
 from windgrid.sources.months import missing_months, month_range, month_span, months_present
 from windgrid.streaming import ingest_landing, ledger, read_bronze, touched_months
-from windgrid.streaming.ingest import MALFORMED, last_batch
+from windgrid.streaming.ingest import MALFORMED, last_batch, month_rows
 
 LEVELS = ("spe", "wind")
 
@@ -70,54 +72,69 @@ def run_delivery(
         # Files without a row, or with malformed rows only.
         publish(spark, root, run, {}, [], notes)
     tables = read_lake(spark, root)
-    write_report(report_of_counts(tables["quality_counts"]), f"{root}/reports/quality")
-    write_report(delivery_report(spark, root, tables["matches"], expected_months), f"{root}/reports/run")
+    at_once(
+        spark,
+        lambda: write_report(report_of_counts(tables["quality_counts"]), f"{root}/reports/quality"),
+        lambda: write_report(delivery_report(spark, root, tables["matches"], expected_months), f"{root}/reports/run"),
+    )
     return {**tables, **{name: read_report(spark, f"{root}/reports/{name}") for name in ("quality", "run")}}
 
 
 def _tables(spark: SparkSession, root: str, run: int, raw: dict[str, DataFrame], mapping: DataFrame, collapse_ws: bool, mode: str, ts: str) -> dict[str, DataFrame]:
     """The touched months of every table, stored but not yet published."""
     work = f"{root}/work/run={run}"
-    copies = {name: write_layer(count_copies(rows), f"{work}/{name}") for name, rows in raw.items()}
+    copies = dict(zip(raw, at_once(spark, *(partial(write_layer, count_copies(rows), f"{work}/{name}") for name, rows in raw.items()))))
+    of_month = month_rows(spark, *(f"{root}/bronze/{name}" for name in raw))
     by_month = lambda rows: rows.withColumns({"year": F.year(to_timestamp(F.col(ts))), "month": F.month(to_timestamp(F.col(ts)))})
     counts = [
         level_counts(by_month(copies[name]), name, numeric, ts, flag, by=("year", "month"))
         for name, numeric, flag in (("spe", PLANT_NUMERIC, FLAG), ("wind", COMPLEX_NUMERIC, None))
     ]
-    owned_spe = attach_project(clean_spe(copies["spe"], mode=mode), mapping)
-    names = write_layer(distinct_names(owned_spe, collapse_ws=collapse_ws), f"{work}/names")
-    owned_wind = clean_wind(restrict_to_names(copies["wind"], names, collapse_ws=collapse_ws), mode=mode)
-    staged = {
-        "joined": stage(partition_columns(join_levels(owned_spe, owned_wind, collapse_ws=collapse_ws), "data_hora"), root, "joined", run, sort_by=("projeto", ts)),
-        "quality_counts": stage(counts[0].unionByName(counts[1]), root, "quality_counts", run),
-    }
-    joined = staged["joined"]
-    staged["hours"] = stage(hour_sets(joined, SERIES_KEYS, ts, by=("year", "month")), root, "hours", run)
-    staged["rollup"] = stage(daily_rollup(joined, ts=ts), root, "rollup", run)
-    staged["places"] = stage(joined.select("year", "month", "projeto", "nom_estado", "nom_subsistema").distinct(), root, "places", run)
-    matched = [F.count("*").alias("total_records"), F.count("nom_estado").alias("matched_records")]
-    staged["matches"] = stage(joined.groupBy("year", "month").agg(*matched), root, "matches", run)
+
+    def join() -> DataFrame:
+        owned_spe = attach_project(clean_spe(copies["spe"], mode=mode), mapping)
+        names = write_layer(distinct_names(owned_spe, collapse_ws=collapse_ws), f"{work}/names")
+        owned_wind = clean_wind(restrict_to_names(copies["wind"], names, collapse_ws=collapse_ws), mode=mode)
+        return stage(partition_columns(join_levels(owned_spe, owned_wind, collapse_ws=collapse_ws), "data_hora"), root, "joined", run, ("projeto", ts), of_month)
+
+    joined, counted = at_once(spark, join, lambda: stage(counts[0].unionByName(counts[1]), root, "quality_counts", run))
     _, valid = manifest(spark, root)
     fresh = {"dim_spe": dim_spe(joined), "dim_conjunto": dim_conjunto(joined), "dim_tempo": dim_tempo(joined, ts)}
-    for name, made in fresh.items():
+
+    def dimension(name: str) -> DataFrame:
+        made = fresh[name]
         if (name, "") in valid:
-            stored = current(spark, root, name, made.schema)
+            stored = current(spark, root, name, made.schema, valid)
             made = append_tempo(stored, joined, ts) if name == "dim_tempo" else append_dimension(stored, joined, DIM_SPE if name == "dim_spe" else DIM_CONJUNTO, made.columns[-1])
-        staged[name] = stage(made, root, name, run)
-    dims = [staged[name] for name in fresh]
-    staged["fact_generation"] = stage(fact_generation(joined, *dims, ts=ts, keep=("year", "month")), root, "fact_generation", run, sort_by=("spe_key", "tempo_key"))
-    return staged
+        return stage(made, root, name, run)
+
+    def star() -> dict[str, DataFrame]:
+        dims = dict(zip(fresh, at_once(spark, *(partial(dimension, name) for name in fresh))))
+        facts = fact_generation(joined, *dims.values(), ts=ts, keep=("year", "month"))
+        return {**dims, "fact_generation": stage(facts, root, "fact_generation", run, ("spe_key", "tempo_key"), of_month)}
+
+    matched = [F.count("*").alias("total_records"), F.count("nom_estado").alias("matched_records")]
+    sums = {
+        "hours": hour_sets(joined, SERIES_KEYS, ts, by=("year", "month")),
+        "rollup": daily_rollup(joined, ts=ts),
+        "places": joined.select("year", "month", "projeto", "nom_estado", "nom_subsistema").distinct(),
+        "matches": joined.groupBy("year", "month").agg(*matched),
+    }
+    stars, *done = at_once(spark, star, *(partial(stage, rows, root, name, run) for name, rows in sums.items()))
+    return {"joined": joined, "quality_counts": counted, **dict(zip(sums, done)), **stars}
 
 
 def read_lake(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Every table of the lake as last published."""
     _, valid = manifest(spark, root)
-    found = {}
-    for name in sorted({table for table, _ in valid if table}):
+
+    def table(name: str) -> DataFrame:
         run = max(run for (table, _), run in valid.items() if table == name)
         schema = spark.read.parquet(f"{root}/{name}/run={run}").schema
-        found[name] = current(spark, root, name, schema)
-    return found
+        return current(spark, root, name, schema, valid)
+
+    names = sorted({table for table, _ in valid if table})
+    return dict(zip(names, at_once(spark, *(partial(table, name) for name in names)))) if names else {}
 
 
 def delivery_report(spark: SparkSession, root: str, matches: DataFrame, expected_months: tuple[str, str] | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,12 @@ from windgrid.operators.quality import quality_report
 from windgrid.operators.star import dim_conjunto, dim_spe, dim_tempo, fact_generation
 from windgrid.operators.validate import validation_report
 from windgrid.schemas import TS
+from windgrid.session import at_once
 from windgrid.sinks import write_layer, write_partitioned, write_report, write_star
 from windgrid.sources.files import read_mapping, read_partitioned, read_report
 from windgrid.sources.months import missing_months, month_range, month_span, months_present
 from windgrid.streaming import ingest_landing, ledger, read_bronze, rejected_files, touched_months
-from windgrid.streaming.ingest import MALFORMED, last_batch
+from windgrid.streaming.ingest import MALFORMED, last_batch, month_rows
 
 
 def run_pipeline(
@@ -33,6 +35,7 @@ def run_pipeline(
     level_join: str = "name_and_time",
     mode: str = "coerce",
     report_rules: str | None = "raw",
+    month_sizes: Mapping[str, int] | None = None,
 ) -> dict[str, DataFrame]:
     """Clean, report, filter, join and export below ``root``; returns the stored tables by name.
 
@@ -40,29 +43,36 @@ def run_pipeline(
     clean rows and the report both read that. ``report_rules=None`` leaves the report out, and then only
     the owned assets' rows are shuffled at all. The complex names are stored in either case, so that the
     filter on them is planned with their true size. ``level_join="first_per_name"`` attaches one complex
-    row per name instead of the row of the same time.
+    row per name instead of the row of the same time. ``month_sizes``, the raw rows of each month, lets several tasks write a
+    large month (``by_month``).
     """
     if level_join not in ("name_and_time", "first_per_name"):
         raise ValueError(f"level_join must be 'name_and_time' or 'first_per_name', not {level_join!r}")
     spark = raw_spe.sparkSession
     if report_rules:
-        raw_spe = write_layer(count_copies(raw_spe), f"{root}/distinct/spe")
-        raw_wind = write_layer(count_copies(raw_wind), f"{root}/distinct/wind")
-        write_report(quality_report(raw_spe, raw_wind, rules=report_rules), f"{root}/reports/quality")
+        layers = {"spe": count_copies(raw_spe), "wind": count_copies(raw_wind)}
+        raw_spe, raw_wind = at_once(spark, *(partial(write_layer, rows, f"{root}/distinct/{name}") for name, rows in layers.items()))
         owned_spe = attach_project(clean_spe(raw_spe, mode=mode), mapping)
     else:
         mapped = clean_spe(keep_mapped(raw_spe, mapping), mode=mode)
         owned_spe = write_layer(attach_project(mapped, mapping), f"{root}/owned/spe")
 
-    names = write_layer(distinct_names(owned_spe, collapse_ws=collapse_ws), f"{root}/owned/names")
-    owned_wind = clean_wind(restrict_to_names(raw_wind, names, collapse_ws=collapse_ws), mode=mode)
-
-    if level_join == "name_and_time":
-        joined = join_levels(owned_spe, owned_wind, collapse_ws=collapse_ws)
-    else:
-        firsts = write_layer(first_per_name(owned_wind, collapse_ws=collapse_ws), f"{root}/owned/firsts")
-        joined = join_first(owned_spe, firsts, collapse_ws=collapse_ws)
-    write_partitioned(joined, f"{root}/joined")
+    def join() -> DataFrame:
+        names = write_layer(distinct_names(owned_spe, collapse_ws=collapse_ws), f"{root}/owned/names")
+        owned_wind = clean_wind(restrict_to_names(raw_wind, names, collapse_ws=collapse_ws), mode=mode)
+        if level_join == "name_and_time":
+            joined = join_levels(owned_spe, owned_wind, collapse_ws=collapse_ws)
+        else:
+            firsts = write_layer(first_per_name(owned_wind, collapse_ws=collapse_ws), f"{root}/owned/firsts")
+            joined = join_first(owned_spe, firsts, collapse_ws=collapse_ws)
+        write_partitioned(joined, f"{root}/joined", rows=month_sizes)
+        return owned_wind
+
+    def report() -> None:
+        if report_rules:
+            write_report(quality_report(raw_spe, raw_wind, rules=report_rules), f"{root}/reports/quality")
+
+    owned_wind, _ = at_once(spark, join, report)
     layers = {
         "spe_owned": owned_spe,
         "wind_owned": owned_wind,
@@ -93,12 +103,11 @@ def run_from_landing(
     ``multi_line`` reads line breaks inside quotes.
     ``expected_months`` are two dates; without them the months from the first to the last one of each level are expected.
     """
-    bronze = [
-        ingest_landing(spark, landing, f"{root}/bronze/{name}", f"{root}/checkpoints/{name}", columns, multi_line=multi_line)
-        for name, landing, columns in (("spe", landing_spe, spe_columns), ("wind", landing_wind, wind_columns))
-    ]
+    levels = (("spe", landing_spe, spe_columns), ("wind", landing_wind, wind_columns))
+    bronze = [ingest_landing(spark, landing, f"{root}/bronze/{name}", f"{root}/checkpoints/{name}", columns, multi_line=multi_line) for name, landing, columns in levels]
     raw_spe, raw_wind = (rows.drop("source_file") for rows in bronze)
-    layers = run_pipeline(raw_spe, raw_wind, read_mapping(spark, mapping_path), root, **options)
+    sizes = month_rows(spark, *(f"{root}/bronze/{name}" for name, _, _ in levels))
+    layers = run_pipeline(raw_spe, raw_wind, read_mapping(spark, mapping_path), root, month_sizes=sizes, **options)
     expected = month_range(spark, *expected_months) if expected_months else None
     report = run_report(layers["joined"], {"spe": raw_spe, "wind": raw_wind}, expected)
     for name in ("spe", "wind"):
@@ -139,7 +148,7 @@ def run_new_months(
     months = sorted(r["month"] for r in new[0].unionByName(new[1]).distinct().collect())
     if months:
         raw = [read_bronze(spark, bronze[name], landing, columns, months=months).drop("source_file") for name, (landing, columns) in levels.items()]
-        run_pipeline(*raw, mapping, root, collapse_ws=collapse_ws, mode=mode, report_rules=None)
+        run_pipeline(*raw, mapping, root, collapse_ws=collapse_ws, mode=mode, report_rules=None, month_sizes=month_rows(spark, *bronze.values()))
     row = (last_batch(spark, bronze["spe"]), last_batch(spark, bronze["wind"]), *print_of, int(state["run"]) + 1 if state else 0)
     # A state of its own for each run: an interrupted write leaves the one before.
     spark.createDataFrame([row], STATE).write.mode("overwrite").parquet(f"{root}/state/run={row[-1]}")

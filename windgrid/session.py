@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SESSION_CONF = {
@@ -33,6 +36,14 @@ def build_session(app: str = "windgrid", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def at_once(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """The results of steps that do not need each other, run side by side: the last tasks of one leave cores to the others. All steps
+    end before an error of one is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [r.result() for r in running]
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder every executor can reach, below the session's checkpoint directory.
 

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from windgrid.sinks.files import by_month
+
 BY_MONTH = ("year", "month")
 MANIFEST = "table string, part string, run long"
 _NULL = "__HIVE_DEFAULT_PARTITION__"
@@ -40,15 +42,14 @@ def manifest(spark: SparkSession, root: str) -> tuple[int, dict[tuple[str, str],
     return last, {(r["table"], r["part"]): r["run"] for r in rows.filter(F.col("published") == last).collect()}
 
 
-def stage(df: DataFrame, root: str, table: str, run: int, sort_by: Sequence[str] = ()) -> DataFrame:
+def stage(df: DataFrame, root: str, table: str, run: int, sort_by: Sequence[str] = (), rows: Mapping[str, int] | None = None) -> DataFrame:
     """Writes a table, by month if it has the columns year and month, below the run's own folder, and reads it back.
 
-    The rebalance gathers each month into files of the advisory size and splits a large month over several tasks.
+    Months are gathered as ``by_month`` does, with its ``rows``.
     """
     path = f"{root}/{table}/run={run}"
     if set(BY_MONTH) <= set(df.columns):
-        rows = df.hint("rebalance", *map(F.col, BY_MONTH))
-        rows.sortWithinPartitions(*BY_MONTH, *sort_by).write.mode("overwrite").partitionBy(*BY_MONTH).parquet(path)
+        by_month(df, sort_by, rows).write.mode("overwrite").partitionBy(*BY_MONTH).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -73,9 +74,9 @@ def publish(spark: SparkSession, root: str, run: int, staged: Mapping[str, DataF
     rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/published={run}")
 
 
-def current(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
-    """A table as last published; empty if it never was."""
-    _, valid = manifest(spark, root)
+def current(spark: SparkSession, root: str, table: str, schema: T.StructType, valid: Mapping[tuple[str, str], int] | None = None) -> DataFrame:
+    """A table as last published; empty if it never was. ``valid`` is that of ``manifest``, if it has been read."""
+    valid = manifest(spark, root)[1] if valid is None else valid
     paths = [f"{root}/{table}/run={run}" + (f"/{part}" if part else "") for (name, part), run in valid.items() if name == table]
     if not paths:
         return spark.createDataFrame([], schema)

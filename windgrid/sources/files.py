@@ -94,8 +94,11 @@ def checked_csv(spark: SparkSession, path: str | list[str], sep: str, multi_line
     values = [F.coalesce(_named(c), F.lit("")) for c in (*header, further)]
     plain = [~(v.contains(sep) | v.startswith('"') | v.contains("\n")) for v in values]
     quoted = [F.when(p, v).otherwise(F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))) for p, v in zip(plain, values)]
+    # A line without quotes is well-formed if it has as many separators as the header; only others meet the pattern.
+    fits = (F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit("")))) == more * len(sep)
+    fits = F.when(line.contains('"'), line.rlike(rf"\A{field}(?:{s}{field}){{{more}}}\z")).otherwise(fits)
     reason = (
-        F.when(line.rlike(rf"\A{field}(?:{s}{field}){{{more}}}\z") & (line != "") & F.col(further).isNull(), None)
+        F.when(fits & (line != "") & F.col(further).isNull(), None)
         .when(line == "", "too many fields")
         .when(~line.rlike(rf"\A{field}(?:{s}{field})*+\z"), "broken quotes")
         .when(line.rlike(rf"\A(?:{field}{s}){{{more + 1}}}"), "too many fields")

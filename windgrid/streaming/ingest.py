@@ -122,6 +122,16 @@ def ledger(spark: SparkSession, bronze: str) -> DataFrame:
     return _logged(spark, f"{bronze.rstrip('/')}_ledger/months", MONTHS)
 
 
+def month_rows(spark: SparkSession, *bronzes: str) -> dict[str, int]:
+    """The raw rows of each month, of the largest of the tables. Grows with months only."""
+    found: dict[str, int] = {}
+    for bronze in bronzes:
+        for r in ledger(spark, bronze).groupBy("month").agg(F.sum("n_rows").alias("n")).collect():
+            found[r["month"]] = max(r["n"], found.get(r["month"], 0))
+    found.pop(MALFORMED, None)
+    return found
+
+
 def touched_months(spark: SparkSession, bronze: str, after: int = -1) -> DataFrame:
     """month: those that batches after a given one have rows for."""
     return ledger(spark, bronze).filter((F.col(BATCH) > after) & (F.col("month") != MALFORMED)).select("month").distinct()
