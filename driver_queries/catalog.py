@@ -830,17 +830,12 @@ def full_run_incremental(spark, sf_dir):
     return bigints(deliver(spark, sf_dir, shared_folder(spark, "months"), run_new_months), "year", "month")
 
 
-# Lakes made so far, by input: several queries read the same one.
-_LAKES: dict[tuple[str, str], str] = {}
-
-
 def lake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
-        root = shared_folder(spark, "lake")
-        deliver(spark, sf_dir, root, run_delivery)
-        _LAKES[key] = f"{root}/out"
-    return read_lake(spark, _LAKES[key])
+    """The lake after three deliveries. Each query makes its own: a kept one would be another input's once the tables at ``sf_dir`` change,
+    and a query's time would depend on which ran before it."""
+    root = shared_folder(spark, "lake")
+    deliver(spark, sf_dir, root, run_delivery)
+    return read_lake(spark, f"{root}/out")
 
 
 LAKE_JOINED = PIPELINE_SQL.replace("SELECT s.*, w.", ", joined AS (SELECT s.*, w.") + ")"

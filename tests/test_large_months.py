@@ -7,6 +7,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from driver_queries import catalog
+from driver_queries.adapter import RAW_SPE_COLUMNS, RAW_WIND_COLUMNS
+from windgrid.plans import lake, pipeline
 from windgrid.session import at_once
 from windgrid.sinks import files, versions, write_partitioned
 from windgrid.sources.files import headers_of, union_by_name
@@ -62,3 +65,36 @@ def test_lines_without_quotes(spark, tmp_path):
     rows = union_by_name(spark, headers_of(spark, [f"{tmp_path}/a.csv"]), checked=True).collect()
     assert sorted(str(r["_reason"]) for r in rows) == sorted(str(v) for v in lines.values())
     assert {r["_line"] for r in rows if r["_reason"]} == {k for k, v in lines.items() if v}
+
+
+def test_the_level_join_reads_typed_rows(spark, tmp_path, monkeypatch):
+    """Both sides of the join are stored; parsing them in the join's own generated method passes the size that the JVM compiles."""
+    plans = []
+    join_levels = pipeline.join_levels
+
+    def seen(left, right, **options):
+        plans.extend(side._jdf.queryExecution().executedPlan().toString() for side in (left, right))
+        return join_levels(left, right, **options)
+
+    monkeypatch.setattr(pipeline, "join_levels", seen)
+    monkeypatch.setattr(lake, "join_levels", seen)
+    spe = [("SS0", "E0", "Tipo", " conj 1 ", "U1", "ID1", "EOL.CV.0000001-1.01", "2024-01-05 01:00:00", "1.5", "0", "2", "3")]
+    wind = [("CONJ 1", "2024-01-05 01:00:00", "SUB", "EST", "CJ1", "5", "6", "7", "8", "9", "REL"), ("CONJ 2", "2024-01-05 01:00:00", "SUB", "EST", "CJ2", "5", "6", "7", "8", "9", "REL")]
+    mapping = spark.createDataFrame([("P1", "A", "0000001-1")], "projeto string, spe string, ceg string")
+    raw = {"spe": spark.createDataFrame(spe, RAW_SPE_COLUMNS), "wind": spark.createDataFrame(wind, RAW_WIND_COLUMNS)}
+    for rules in ("raw", None):
+        layers = pipeline.run_pipeline(raw["spe"], raw["wind"], mapping, f"{tmp_path}/{rules}", report_rules=rules)
+        assert [(r["projeto"], r["val_geracao"]) for r in layers["joined"].collect()] == [("P1", 5.0)]
+        assert layers["wind_owned"].count() == 1
+    made = lake._tables(spark, f"{tmp_path}/lake", 0, raw, mapping, False, "coerce", "din_instante")
+    assert [(r["projeto"], r["val_geracao"]) for r in made["joined"].collect()] == [("P1", 5.0)]
+    assert len(plans) == 6 and not any("RLIKE" in p for p in plans)
+
+
+def test_a_lake_follows_its_input(spark, monkeypatch):
+    """No lake of a former call is read again: the tables at a path may have changed."""
+    inputs = []
+    monkeypatch.setattr(catalog, "deliver", lambda spark, sf_dir, root, run: inputs.append(root))
+    monkeypatch.setattr(catalog, "read_lake", lambda spark, root: {"root": root})
+    found = [catalog.lake(spark, "tables")["root"] for _ in range(2)]
+    assert found == [f"{root}/out" for root in inputs] and found[0] != found[1]

@@ -92,9 +92,10 @@ def _tables(spark: SparkSession, root: str, run: int, raw: dict[str, DataFrame],
     ]
 
     def join() -> DataFrame:
-        owned_spe = attach_project(clean_spe(copies["spe"], mode=mode), mapping)
+        # Both sides are stored typed: parsing and joining in one generated method pass the size that the JVM compiles.
+        owned_spe = write_layer(attach_project(clean_spe(copies["spe"], mode=mode), mapping), f"{work}/owned_spe")
         names = write_layer(distinct_names(owned_spe, collapse_ws=collapse_ws), f"{work}/names")
-        owned_wind = clean_wind(restrict_to_names(copies["wind"], names, collapse_ws=collapse_ws), mode=mode)
+        owned_wind = write_layer(clean_wind(restrict_to_names(copies["wind"], names, collapse_ws=collapse_ws), mode=mode), f"{work}/owned_wind")
         return stage(partition_columns(join_levels(owned_spe, owned_wind, collapse_ws=collapse_ws), "data_hora"), root, "joined", run, ("projeto", ts), of_month)
 
     joined, counted = at_once(spark, join, lambda: stage(counts[0].unionByName(counts[1]), root, "quality_counts", run))

@@ -41,8 +41,8 @@ def run_pipeline(
 
     With a report, each level is shuffled once for duplicate removal and stored with its copy counts; the
     clean rows and the report both read that. ``report_rules=None`` leaves the report out, and then only
-    the owned assets' rows are shuffled at all. The complex names are stored in either case, so that the
-    filter on them is planned with their true size. ``level_join="first_per_name"`` attaches one complex
+    the owned assets' rows are shuffled at all. The owned rows of both levels and the complex names are stored in either case, so
+    that nothing is parsed twice and the filter on names is planned with their true size. ``level_join="first_per_name"`` attaches one complex
     row per name instead of the row of the same time. ``month_sizes``, the raw rows of each month, lets several tasks write a
     large month (``by_month``).
     """
@@ -52,27 +52,28 @@ def run_pipeline(
     if report_rules:
         layers = {"spe": count_copies(raw_spe), "wind": count_copies(raw_wind)}
         raw_spe, raw_wind = at_once(spark, *(partial(write_layer, rows, f"{root}/distinct/{name}") for name, rows in layers.items()))
-        owned_spe = attach_project(clean_spe(raw_spe, mode=mode), mapping)
+        mapped = clean_spe(raw_spe, mode=mode)
     else:
         mapped = clean_spe(keep_mapped(raw_spe, mapping), mode=mode)
-        owned_spe = write_layer(attach_project(mapped, mapping), f"{root}/owned/spe")
 
-    def join() -> DataFrame:
+    def join() -> tuple[DataFrame, DataFrame]:
+        # Both sides are stored typed: parsing and joining in one generated method pass the size that the JVM compiles.
+        owned_spe = write_layer(attach_project(mapped, mapping), f"{root}/owned/spe")
         names = write_layer(distinct_names(owned_spe, collapse_ws=collapse_ws), f"{root}/owned/names")
-        owned_wind = clean_wind(restrict_to_names(raw_wind, names, collapse_ws=collapse_ws), mode=mode)
+        owned_wind = write_layer(clean_wind(restrict_to_names(raw_wind, names, collapse_ws=collapse_ws), mode=mode), f"{root}/owned/wind")
         if level_join == "name_and_time":
             joined = join_levels(owned_spe, owned_wind, collapse_ws=collapse_ws)
         else:
             firsts = write_layer(first_per_name(owned_wind, collapse_ws=collapse_ws), f"{root}/owned/firsts")
             joined = join_first(owned_spe, firsts, collapse_ws=collapse_ws)
         write_partitioned(joined, f"{root}/joined", rows=month_sizes)
-        return owned_wind
+        return owned_spe, owned_wind
 
     def report() -> None:
         if report_rules:
             write_report(quality_report(raw_spe, raw_wind, rules=report_rules), f"{root}/reports/quality")
 
-    owned_wind, _ = at_once(spark, join, report)
+    (owned_spe, owned_wind), _ = at_once(spark, join, report)
     layers = {
         "spe_owned": owned_spe,
         "wind_owned": owned_wind,

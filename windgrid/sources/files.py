@@ -105,8 +105,9 @@ def checked_csv(spark: SparkSession, path: str | list[str], sep: str, multi_line
         .otherwise("too few fields")
     )
     rows = rows.withColumn(REASON, reason)
-    text = F.when(F.col(REASON).isNotNull(), F.when(line == "", F.concat_ws(sep, *quoted)).otherwise(line))
-    return rows.withColumn(LINE, text).drop(further)
+    # Inside a function over an array, the rarely needed text stays out of the generated method of all rows, which would pass the size that the JVM compiles.
+    text = lambda known: F.when(known.isNotNull(), F.when(line == "", F.concat_ws(sep, *quoted)).otherwise(line))
+    return rows.withColumn(LINE, F.get(F.transform(F.array(REASON), text), F.lit(0))).drop(further)
 
 
 def csv_files(spark: SparkSession, folder: str) -> list[str]:
