@@ -104,6 +104,18 @@ def test_long_parts_meet_partners_within_the_scope(spark):
     assert kinds[3] == {"assign"} and kinds[11] == {"linked_short"}
 
 
+def test_bins_become_rows_once_however_many_passes(spark, monkeypatch):
+    made, posexplode = [], F.posexplode
+    monkeypatch.setattr(quality.F, "posexplode", lambda c: made.append(c) or posexplode(c))
+    names = list(quality.features())
+    rng = random.Random(6)
+    row = lambda bad, k, **odd: (bad, k % 3 == 0, tuple(odd.get(n, rng.uniform(1, 2)) for n in names))
+    rows = [row(0, k) for k in range(300)] + [row(1, k, **{n: rng.uniform(8, 9)}) for n in ("marks_per_word", "digit_share") for k in range(60)]
+    frame = spark.createDataFrame(rows, f"bad int, prune boolean, _f struct<{','.join(f'{n}:double' for n in names)}>")
+    assert len(quality.learn(frame)) >= 2
+    assert len(made) == 1
+
+
 def test_kinds_below_a_hundredth_of_the_bad_rows_are_learned(spark):
     names = list(quality.features())
     rng = random.Random(5)

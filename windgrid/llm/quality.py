@@ -168,7 +168,8 @@ def learn(rows: DataFrame, most_literals: int = 4, grid: int = 64, least_bad: in
     Ties of gain go to the earlier feature, the lower threshold and then the rows below it. Rows are reduced to counts by bins first, so
     that copies are one row. Counts are kept by beginning (of no literal, one, two ...) and each is made once, over the rows that the beginning
     covers; when a rule is kept, what its rows add to any of them is subtracted in one pass over these rows. So a beginning that is refused and
-    tried again later costs no further pass.
+    tried again later costs no further pass. A row's bins are made rows of their own once, stored, and read by every pass, so the rows made
+    follow the binned rows and not the number of passes.
     """
     names = list(features())
     split = rows.agg(F.count(F.when(F.col("bad") == 1, 1)).alias("p"), F.count(F.when(F.col("bad") == 0, 1)).alias("n")).first()
@@ -183,19 +184,20 @@ def learn(rows: DataFrame, most_literals: int = 4, grid: int = 64, least_bad: in
         """As holds, on bins: a value is above a threshold if its bin is above the threshold's place."""
         return holds(tuple(Literal(x.feature, x.above, thresholds[x.feature].index(x.threshold)) for x in rule))
 
+    places = stored(rows.filter(~F.col("prune")).select("bad", "_c", "_f", F.posexplode("_b")), "places")
+
     def counted(where: Column) -> Counts:
-        exploded = rows.filter(where & ~F.col("prune")).select("bad", "_c", F.posexplode("_b")).groupBy("pos", "col")
-        found = exploded.agg(F.sum(F.col("bad") * F.col("_c")).alias("p"), F.sum("_c").alias("c")).collect()
+        found = places.filter(where).groupBy("pos", "col").agg(F.sum(F.col("bad") * F.col("_c")).alias("p"), F.sum("_c").alias("c")).collect()
         return {(names[r["pos"]], r["col"]): (r["p"], r["c"] - r["p"]) for r in found}
 
     def added_by(rule: Rule, beginnings: list[Rule]) -> dict[Rule, Counts]:
         """What a rule's open rows add to the counts of other beginnings."""
-        exploded = rows.filter(open_rows & binned(rule) & ~F.col("prune")).select("bad", "_c", F.array(*map(binned, beginnings)).alias("_in"), F.posexplode("_b"))
+        covered = places.filter(open_rows & binned(rule)).select("bad", "_c", F.array(*map(binned, beginnings)).alias("_in"), "pos", "col")
         sums = []
         for k in range(len(beginnings)):
             share = F.when(F.col("_in")[k], F.col("_c")).otherwise(0)
             sums += [F.sum(F.col("bad") * share).alias(f"p{k}"), F.sum(share).alias(f"c{k}")]
-        found = exploded.groupBy("pos", "col").agg(*sums).collect()
+        found = covered.groupBy("pos", "col").agg(*sums).collect()
         return {b: {(names[r["pos"]], r["col"]): (r[f"p{k}"], r[f"c{k}"] - r[f"p{k}"]) for r in found} for k, b in enumerate(beginnings)}
 
     rules: list[Rule] = []
