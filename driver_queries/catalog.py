@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from windgrid.functions import decimal_sum, is_bad_timestamp, is_uncastable, to_
 from windgrid.operators import assets, clean, coverage, levels, metrics, quality, rollup, star, validate
 from windgrid.plans import build_star, read_lake, run_delivery, run_from_landing, run_new_months, run_pipeline, run_report, run_validation
 from windgrid.schemas import COMPLEX_NUMERIC, COMPLEX_PAYLOAD, PLANT_NUMERIC
-from windgrid.session import shared_folder
+from windgrid.session import at_once, shared_folder
 from windgrid.sinks import (
     partition_columns,
     write_csv,
@@ -805,8 +806,7 @@ def deliver(spark: SparkSession, sf_dir: str, root: str, run: Callable) -> objec
     part = F.instr(F.lit("0123456789abcdef"), digit) % 4
     late = F.coalesce(F.col("din_instante") < "2024-01-10", F.lit(False)) & (part == 3)
     for k, kept in enumerate((~late & (part != 2), ~late & (part != 1), late)):
-        write_csv(spe.filter(kept), f"{root}/in/spe/m{k}", sep=";")
-        write_csv(wind.filter(kept), f"{root}/in/wind/m{k}", sep=";")
+        at_once(spark, *(partial(write_csv, rows.filter(kept), f"{root}/in/{name}/m{k}", sep=";") for name, rows in (("spe", spe), ("wind", wind))))
         done = run(spark, f"{root}/in/spe/*", f"{root}/in/wind/*", f"{root}/in/mapping", f"{root}/out", a.RAW_SPE_COLUMNS, a.RAW_WIND_COLUMNS)
     return done
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
 
 from driver_queries import catalog
 from driver_queries.adapter import RAW_SPE_COLUMNS, RAW_WIND_COLUMNS
+from windgrid.operators import star
+from windgrid.operators.coverage import hour_sets
 from windgrid.plans import lake, pipeline
 from windgrid.session import at_once
 from windgrid.sinks import files, versions, write_partitioned
@@ -98,3 +101,45 @@ def test_a_lake_follows_its_input(spark, monkeypatch):
     monkeypatch.setattr(catalog, "read_lake", lambda spark, root: {"root": root})
     found = [catalog.lake(spark, "tables")["root"] for _ in range(2)]
     assert found == [f"{root}/out" for root in inputs] and found[0] != found[1]
+
+
+def test_what_needs_plant_columns_alone_is_made_before_the_join(spark, tmp_path, monkeypatch):
+    """Plants, times and hour sets read each plant row once, however many complex rows it matches."""
+    read = {}
+    for name in ("dim_spe", "dim_tempo", "hour_sets"):
+        def seen(rows, *rest, made=getattr(lake, name), name=name, **options):
+            read[name] = rows.count()
+            return made(rows, *rest, **options)
+
+        monkeypatch.setattr(lake, name, seen)
+    spe = [("SS0", "E0", "Tipo", " conj 1 ", f"U{k}", "ID1", "EOL.CV.0000001-1.01", "2024-01-05 01:00:00", "1.5", "0", "2", "3") for k in range(3)]
+    spe.append(("SS0", "E0", "Tipo", None, "U9", None, "EOL.CV.0000001-1.01", None, "1.5", "0", "2", "3"))
+    wind = [("CONJ 1", "2024-01-05 01:00:00", "SUB", "EST", "CJ1", str(k), "6", "7", "8", "9", "REL") for k in range(20)]
+    mapping = spark.createDataFrame([("P1", "A", "0000001-1")], "projeto string, spe string, ceg string")
+    raw = {"spe": spark.createDataFrame(spe, RAW_SPE_COLUMNS), "wind": spark.createDataFrame(wind, RAW_WIND_COLUMNS)}
+    made = lake._tables(spark, f"{tmp_path}/lake", 0, raw, mapping, False, "coerce", "din_instante")
+    assert made["joined"].count() == made["fact_generation"].count() == 61
+    assert read == {"dim_spe": 4, "dim_tempo": 4, "hour_sets": 4}
+    joined = made["joined"]
+    keys = ("projeto", "nom_usina")
+    as_rows = lambda df: sorted(map(repr, df.select(sorted(df.columns)).collect()))
+    assert as_rows(made["hours"]) == as_rows(hour_sets(joined, keys, "din_instante", by=("year", "month")))
+    assert as_rows(made["dim_spe"]) == as_rows(star.dim_spe(joined)) and as_rows(made["dim_tempo"]) == as_rows(star.dim_tempo(joined))
+    assert made["fact_generation"].filter("spe_key IS NULL OR tempo_key IS NULL OR conjunto_key IS NULL").isEmpty()
+
+
+def test_both_levels_are_taken_in_side_by_side(spark, tmp_path, monkeypatch):
+    both = Barrier(2, timeout=20)
+
+    class Met(Exception):
+        pass
+
+    def ingest(*_, **__):
+        both.wait()
+        raise Met
+
+    (tmp_path / "mapping.csv").write_text("projeto,spe,ceg\nP1,A,0000001-1\n")
+    for module, run in ((lake, lake.run_delivery), (pipeline, pipeline.run_new_months), (pipeline, pipeline.run_from_landing)):
+        monkeypatch.setattr(module, "ingest_landing", ingest)
+        with pytest.raises(Met):
+            run(spark, f"{tmp_path}/spe", f"{tmp_path}/wind", f"{tmp_path}/mapping.csv", f"{tmp_path}/out", RAW_SPE_COLUMNS, RAW_WIND_COLUMNS)

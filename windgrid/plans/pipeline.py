@@ -105,7 +105,8 @@ def run_from_landing(
     ``expected_months`` are two dates; without them the months from the first to the last one of each level are expected.
     """
     levels = (("spe", landing_spe, spe_columns), ("wind", landing_wind, wind_columns))
-    bronze = [ingest_landing(spark, landing, f"{root}/bronze/{name}", f"{root}/checkpoints/{name}", columns, multi_line=multi_line) for name, landing, columns in levels]
+    ingest = lambda name, landing, columns: ingest_landing(spark, landing, f"{root}/bronze/{name}", f"{root}/checkpoints/{name}", columns, multi_line=multi_line)
+    bronze = at_once(spark, *(partial(ingest, *level) for level in levels))
     raw_spe, raw_wind = (rows.drop("source_file") for rows in bronze)
     sizes = month_rows(spark, *(f"{root}/bronze/{name}" for name, _, _ in levels))
     layers = run_pipeline(raw_spe, raw_wind, read_mapping(spark, mapping_path), root, month_sizes=sizes, **options)
@@ -142,8 +143,8 @@ def run_new_months(
     state = _read_state(spark, f"{root}/state")
     levels = {"spe": (landing_spe, spe_columns), "wind": (landing_wind, wind_columns)}
     bronze = {name: f"{root}/bronze/{name}" for name in levels}
-    for name, (landing, columns) in levels.items():
-        ingest_landing(spark, landing, bronze[name], f"{root}/checkpoints/{name}", columns, multi_line=multi_line, ts=ts)
+    ingest = lambda name, landing, columns: ingest_landing(spark, landing, bronze[name], f"{root}/checkpoints/{name}", columns, multi_line=multi_line, ts=ts)
+    at_once(spark, *(partial(ingest, name, *level) for name, level in levels.items()))
     every = not state or (state["mapping"], state["mapped"]) != tuple(print_of)
     new = [touched_months(spark, bronze[name], -1 if every else state[name]) for name in levels]
     months = sorted(r["month"] for r in new[0].unionByName(new[1]).distinct().collect())

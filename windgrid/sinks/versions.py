@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from windgrid.session import at_once
 from windgrid.sinks.files import by_month
 
 BY_MONTH = ("year", "month")
@@ -61,9 +62,11 @@ def publish(spark: SparkSession, root: str, run: int, staged: Mapping[str, DataF
     A month that a staged table has no rows for is empty from now on. ``notes`` are numbers that the next run wants to know.
     """
     _, valid = manifest(spark, root)
-    for table, rows in staged.items():
-        if set(BY_MONTH) <= set(rows.columns):
-            made = {month_folder("none") if r["year"] is None else f"year={r['year']}/month={r['month']}" for r in rows.select(*BY_MONTH).distinct().collect()}
+    months_of = {table: rows.select(*BY_MONTH).distinct() for table, rows in staged.items() if set(BY_MONTH) <= set(rows.columns)}
+    found = dict(zip(months_of, at_once(spark, *(rows.collect for rows in months_of.values())))) if months_of else {}
+    for table in staged:
+        if table in found:
+            made = {month_folder("none") if r["year"] is None else f"year={r['year']}/month={r['month']}" for r in found[table]}
             for label in months:
                 valid.pop((table, month_folder(label)), None)
             valid.update({(table, part): run for part in made})

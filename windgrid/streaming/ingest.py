@@ -162,7 +162,8 @@ def _partitions(spark: SparkSession, bronze: str, names: Sequence[str]) -> DataF
 
 
 def _log(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").parquet(path)
+    # A few rows for each file: one task and one file, not one for each core.
+    rows.coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def _logged(spark: SparkSession, path: str, schema: str) -> DataFrame:
