@@ -91,48 +91,42 @@ def _tables(spark: SparkSession, root: str, run: int, raw: dict[str, DataFrame],
         for name, numeric, flag in (("spe", PLANT_NUMERIC, FLAG), ("wind", COMPLEX_NUMERIC, None))
     ]
 
+    def join() -> tuple[DataFrame, DataFrame]:
+        # Both sides are stored typed: parsing and joining in one generated method pass the size that the JVM compiles.
+        owned_spe = write_layer(attach_project(clean_spe(copies["spe"], mode=mode), mapping), f"{work}/owned_spe")
+        names = write_layer(distinct_names(owned_spe, collapse_ws=collapse_ws), f"{work}/names")
+        owned_wind = write_layer(clean_wind(restrict_to_names(copies["wind"], names, collapse_ws=collapse_ws), mode=mode), f"{work}/owned_wind")
+        pairs = join_levels(owned_spe, owned_wind, collapse_ws=collapse_ws)
+        return partition_columns(owned_spe, "data_hora"), stage(partition_columns(pairs, "data_hora"), root, "joined", run, ("projeto", ts), of_month)
+
+    (owned, joined), counted = at_once(spark, join, lambda: stage(counts[0].unionByName(counts[1]), root, "quality_counts", run))
     _, valid = manifest(spark, root)
+    # The join keeps every plant row and repeats it for each of its matches. What needs the plant's columns alone is made from the rows
+    # before it, so that it does not grow with the matches.
+    source = {"dim_spe": owned, "dim_conjunto": joined, "dim_tempo": owned}
+    fresh = {"dim_spe": dim_spe(owned), "dim_conjunto": dim_conjunto(joined), "dim_tempo": dim_tempo(owned, ts)}
 
-    def dimension(name: str, made: DataFrame, rows: DataFrame) -> DataFrame:
+    def dimension(name: str) -> DataFrame:
+        made, rows = fresh[name], source[name]
         if (name, "") in valid:
             stored = current(spark, root, name, made.schema, valid)
             made = append_tempo(stored, rows, ts) if name == "dim_tempo" else append_dimension(stored, rows, DIM_SPE if name == "dim_spe" else DIM_CONJUNTO, made.columns[-1])
         return stage(made, root, name, run)
 
-    def join() -> list[DataFrame]:
-        # Both sides are stored typed: parsing and joining in one generated method pass the size that the JVM compiles.
-        owned_spe = write_layer(attach_project(clean_spe(copies["spe"], mode=mode), mapping), f"{work}/owned_spe")
-
-        def levels() -> DataFrame:
-            names = write_layer(distinct_names(owned_spe, collapse_ws=collapse_ws), f"{work}/names")
-            owned_wind = write_layer(clean_wind(restrict_to_names(copies["wind"], names, collapse_ws=collapse_ws), mode=mode), f"{work}/owned_wind")
-            return stage(partition_columns(join_levels(owned_spe, owned_wind, collapse_ws=collapse_ws), "data_hora"), root, "joined", run, ("projeto", ts), of_month)
-
-        # The join keeps every plant row and repeats it for each of its matches. What needs the plant's columns alone is made from the rows
-        # before it, so that it does not grow with the matches.
-        return at_once(
-            spark,
-            levels,
-            lambda: dimension("dim_spe", dim_spe(owned_spe), owned_spe),
-            lambda: dimension("dim_tempo", dim_tempo(owned_spe, ts), owned_spe),
-            lambda: stage(hour_sets(partition_columns(owned_spe, "data_hora"), SERIES_KEYS, ts, by=("year", "month")), root, "hours", run),
-        )
-
-    (joined, plants, moments, hours), counted = at_once(spark, join, lambda: stage(counts[0].unionByName(counts[1]), root, "quality_counts", run))
-
     def star() -> dict[str, DataFrame]:
-        dims = {"dim_spe": plants, "dim_conjunto": dimension("dim_conjunto", dim_conjunto(joined), joined), "dim_tempo": moments}
+        dims = dict(zip(fresh, at_once(spark, *(partial(dimension, name) for name in fresh))))
         facts = fact_generation(joined, *dims.values(), ts=ts, keep=("year", "month"))
         return {**dims, "fact_generation": stage(facts, root, "fact_generation", run, ("spe_key", "tempo_key"), of_month)}
 
     matched = [F.count("*").alias("total_records"), F.count("nom_estado").alias("matched_records")]
     sums = {
+        "hours": hour_sets(owned, SERIES_KEYS, ts, by=("year", "month")),
         "rollup": daily_rollup(joined, ts=ts),
         "places": joined.select("year", "month", "projeto", "nom_estado", "nom_subsistema").distinct(),
         "matches": joined.groupBy("year", "month").agg(*matched),
     }
     stars, *done = at_once(spark, star, *(partial(stage, rows, root, name, run) for name, rows in sums.items()))
-    return {"joined": joined, "quality_counts": counted, "hours": hours, **dict(zip(sums, done)), **stars}
+    return {"joined": joined, "quality_counts": counted, **dict(zip(sums, done)), **stars}
 
 
 def read_lake(spark: SparkSession, root: str) -> dict[str, DataFrame]:
