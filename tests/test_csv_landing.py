@@ -62,6 +62,20 @@ def test_other_errors_are_not_called_an_empty_folder(spark, tmp_path):
     assert not str(error.value).startswith("No CSV files found")
 
 
+def test_the_list_of_new_files_reads_no_content(spark, tmp_path):
+    """The stream only names the new files. Loading one whole, which this limit refuses, would need an executor as large as the file."""
+    landing, bronze, checkpoint = (str(tmp_path / n) for n in ("in", "bronze", "checkpoint"))
+    put(landing, "a.csv", "a;b\n" + "1;2\n" * 50)
+    put(landing, "b c.csv", "b;a\n4;3\n")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "4")
+    try:
+        taken = ingest_landing(spark, landing, bronze, checkpoint, ["a", "b"])
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert sorted(map(tuple, taken.select("a", "b").collect())) == [("1", "2")] * 50 + [("3", "4")]
+    assert rejected_files(spark, bronze).isEmpty()
+
+
 def test_bad_file_is_set_aside_and_the_next_goes_on(spark, tmp_path):
     landing, bronze, checkpoint = (str(tmp_path / n) for n in ("in", "bronze", "checkpoint"))
     put(landing, "a.csv", "a;b\n1;2\n")

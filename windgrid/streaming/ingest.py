@@ -52,7 +52,7 @@ def ingest_landing(
     """
 
     def append(batch: DataFrame, number: int) -> None:
-        files = sorted(unquote(r["path"]) for r in batch.select("path").collect())
+        files = sorted(unquote(r["path"]) for r in batch.collect())
         if not files:
             return
         groups = headers_of(spark, files, sep)
@@ -91,6 +91,8 @@ def ingest_landing(
         .option("maxFilesPerTrigger", max_files)
         .option("maxFileAge", "36500d")
         .load(landing)
+        # Before the batch is planned: a column dropped inside foreachBatch is read all the same, and this one is each file's whole content.
+        .select("path")
     )
     query = stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
